@@ -48,12 +48,27 @@ def _described(docs: DataFrame) -> DataFrame:
     return named.withColumn("title", title)
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Share rows of a few small files among all cores.
+
+    A table with at least as many files as cores is read as it is: this adds no shuffle
+    to a large table.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if len(rows.inputFiles()) >= cores else rows.repartition(cores, key)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return spread(rows, "doc_id")
+
+
+def described_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _described(documents(spark, sf_dir))
 
 
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (_described(_documents(spark, sf_dir))
+    return (_described(documents(spark, sf_dir))
             .withColumn("abstract", extract_abstract(F.col("text")))
             .select(*schemas.SEARCH_PAPERS.names))
 
@@ -72,7 +87,7 @@ def add_noise(text: Column) -> Column:
 
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uncleaned pages: lines in groups of eight; German papers end in a blank page."""
-    docs = _described(_documents(spark, sf_dir).where(F.length("text") >= MISSING_BELOW))
+    docs = _described(documents(spark, sf_dir).where(F.length("text") >= MISSING_BELOW))
     last = F.expr(f"cast((size(lines) - 1) div {LINES_PER_PAGE} as int)")
     groups = F.transform(F.sequence(F.lit(0), last), lambda g: F.array_join(
         F.slice(F.col("lines"), g * LINES_PER_PAGE + 1, F.lit(LINES_PER_PAGE)), "\n"))
