@@ -331,14 +331,24 @@ def boundary_chunks(spark, sf):
     return chunking.chunk_pages(corpus.pages(spark, sf), BOUNDARY).select(*SPAN_COLUMNS)
 
 
-@query("token_chunks")
+_TOKEN_PROFILE = TOKENS.profile_hash(PatternTokenizer())
+
+
+@query("token_chunks", f"""WITH RECURSIVE {S.PAGES}, {S.token_chunks()}
+SELECT {S.chunk_id(_TOKEN_PROFILE)} AS chunk_id, paper_id, page_number, start_character,
+  end_character, text, page_text_sha256, '{_TOKEN_PROFILE}' AS chunking_profile_sha256,
+  tokens AS content_token_count, tokens AS input_token_count FROM spans""")
 def token_chunks(spark, sf):
     chunks = chunking.chunk_pages(corpus.pages(spark, sf), TOKENS, PatternTokenizer())
     return chunks.select(*SPAN_COLUMNS, "content_token_count", "input_token_count")
 
 
 @query("token_budgets", f"""
-WITH {S.PAGES} SELECT 0::BIGINT AS breaches, true AS all_pages_covered""")
+WITH RECURSIVE {S.PAGES}, {S.token_chunks()},
+per AS (SELECT paper_id, page_number, max(end_character) AS reached FROM spans GROUP BY 1, 2)
+SELECT (SELECT count(*) FROM spans WHERE tokens > 200) AS breaches,
+  (SELECT bool_and({S.blank('text')} OR reached = length(text))
+   FROM paper_pages LEFT JOIN per USING (paper_id, page_number)) AS all_pages_covered""")
 def token_budgets(spark, sf):
     """Token passages against their budgets and their pages: nothing may be breached."""
     pages = corpus.pages(spark, sf)

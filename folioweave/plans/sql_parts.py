@@ -146,6 +146,53 @@ walk AS (
   FROM walk w JOIN {pages} p USING (paper_id, page_number))"""
 
 
+def token_chunks(budget: int = 200, overlap: int = 40, pages: str = "paper_pages",
+                 name: str = "spans") -> str:
+    """Whitespace-separated tokens; their counts never need the shrinking step."""
+    word = f"[^{WS_BODY}]+"
+
+    def limit(start):
+        return (f"CASE WHEN len(list_filter(ends, lambda x: x > {start})) > {budget} "
+                f"THEN list_filter(ends, lambda x: x > {start})[{budget}] ELSE length(text) END")
+
+    def found(pattern):
+        window = "substring(text, s + 1, hard - s)"
+        return f"length(regexp_extract({window}, '(?s)^(.*{pattern})', 1))"
+    para, sent, space = (found(p) for p in (
+        rf"\n{WS}*\n", rf"[.!?][\"'')\]]*{WS}+", WS))
+    end = f"""CASE WHEN hard >= length(text) THEN length(text) WHEN {para} >= 1 THEN s + {para}
+      WHEN {sent} >= 1 THEN s + {sent}
+      WHEN {blank('substring(text, hard + 1, 1)')} THEN hard
+      WHEN {space} >= 1 THEN s + {space} ELSE hard END"""
+    inside = "list_filter(starts, lambda x: x >= s AND x < e)"
+    # A window that begins inside a token counts the rest of it as its first token.
+    all_in = (f"CASE WHEN {blank('substring(text, s + 1, 1)')} OR list_contains(starts, s) "
+              f"THEN {inside} ELSE list_prepend(s, {inside}) END")
+    back = f"""CASE WHEN len({all_in}) = 0 THEN e ELSE greatest(s + 1,
+      ({all_in})[greatest(len({all_in}) - {overlap - 1}, 1)]) END"""
+    return f"""
+pieces AS (SELECT paper_id, page_number, text, regexp_extract_all(text, '{WS}*{word}') AS parts
+  FROM {pages} WHERE NOT {blank('text')}),
+laid AS (SELECT paper_id, page_number, text,
+    list_transform(range(1, len(parts) + 1), lambda i: length(array_to_string(parts[1:i], ''))) AS ends,
+    list_transform(parts, lambda x: length(trim(x, {WS_TEXT}))) AS sizes FROM pieces),
+marked AS (SELECT paper_id, page_number, text, ends,
+    list_transform(range(1, len(ends) + 1), lambda i: ends[i] - sizes[i]) AS starts FROM laid),
+walk AS (
+  SELECT *, ({end})::BIGINT AS e FROM (
+    SELECT paper_id, page_number, text, ends, starts, 0::BIGINT AS s, ({limit('0')})::BIGINT AS hard
+    FROM marked)
+  UNION ALL
+  SELECT *, ({end})::BIGINT AS e FROM (
+    SELECT paper_id, page_number, text, ends, starts, s, ({limit('s')})::BIGINT AS hard FROM (
+      SELECT paper_id, page_number, text, ends, starts, ({back})::BIGINT AS s FROM walk WHERE e < length(text)))),
+{name} AS (
+  SELECT p.* EXCLUDE (text), w.s AS start_character, w.e AS end_character,
+         substring(w.text, w.s + 1, w.e - w.s) AS text, sha256(w.text) AS page_text_sha256,
+         len(regexp_extract_all(substring(w.text, w.s + 1, w.e - w.s), '{word}')) AS tokens
+  FROM walk w JOIN {pages} p USING (paper_id, page_number))"""
+
+
 def chunk_id(profile_hash: str, source: str = "") -> str:
     def js(x):
         return f"replace(to_json({x})::VARCHAR, '\\u000B', '\\u000b')"

@@ -46,7 +46,7 @@ def compare(spark, connection, sf: str, name: str) -> tuple[bool, str]:
     if name not in ORACLES:
         return True, f"rows only: {len(mine)} rows, {spent:.1f}s"
     began = time.time()
-    table = connection.execute(ORACLES[name]).to_arrow_table()
+    table = connection.sql(ORACLES[name]).to_arrow_table()
     theirs = table.to_pandas()
     other = time.time() - began
     note = f"{len(mine)} rows, spark {spent:.1f}s, sql {other:.1f}s"
