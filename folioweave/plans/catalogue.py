@@ -1,6 +1,6 @@
 """All registered queries and their SQL."""
 
-from folioweave.plans import queries_corpus, queries_text  # noqa: F401
+from folioweave.plans import queries_corpus, queries_search, queries_text  # noqa: F401
 from folioweave.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
