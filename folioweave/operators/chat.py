@@ -59,10 +59,11 @@ def with_messages(conversations: DataFrame, messages: DataFrame) -> DataFrame:
 
 
 def encode(role: Column, content: Column, retrievals: Column) -> Column:
-    """Message JSON; ``retrievals`` appears only when there are any."""
-    present = F.when(~retrievals.isin("", "[]"), F.try_parse_json(retrievals))
-    return F.to_json(F.struct(role.alias("role"), content.alias("content"),
-                              present.alias("retrievals")))
+    """Message JSON; ``retrievals`` (JSON text, kept as it is) only when there are any."""
+    body = F.to_json(F.struct(role.alias("role"), content.alias("content")))
+    extended = F.concat(F.substring(body, 1, F.length(body) - 1), F.lit(',"retrievals":'),
+                        retrievals, F.lit("}"))
+    return F.when(F.length(retrievals) > 2, extended).otherwise(body)
 
 
 def decode(encoded: Column) -> Column:

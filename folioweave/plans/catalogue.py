@@ -1,6 +1,7 @@
 """All registered queries and their SQL."""
 
-from folioweave.plans import queries_corpus, queries_search, queries_text  # noqa: F401
+from folioweave.plans import (  # noqa: F401
+    queries_analysis, queries_chat, queries_corpus, queries_search, queries_sources, queries_text)
 from folioweave.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
