@@ -97,11 +97,12 @@ def canonical_struct_json(*fields: Column) -> Column:
     uses lower case. JSON text never holds a raw control character, so U+0001 can stand
     for an escaped backslash while plain replacements do the rest.
     """
-    text = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    text = F.replace(text, F.lit("\\\\"), F.lit("\x01"))
+    raw = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    text = F.replace(raw, F.lit("\\\\"), F.lit("\x01"))
     for point in _LETTERED:
         text = F.replace(text, F.lit(f"\\u{point:04X}"), F.lit(f"\\u{point:04x}"))
-    return F.replace(text, F.lit("\x01"), F.lit("\\\\"))
+    text = F.replace(text, F.lit("\x01"), F.lit("\\\\"))
+    return F.when(F.contains(raw, F.lit("\\u00")), text).otherwise(raw)
 
 
 def chunk_id(columns: dict[str, Column] | None = None) -> Column:

@@ -11,9 +11,6 @@ from pyspark.sql import Column, functions as F
 from folioweave import fixed_values as V
 
 WS = f"[{V.WHITESPACE_CLASS_BODY}]"
-# The same class without the line feed: what may be trimmed inside one line.
-WS_IN_LINE = (r"[\x09\x0b-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029"
-              r"\u202f\u205f\u3000]")
 # A word character in the Unicode sense, and zero-width tests for its edges.
 WORD = r"\p{L}\p{N}_"
 EDGE_BEFORE = rf"(?<![{WORD}])"
@@ -38,14 +35,13 @@ def clean_text(raw: Column) -> Column:
     """Layout-safe cleanup of extracted page text.
 
     NUL is dropped, line ends and NBSP are unified, tabs/spaces collapse, every line is
-    stripped and blank-line runs shrink to one. Whole-text regexes replace a per-line
-    lambda, so the expression stays inside generated code.
+    stripped and blank-line runs shrink to one.
     """
     text = F.coalesce(raw, F.lit(""))
     for old, new in (("\x00", ""), ("\r\n", "\n"), ("\r", "\n"), ("\u00a0", " ")):
         text = F.replace(text, F.lit(old), F.lit(new))
     text = F.regexp_replace(text, r"[ \t]+", " ")
-    text = F.regexp_replace(text, rf"{WS_IN_LINE}*\n{WS_IN_LINE}*", "\n")
+    text = F.array_join(F.transform(F.split(text, "\n"), lambda line: strip(line)), "\n")
     return strip(F.regexp_replace(text, r"\n{3,}", "\n\n"))
 
 

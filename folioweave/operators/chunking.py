@@ -70,8 +70,10 @@ def _fixed(pages: DataFrame, settings: ChunkSettings) -> DataFrame:
         F.col("text"), F.lit(rf"(?s)(?=(.{{1,{size}}})).{{1,{step}}}"), F.lit(1))
     count = F.greatest(F.lit(1), F.ceil((F.length("text") - settings.overlap) / F.lit(step)))
     keep = [name for name in pages.columns if name != "text"]
-    cut = pages.select(*keep, F.slice(windows, F.lit(1), count.cast("int")).alias("windows"))
-    laid = cut.select(*keep, F.posexplode("windows").alias("index", "text"))
+    used = F.when(~is_blank(F.col("text")), F.slice(windows, F.lit(1), count.cast("int")))
+    # The outer form keeps Catalyst from inferring a filter that would run the scan twice.
+    laid = pages.select(*keep, F.posexplode_outer(used).alias("index", "text")).where(
+        F.col("text").isNotNull())
     start = F.col("index").cast("long") * F.lit(step)
     return laid.select(
         *keep, "text", start.alias("start_character"),
@@ -108,6 +110,8 @@ def _by_spans(pages: DataFrame, find: Callable[[str], Iterator[tuple]]) -> DataF
 
             for parent, text in enumerate(batch.column("text")):
                 text = text.as_py()
+                if not text or text.isspace():
+                    continue
                 for start, end, content, complete in find(text):
                     parents.append(parent)
                     rows.append((text[start:end], start, end, content, complete))
@@ -122,18 +126,21 @@ def _by_spans(pages: DataFrame, find: Callable[[str], Iterator[tuple]]) -> DataF
 
 
 def cut_pages(pages: DataFrame, settings: ChunkSettings, tokenizer=None) -> DataFrame:
-    """Spans of every non-blank page: input columns plus text and offsets."""
-    usable = pages.where(~is_blank(F.col("text")))
+    """Spans of every non-blank page: input columns plus text and offsets.
+
+    Blank pages fall away inside the cut. A filter in front of it would be pushed below
+    the cleanup of the text and would run that cleanup a second time.
+    """
     if settings.profile == "fixed_characters":
-        return _fixed(usable, settings)
+        return _fixed(pages, settings)
     if settings.profile == "boundary_characters":
         size, overlap = settings.size, settings.overlap
-        return _by_spans(usable, lambda text: boundary_spans(text, size, overlap))
+        return _by_spans(pages, lambda text: boundary_spans(text, size, overlap))
     if tokenizer is None:
         raise ValueError("the tokenizer profile needs an explicit local tokenizer")
     budget, overlap, ceiling = (settings.token_budget, settings.token_overlap,
                                 settings.max_input_tokens)
-    return _by_spans(usable, lambda text: token_spans(text, tokenizer, budget, overlap, ceiling))
+    return _by_spans(pages, lambda text: token_spans(text, tokenizer, budget, overlap, ceiling))
 
 
 def chunk_pages(pages: DataFrame, settings: ChunkSettings | None = None,

@@ -17,9 +17,19 @@ def _broken(rules: dict[str, Column]) -> Column:
         F.when(~F.coalesce(holds, F.lit(False)), F.lit(name)) for name, holds in rules.items()]))
 
 
+def _exploded(rows: DataFrame, key: Column, broken: Column) -> DataFrame:
+    """One row per broken rule.
+
+    The outer form keeps Catalyst from inferring a filter on the array, which would
+    evaluate every rule twice.
+    """
+    listed = rows.select(F.explode_outer(broken).alias("rule"), key.alias("key"),
+                         F.lit(None).cast("string").alias("detail"))
+    return listed.where(F.col("rule").isNotNull())
+
+
 def _listed(rows: DataFrame, key: Column, rules: dict[str, Column]) -> DataFrame:
-    return rows.select(F.explode(_broken(rules)).alias("rule"), key.alias("key"),
-                       F.lit(None).cast("string").alias("detail"))
+    return _exploded(rows, key, _broken(rules))
 
 
 def _page_key() -> Column:
@@ -200,8 +210,7 @@ def chunk_violations(chunks: DataFrame, pages: DataFrame) -> DataFrame:
         F.when(usable & (F.col("position") == 1),
                _broken({"page_end": F.col("reached") == F.length(text)})).otherwise(none))
     key = F.coalesce(F.col("chunk_id"), _page_key())
-    return swept.select(F.explode(broken).alias("rule"), key.alias("key"),
-                        F.lit(None).cast("string").alias("detail"))
+    return _exploded(swept, key, broken)
 
 
 def require_empty(violations: DataFrame, what: str) -> None:

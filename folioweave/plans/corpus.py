@@ -98,7 +98,7 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.lit(SCANNED_PAGE)))
     citation = [name for name, _ in schemas.CITATION]
     return (docs.withColumn("lines", F.split("text", "\n"))
-            .select(*citation, F.posexplode(F.concat(body, tail)).alias("index", "raw_text"))
+            .select(*citation, F.posexplode_outer(F.concat(body, tail)).alias("index", "raw_text"))
             .select(*citation, (F.col("index") + 1).cast("long").alias("page_number"),
                     "raw_text"))
 
