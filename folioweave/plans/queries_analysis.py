@@ -180,9 +180,11 @@ def citation_correctness(spark, sf):
     return counted.select("*", F.try_divide("reconstructed", "chunks").alias("share"))
 
 
-@query("latency_percentiles", """SELECT event_type AS state, count(*) AS trials, quantile_cont(value, 0.5) AS p50,
-  quantile_cont(value, 0.95) AS p95 FROM events GROUP BY 1""")
+@query("latency_percentiles", """SELECT event_type AS state, count(*) AS trials, round(quantile_cont(value, 0.5), 6) AS p50,
+  round(quantile_cont(value, 0.95), 6) AS p95 FROM events GROUP BY 1""")
 def latency_percentiles(spark, sf):
     timings = corpus.table(spark, sf, "events").select(
         F.col("event_type").alias("state"), F.col("value").alias("seconds"))
-    return evaluation.latency(timings)
+    return spark.createDataFrame(evaluation.latency(timings),
+                                 "state string, trials long, p50 double, p95 double").select(
+        "state", "trials", F.round("p50", 6).alias("p50"), F.round("p95", 6).alias("p95"))
