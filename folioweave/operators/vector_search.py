@@ -20,6 +20,7 @@ from folioweave import fixed_values as V
 # Questions travel to every task, so one pass takes a block of bounded size; more
 # questions mean more passes.
 QUESTIONS_PER_PASS = 4096
+SIMILARITY_DIGITS = 12
 # Result rows small enough to be sent to every task.
 BROADCAST_ROWS = 200_000
 
@@ -90,7 +91,8 @@ def _scan(vectors: DataFrame, names: list, questions: np.ndarray, k: int, id_col
             usable = norms > 0
             if not usable.all():
                 ids, matrix, norms = ids[usable], matrix[usable], norms[usable]
-            table = (matrix @ unit.T) / norms[:, None]
+            # Rounding keeps the order of summation from deciding between equal vectors.
+            table = np.round((matrix @ unit.T) / norms[:, None], SIMILARITY_DIGITS)
             for q in range(len(names)):
                 if lengths[q] == 0:
                     continue

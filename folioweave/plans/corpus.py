@@ -73,7 +73,7 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(*schemas.SEARCH_PAPERS.names))
 
 
-NOISE = ((". ", ".\r\n\r\n\r\n "), (", ", ", \t "), (" the ", " the\x00 "),
+NOISE = ((". ", ".\r\n\r\n\r\n "), (", ", ",\u00a0\t "), (" the ", " the\x00 "),
          (" of ", " of\x0b "))
 BLANK_PAGE, SCANNED_PAGE = " \n\t", "\x00 \r\n"
 

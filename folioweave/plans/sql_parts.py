@@ -41,7 +41,7 @@ def sql_text(value: str) -> str:
     """A string literal whose control characters are spelled with chr()."""
     parts, plain = [], ""
     for ch in value:
-        if ch < " " or ch == " ":
+        if ch < " " or ch == "\u00a0":
             if plain:
                 parts.append(quoted(plain))
                 plain = ""

@@ -23,7 +23,11 @@ class Files:
         return self._jvm.org.apache.hadoop.fs.Path(path)
 
     def _system(self, path: str):
-        return self._path(path).getFileSystem(self._conf)
+        system = self._path(path).getFileSystem(self._conf)
+        # Control files carry their own hashes; no checksum side files on local disks.
+        system.setVerifyChecksum(False)
+        system.setWriteChecksum(False)
+        return system
 
     def exists(self, path: str) -> bool:
         return self._system(path).exists(self._path(path))
@@ -46,6 +50,8 @@ class Files:
         self._system(path).delete(self._path(path), True)
 
     def read_bytes(self, path: str) -> bytes:
+        if not self.exists(path):
+            raise FileNotFoundError(path)
         stream = self._system(path).open(self._path(path))
         try:
             return bytes(self._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))

@@ -80,7 +80,7 @@ def read_metadata_ids(spark: SparkSession, path: str, encoding: str = "utf-8-sig
     Spark renames repeated columns, so the header line is checked as text first.
     """
     first = spark.read.text(path).head()
-    header = next(csv.reader(io.StringIO((first[0] if first else "").lstrip("﻿"))), [])
+    header = next(csv.reader(io.StringIO((first[0] if first else "").lstrip("\ufeff"))), [])
     if header.count("id") != 1 or len(set(header)) != len(header):
         raise ValueError("the metadata CSV must have an unambiguous id column")
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])

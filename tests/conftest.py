@@ -12,7 +12,9 @@ from folioweave.session import build_session  # noqa: E402
 def spark():
     session = build_session("local[4]", "folioweave-tests", {
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false", "spark.default.parallelism": "4"})
+        "spark.ui.showConsoleProgress": "false",
+        # Compiling generated code costs more than these tiny inputs do.
+        "spark.sql.codegen.wholeStage": "false", "spark.default.parallelism": "4"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -22,13 +22,13 @@ def test_whitespace_class_is_complete():
 
 
 def test_clean_text_golden(spark):
-    raw = "  first  line\r\n\r\n\r\nsecond-\nline value\x00  "
+    raw = "  first  line\r\n\r\n\r\nsecond-\nline\u00a0value\x00  "
     assert evaluate(spark, X.clean_text, [raw, None, "", " \n\t"]) == [
         "first line\n\nsecond-\nline value", "", "", ""]
 
 
 def plain_clean(text):
-    text = text.replace("\x00", "").replace("\r\n", "\n").replace("\r", "\n").replace(" ", " ")
+    text = text.replace("\x00", "").replace("\r\n", "\n").replace("\r", "\n").replace("\u00a0", " ")
     kept = []
     for line in text.split("\n"):
         line = re.sub("[ \t]+", " ", line).strip()
@@ -39,7 +39,7 @@ def plain_clean(text):
 
 def test_clean_and_squeeze_agree_with_python(spark):
     pick = random.Random(7)
-    alphabet = "ab \t\n\r\x00  \x0b\x1cé😀"
+    alphabet = "ab \t\n\r\x00\u00a0 \x0b\x1cé😀"
     texts = ["".join(pick.choice(alphabet) for _ in range(pick.randint(0, 40))) for _ in range(800)]
     assert evaluate(spark, X.clean_text, texts) == [plain_clean(t) for t in texts]
     assert evaluate(spark, X.squeeze, texts) == [" ".join(t.split()) for t in texts]
