@@ -45,15 +45,11 @@ def rounded_vector(vector: Column, digits: int = 5) -> Column:
     return F.transform(vector, lambda x: F.round(x.cast("double"), digits))
 
 
-def _best(ids, scores, k: int):
-    """Positions of the best ``k``: score descending, identifier ascending."""
+def _near(scores: np.ndarray, k: int, least: float) -> np.ndarray:
+    """Positions that can still be among the best ``k``, ties at the cut included."""
     if len(scores) > k:
-        cut = np.partition(scores, len(scores) - k)[len(scores) - k]
-        near = np.flatnonzero(scores >= cut)
-    else:
-        near = np.arange(len(scores))
-    ranked = np.lexsort((ids[near], -scores[near]))
-    return near[ranked[:k]]
+        least = max(least, np.partition(scores, len(scores) - k)[len(scores) - k])
+    return np.flatnonzero(scores >= least)
 
 
 def _scan(vectors: DataFrame, names: list, questions: np.ndarray, k: int, id_column: str,
@@ -71,7 +67,8 @@ def _scan(vectors: DataFrame, names: list, questions: np.ndarray, k: int, id_col
     plain_id = isinstance(id_type, (T.StringType, T.LongType))
 
     def score(batches):
-        held = [(None, None)] * len(names)
+        # Per question: the best (-similarity, id) pairs so far, in order.
+        held: list[list[tuple]] = [[] for _ in names]
         for batch in batches:
             column = batch.column(1)
             size = pa.compute.list_value_length(column).to_numpy(zero_copy_only=False)
@@ -81,36 +78,29 @@ def _scan(vectors: DataFrame, names: list, questions: np.ndarray, k: int, id_col
             ids = batch.column(0)
             if not present.all():
                 ids = ids.filter(pa.array(present))
-            ids = np.array(ids.to_pylist(), dtype=object) if arrow_id == pa.string() else (
-                ids.to_numpy(zero_copy_only=False))
-            if not len(ids):
-                continue
             matrix = column.flatten().to_numpy(zero_copy_only=False).astype(
                 "float64").reshape(-1, wide)
             norms = np.linalg.norm(matrix, axis=1)
-            usable = norms > 0
-            if not usable.all():
-                ids, matrix, norms = ids[usable], matrix[usable], norms[usable]
+            usable = np.flatnonzero(norms > 0)
+            if not len(usable):
+                continue
             # Rounding keeps the order of summation from deciding between equal vectors.
-            table = np.round((matrix @ unit.T) / norms[:, None], SIMILARITY_DIGITS)
-            for q in range(len(names)):
+            table = np.round((matrix[usable] @ unit.T) / norms[usable, None], SIMILARITY_DIGITS)
+            for q, best in enumerate(held):
                 if lengths[q] == 0:
                     continue
-                old_ids, old_scores = held[q]
-                found, values = ids, table[:, q]
-                pick = _best(found, values, k)
-                found, values = found[pick], values[pick]
-                if old_ids is not None:
-                    found = np.concatenate([old_ids, found])
-                    values = np.concatenate([old_scores, values])
-                    pick = _best(found, values, k)
-                    found, values = found[pick], values[pick]
-                held[q] = (found, values)
-        for q, (found, values) in enumerate(held):
-            if found is not None and len(found):
+                scores = table[:, q]
+                near = _near(scores, k, -best[-1][0] if len(best) == k else -np.inf)
+                if len(near):
+                    # Only the few rows that can still win turn into Python values.
+                    found = ids.take(pa.array(usable[near])).to_pylist()
+                    held[q] = sorted([*best, *zip((-scores[near]).tolist(), found)])[:k]
+        for q, best in enumerate(held):
+            if best:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([names[q]] * len(found), arrow_name),
-                     pa.array(list(found), arrow_id), pa.array(values, pa.float64())],
+                    [pa.array([names[q]] * len(best), arrow_name),
+                     pa.array([name for _, name in best], arrow_id),
+                     pa.array([-score for score, _ in best], pa.float64())],
                     names=["question_id", id_column, "similarity"])
 
     if not plain_id:
