@@ -108,6 +108,38 @@ def drop(messages: DataFrame, conversation_ids: list[str]) -> DataFrame:
     return messages.where(~F.col("conversation_id").isin(*conversation_ids))
 
 
+def load(memory: DataFrame, messages: DataFrame, conversation_id: str) -> DataFrame:
+    """Replace what memory holds of one conversation by its stored messages."""
+    stored = lookup(messages, "conversation_id", conversation_id)
+    return drop(memory, [conversation_id]).unionByName(stored.select(*memory.columns))
+
+
+def is_loaded(memory: DataFrame, conversation_id: str) -> bool:
+    return lookup(memory, "conversation_id", conversation_id).head() is not None
+
+
+def open_conversation(stored: DataFrame, memory: DataFrame, conversation_id: str,
+                      previous_id: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Dump the conversation being left, then load the one being opened.
+
+    Returns the new store and the new memory.
+    """
+    if previous_id and previous_id != conversation_id:
+        leaving = lookup(memory, "conversation_id", previous_id)
+        stored = dump(stored, leaving)
+        memory = drop(memory, [previous_id])
+    return stored, load(memory, stored, conversation_id)
+
+
+def passage_totals(messages: DataFrame) -> DataFrame:
+    """Passages shown per conversation, over all searches of its messages."""
+    searches = F.from_json("retrievals", "array<struct<passages: array<variant>>>")
+    shown = F.aggregate(F.transform(searches, lambda x: F.coalesce(F.size(x["passages"]), F.lit(0))),
+                        F.lit(0), lambda total, n: total + n)
+    return messages.groupBy("conversation_id").agg(
+        F.coalesce(F.sum(F.greatest(shown, F.lit(0))), F.lit(0)).alias("passages"))
+
+
 def changed_conversations(stored: DataFrame, memory: DataFrame) -> DataFrame:
     """Conversations in ``memory`` whose messages differ from the stored ones.
 

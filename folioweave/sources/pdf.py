@@ -59,12 +59,17 @@ def read_pages(spark: SparkSession, folder: str,
     return content.mapInPandas(extract, PAGE_ROWS)
 
 
+def relative_paths(rows: DataFrame, root: str) -> DataFrame:
+    """File URIs as paths below ``root``, the form that ``source_path`` has."""
+    local = F.regexp_replace("path", r"\A[a-z]+:/+", "/")
+    start = F.lit(len(root.rstrip("/")) + 2)
+    return rows.withColumn("path", F.substring(local, start, F.length(local)))
+
+
 def pages_of_papers(papers: DataFrame, page_rows: DataFrame, root: str) -> DataFrame:
     """Cleaned pages of the papers whose ``source_path`` lies under ``root``."""
-    relative = F.regexp_replace("path", r"\A[a-z]+:/+", "/")
-    start = F.lit(len(root.rstrip("/")) + 2)
-    placed = page_rows.where("page_number IS NOT NULL").select(
-        F.substring(relative, start, F.length(relative)).alias("source_path"), "page_number",
+    placed = relative_paths(page_rows.where("page_number IS NOT NULL"), root).select(
+        F.col("path").alias("source_path"), "page_number",
         clean_text(F.col("raw_text")).alias("text"))
     return papers.join(placed, "source_path").select(*schemas.PAGES.names)
 

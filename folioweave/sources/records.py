@@ -10,9 +10,7 @@ from pyspark.sql import types as T
 
 from folioweave.functions import identity
 from folioweave.functions.text import is_blank
-
-_CORRUPT = "_corrupt_record"
-
+from folioweave.operators import contracts
 
 def parse_lines(lines: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
     """Parsed records beside the problem, if any, that each line has.
@@ -74,6 +72,16 @@ def read_manifest(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
+def save_manifest(papers: DataFrame, path: str) -> None:
+    """A validated manifest as JSON lines, sorted by paper identifier.
+
+    The sort is a range-partitioned one: part files follow each other in order.
+    """
+    papers = contracts.normalize_papers(papers)
+    contracts.require_empty(contracts.paper_violations(papers), "the paper manifest")
+    write_lines(papers.orderBy("paper_id"), path)
+
+
 def read_metadata_ids(spark: SparkSession, path: str, encoding: str = "utf-8-sig") -> DataFrame:
     """The ``id`` column of a metadata CSV whose header names it exactly once.
 

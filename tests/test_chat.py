@@ -57,3 +57,13 @@ def test_conversation_rules(spark):
     with pytest.raises(ValueError):
         chat.rename(parents, "1", "")
     assert chat.with_messages(parents, messages(spark)).count() == 2
+
+
+def test_opening_moves_between_memory_and_store(spark):
+    stored = messages(spark)
+    memory = messages(spark, [("2", 0, "user", "solo", None, None), ("2", 1, "agent", "late", None, None)])
+    after, held = chat.open_conversation(stored, memory, "1", "2")
+    assert keys(after) == [("1", 0), ("1", 1), ("2", 0), ("2", 1)] and keys(held) == [("1", 0), ("1", 1)]
+    assert chat.is_loaded(held, "1") and not chat.is_loaded(held, "2")
+    shown = messages(spark, [("1", 0, "agent", "a", None, '[{"passages":[1,2]},{"passages":[3]}]'), ("2", 0, "user", "b", None, None)])
+    assert dict(map(tuple, chat.passage_totals(shown).collect())) == {"1": 3, "2": 0}

@@ -176,6 +176,41 @@ def test_command_line(spark, tmp_path, capsys):
     assert G.load_active(spark, str(tmp_path / "runs"), str(tmp_path / "active.json")).manifest["provenance"]["input_mode"] == "pdf_pipeline"
 
 
+def test_stage_commands(spark, tmp_path, capsys):
+    manifest = tmp_path / "papers.json"
+    manifest.write_text(json.dumps([PAPER, SECOND]))
+    (tmp_path / "data").mkdir()
+    (tmp_path / "data" / "fixture.pdf").write_text("one\ftwo")
+
+    def run(*arguments, **options):
+        code = main(list(arguments), spark, **options)
+        return code, json.loads(capsys.readouterr().out)
+
+    base = ["--manifest", str(manifest)]
+    root = ["--root", str(tmp_path)]
+    code, out = run("ingest", *base, *root, "--output", str(tmp_path / "catalog"))
+    assert code == 2 and out["missing_pdfs"] == 1 and not (tmp_path / "catalog").exists()
+    (tmp_path / "data" / "second.pdf").write_text("broken")
+    code, out = run("ingest", *base, *root, "--output", str(tmp_path / "catalog"))
+    assert code == 0 and records.read_lines(spark, str(tmp_path / "catalog"), schemas.PAPERS).count() == 2
+    pages = str(tmp_path / "pages")
+    code, out = run("extract", *base, *root, "--output", pages, reader=fake_reader)
+    assert code == 2 and out["parsing_failures"] == 1 and not pathlib.Path(pages).exists()
+    code, out = run("extract", *base, *root, "--output", pages, "--allow-partial", reader=fake_reader)
+    assert code == 2 and records.read_lines(spark, pages, schemas.PAGES).count() == 2
+    target = str(tmp_path / "collected")
+    code, out = run("collect", "--manifest", str(tmp_path / "none.json"), "--output", target + "-bad",
+                    "--arxiv-id", "2608.20317v1", "--folder", str(tmp_path / "down"),
+                    fetch=lambda url: feed("2608.20317v1").encode())
+    assert code == 3 and "source_path" in out["failures"]["2608.20317v1"]  # absolute folders are refused
+    code, out = run("collect", "--manifest", str(tmp_path / "none.json"), "--output", target,
+                    "--arxiv-id", "2608.20317v1", fetch=lambda url: feed("2608.20317v1").encode())
+    assert code == 0 and out["added_papers"] == ["2608.20317v1"]
+    code, out = run("chunk", *base, "--pages", str(tmp_path / "runs" / "p"), "--run-root", str(tmp_path / "runs"),
+                    "--active-pointer", str(tmp_path / "a.json"))
+    assert code == 3 and "alias" in out["error"]
+
+
 def test_page_stream_adds_each_page_once(spark, tmp_path):
     inbox, target = tmp_path / "in", str(tmp_path / "chunks")
     inbox.mkdir()
