@@ -136,8 +136,12 @@ def catalog_report(papers: DataFrame, listing: DataFrame) -> DataFrame:
                                 F.col("available_pdfs")).alias("outcome"), "*")
 
 
+def breaks_token_budget(token_budget: int, ceiling: int) -> Column:
+    content, complete = F.col("content_token_count"), F.col("input_token_count")
+    return (content.isNull() | complete.isNull() | (content > token_budget)
+            | (complete > ceiling))
+
+
 def token_budget_breaches(chunks: DataFrame, token_budget: int, ceiling: int) -> DataFrame:
     """Chunks whose stored counts are absent or above the declared budgets."""
-    content, complete = F.col("content_token_count"), F.col("input_token_count")
-    return chunks.where(content.isNull() | complete.isNull() | (content > token_budget)
-                        | (complete > ceiling))
+    return chunks.where(breaks_token_budget(token_budget, ceiling))

@@ -350,16 +350,17 @@ SELECT (SELECT count(*) FROM spans WHERE tokens > 200) AS breaches,
   (SELECT bool_and({S.blank('text')} OR reached = length(text))
    FROM paper_pages LEFT JOIN per USING (paper_id, page_number)) AS all_pages_covered""")
 def token_budgets(spark, sf):
-    """Token passages against their budgets and their pages: nothing may be breached."""
+    """Token passages against their budgets and their pages, in one sweep."""
     pages = corpus.pages(spark, sf)
     chunks = chunking.chunk_pages(pages, TOKENS, PatternTokenizer())
-    breaches = facts.token_budget_breaches(
-        chunks, TOKENS.token_budget, TOKENS.max_input_tokens)
-    broken = contracts.chunk_violations(chunks, pages)
-    both = breaches.select(F.lit(1).alias("breach"), F.lit(0).alias("broken")).unionByName(
-        broken.select(F.lit(0).alias("breach"), F.lit(1).alias("broken")))
-    return both.agg(F.coalesce(F.sum("breach"), F.lit(0)).cast("long").alias("breaches"),
-                    (F.coalesce(F.sum("broken"), F.lit(0)) == 0).alias("all_pages_covered"))
+    swept = contracts.coverage_sweep(chunks, pages)
+    used = ~X.is_blank(F.col("page_text"))
+    hole = F.col("start_character") > F.col("reached_before")
+    short = used & ~F.col("reached").eqNullSafe(F.length("page_text").cast("long"))
+    over = F.col("chunk_id").isNotNull() & facts.breaks_token_budget(
+        TOKENS.token_budget, TOKENS.max_input_tokens)
+    return swept.agg(F.count_if(over).alias("breaches"),
+                     (F.count_if(hole | short) == 0).alias("all_pages_covered"))
 
 
 @query("chunk_overlaps", f"""
