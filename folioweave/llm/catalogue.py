@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = "sharding line_windows".split()
+MODULES = "sharding line_windows quality".split()
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}

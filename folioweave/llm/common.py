@@ -6,7 +6,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -34,7 +34,7 @@ def stored(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def native_text(name: str = "text"):
+def native_text(name: str = "text") -> Column:
     """The text column with null read as the empty string."""
     return F.coalesce(F.col(name), F.lit(""))
 
@@ -67,29 +67,42 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 _FACTOR = 0x5851F42D4C957F2D
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
-_BLOCK = 1 << 16
+_SPAN = 1 << 19
+_tables: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    held = _tables.get(base)
+    if held is None or len(held) < n:
+        held = np.full(max(n, _SPAN + 1), base, np.uint64)
+        held[0] = 1
+        held = np.multiply.accumulate(held)
+        if n <= _SPAN + 1:
+            _tables[base] = held
+    return held[:n]
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range [start, end): a polynomial from prefix sums, mixed."""
-    if not len(starts):
-        return np.empty(0, np.uint64)
-    weights = _powers(_FACTOR, len(data))
-    weights *= data.astype(np.uint64) + np.uint64(1)
-    prefix = np.empty(len(data) + 1, np.uint64)
-    prefix[0] = 0
-    np.cumsum(weights, out=prefix[1:])
-    del weights
-    value = prefix[ends] - prefix[starts]
-    del prefix
-    value *= _powers(_INVERSE, len(data) + 1)[starts]
-    return mix64(value ^ (ends - starts).astype(np.uint64) * MIX)
+    """A 64-bit hash of each byte range [start, end), given in ascending order.
+
+    A polynomial modulo 2^64 from prefix sums, mixed with the length. Bytes are taken half a
+    megabyte at a time, so memory does not grow with the batch.
+    """
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        base = starts[i]
+        j = max(i + 1, int(np.searchsorted(ends, base + _SPAN, "right")))
+        part = data[base:ends[j - 1]]
+        prefix = np.empty(len(part) + 1, np.uint64)
+        prefix[0] = 0
+        np.cumsum(_powers(_FACTOR, len(part)) * (part.astype(np.uint64) + np.uint64(1)),
+                  out=prefix[1:])
+        s, e = starts[i:j] - base, ends[i:j] - base
+        value = (prefix[e] - prefix[s]) * _powers(_INVERSE, len(part) + 1)[s]
+        out[i:j] = mix64(value ^ ((e - s).astype(np.uint64) * MIX))
+        i = j
+    return out
 
 
 def ranges_of(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,14 +121,19 @@ def ranges_of(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, np.flatnonzero(last) + 1
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
-    """The batch cut so that each part holds few bytes of text: rows stay whole."""
-    sizes = np.diff(text_buffer(batch.column(column))[1])
+def parts(column: pa.Array, limit: int = 4 << 20):
+    """(first row, rows) of stretches that each hold few bytes of text; rows stay whole."""
+    sizes = np.diff(text_buffer(column)[1])
     begin, held = 0, 0
-    for i, size in enumerate(sizes):
-        if held and held + size > limit:
-            yield batch.slice(begin, i - begin)
+    for i, size in enumerate(sizes.tolist()):
+        if i > begin and held + size > limit:
+            yield begin, i - begin
             begin, held = i, 0
-        held += int(size)
-    if begin < batch.num_rows:
-        yield batch.slice(begin)
+        held += size
+    if begin < len(column):
+        yield begin, len(column) - begin
+
+
+def fold(key: str) -> Column:
+    """crc32 of an id as text; null for a null id."""
+    return F.crc32(F.col(key).cast("string").cast("binary"))
