@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = "sharding line_windows quality".split()
+MODULES = "sharding line_windows quality vector_lsh".split()
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
