@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from folioweave.llm.common import fold, parts, ranges_of, stored, table, text_buffer, word_hashes
 
@@ -149,7 +150,7 @@ def pool_adjacent(score: np.ndarray, good: np.ndarray, n: np.ndarray):
     return held[:, 0] / held[:, 2], held[:, 1] / held[:, 2]
 
 
-@F.arrow_udf("array<double>")
+@F.arrow_udf(ArrayType(DoubleType()))
 def _stats_udf(text: pa.Array) -> pa.Array:
     pieces = [text_statistics(text.slice(i, n)) for i, n in parts(text)]
     flat = np.vstack(pieces) if pieces else np.zeros((0, STATS))
