@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = "sharding line_windows quality vector_lsh decontaminate".split()
+MODULES = "sharding line_windows quality vector_lsh decontaminate token_store".split()
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
