@@ -6,11 +6,11 @@ queries, sqrt(M^2 - |x|^2) for candidates, with M the largest norm. Each of ``TA
 query visits ``PROBES`` buckets of each table in ascending order of the summed squared
 distances to the bucket walls it would cross, the usual estimate of success.
 
-The first function of a bucket key is the cell that rows are dealt by. Cells are cut into a
-grid of candidate and query blocks by id hashes, so a cell that holds a third of all rows is
-many bounded tasks. Inside a block the visited buckets' candidates are scored by a matrix
-product; each query keeps its best ``k`` of the block, and scores of the kept ones are taken
-anew in one fixed order of summation. Blocks are merged by a grouped top-k of bounded lists.
+Candidates are cut into blocks by a hash of their ids and queries likewise, so a bucket or a
+vector that holds a third of all rows is spread over all blocks and every task is bounded.
+Inside a block the candidates of all visited buckets, over all tables, are merged and scored
+by a matrix product; each query keeps its best ``k`` of the block, and the kept scores are
+taken anew in one fixed order of summation. A grouped top-k merges the blocks.
 
 Defined results: vectors that are null, empty, zero, or have a null or non-finite component
 take no part; vectors whose length differs from the most frequent one (ties: the smaller)
@@ -75,43 +75,24 @@ def query_keys(x: np.ndarray):
 _OFFSET, _BITS = 1 << 14, 15
 
 
-def _packed(fine: np.ndarray) -> np.ndarray:
-    """The further functions of a bucket as one integer."""
-    out = np.zeros(fine.shape[:-1], np.int64)
-    for f in range(fine.shape[-1]):
-        out = (out << _BITS) | (np.clip(fine[..., f] + _OFFSET, 0, 2 * _OFFSET - 1)).astype(np.int64)
+def _packed(keys: np.ndarray) -> np.ndarray:
+    """The functions of a bucket as one integer."""
+    out = np.zeros(keys.shape[:-1], np.int64)
+    for f in range(keys.shape[-1]):
+        out = (out << _BITS) | np.clip(keys[..., f] + _OFFSET, 0, 2 * _OFFSET - 1).astype(np.int64)
     return out
 
 
-def _deal_candidates(dim: int, largest: float):
+def _with_keys(dim: int, make):
+    """A task that adds ``keys``: for each table one bucket, or ``PROBES`` of them."""
     def run(batches):
         for batch in batches:
-            x = _vectors(batch.column("v"), dim)
-            for t, keys in enumerate(candidate_keys(x, largest)):
-                yield pa.RecordBatch.from_pydict({
-                    "t": pa.array(np.full(len(x), t, np.int32)), "cell": pa.array(keys[:, 0]),
-                    "cpart": batch.column("cpart"), "id": batch.column("id"),
-                    "v": batch.column("v"), "fine": pa.array(_packed(keys[:, 1:]))})
-    return run
-
-
-def _deal_queries(dim: int):
-    def run(batches):
-        for batch in batches:
-            x = _vectors(batch.column("v"), dim)
-            for t, keys in enumerate(query_keys(x)):
-                fine = _packed(keys[:, :, 1:])
-                cells = keys[:, :, 0]
-                for cell in np.unique(cells):
-                    hit = cells == cell
-                    rows = np.flatnonzero(hit.any(axis=1))
-                    yield pa.RecordBatch.from_pydict({
-                        "t": pa.array(np.full(len(rows), t, np.int32)),
-                        "cell": pa.array(np.full(len(rows), cell, np.int32)),
-                        "qpart": batch.column("qpart").take(pa.array(rows)),
-                        "id": batch.column("id").take(pa.array(rows)),
-                        "v": batch.column("v").take(pa.array(rows)),
-                        "fine": pa.array([fine[r][hit[r]] for r in rows], pa.list_(pa.int64()))})
+            keys = np.stack([_packed(k) for k in make(_vectors(batch.column("v"), dim))], axis=1)
+            flat = keys.reshape(len(keys), -1)
+            ends = np.arange(len(flat) + 1, dtype=np.int32) * flat.shape[1]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.ravel()))],
+                [*batch.schema.names, "keys"])
     return run
 
 
@@ -125,12 +106,13 @@ def _rerank(dim: int, k: int):
         c_id, q_id = left["id"].to_numpy(), right["id"].to_numpy()
         c = _vectors(left["v"].combine_chunks(), dim)
         q = _vectors(right["v"].combine_chunks(), dim)
-        buckets, slot = np.unique(left["fine"].to_numpy(), return_inverse=True)
-        probes = right["fine"].combine_chunks()
-        probe_row = np.repeat(np.arange(len(q)), np.diff(probes.offsets.to_numpy()))
-        flat = probes.flatten().to_numpy()
-        at = np.minimum(np.searchsorted(buckets, flat), len(buckets) - 1)
-        real = buckets[at] == flat
+        mine = left["keys"].combine_chunks().flatten().to_numpy().reshape(-1, TABLES)
+        asked = right["keys"].combine_chunks().flatten().to_numpy().reshape(len(q), TABLES, -1)
+        tables = []                     # for each table: buckets, candidates' and queries' places
+        for t in range(TABLES):
+            buckets, slot = np.unique(mine[:, t], return_inverse=True)
+            at = np.minimum(np.searchsorted(buckets, asked[:, t]), len(buckets) - 1)
+            tables.append((len(buckets), slot, at, buckets[at] == asked[:, t]))
         # equal vectors: only the k + 1 smallest ids of each can be among the results
         order = np.argsort(c_id, kind="stable")
         _, same = np.unique(np.ascontiguousarray(c[order]).view(
@@ -140,15 +122,18 @@ def _rerank(dim: int, k: int):
         start = np.flatnonzero(np.r_[True, same[by][1:] != same[by][:-1]])
         nth[by] = np.arange(len(by)) - np.repeat(start, np.diff(np.r_[start, len(by)]))
         keep = order[nth <= k]
-        c, c_id, slot = c[keep], c_id[keep], slot[keep]
+        c, c_id = c[keep], c_id[keep]
         out = []
         for low in range(0, len(q), 256):
             some = slice(low, min(low + 256, len(q)))
-            visits = np.zeros((some.stop - low, len(buckets)), bool)
-            mine = real & (probe_row >= low) & (probe_row < some.stop)
-            visits[probe_row[mine] - low, at[mine]] = True
+            visited = np.zeros((some.stop - low, len(c)), bool)
+            for n, slot, at, real in tables:
+                visits = np.zeros((some.stop - low, n), bool)
+                row, probe = np.nonzero(real[some])
+                visits[row, at[some][row, probe]] = True
+                visited |= visits[:, slot[keep]]
             score = q[some] @ c.T
-            score[~visits[:, slot] | (q_id[some, None] == c_id[None, :])] = -np.inf
+            score[~visited | (q_id[some, None] == c_id[None, :])] = -np.inf
             cut = (np.partition(score, -k, axis=1)[:, -k] if score.shape[1] > k
                    else np.full(len(score), -np.inf))
             scale = np.abs(q[some]).sum(1) * (np.abs(c).max() if len(c) else 0) * 1e-12
@@ -190,16 +175,17 @@ def search(rows: DataFrame, queries, key: str = "vec_id", vector: str = "embeddi
     dim, n, largest = sizes[0]["dim"], sizes[0]["n"], sizes[0]["largest"]
     cparts, qparts = math.ceil(n / BLOCK), max(1, math.ceil(sizes[0]["asked"] / QUERY_BLOCK))
     same = held.where(F.size("v") == dim)
-    candidates = (same.withColumn("cpart", F.pmod(F.xxhash64("id"), F.lit(cparts)).cast("int"))
-                  .mapInArrow(_deal_candidates(dim, largest),
-                              "t int, cell int, cpart int, id long, v array<double>, fine long")
+    kept = "part int, id long, v array<double>, keys array<long>"
+    candidates = (same.select(F.pmod(F.xxhash64("id"), F.lit(cparts)).cast("int").alias("part"), "id", "v")
+                  .mapInArrow(_with_keys(dim, lambda x: candidate_keys(x, largest)), kept)
+                  .withColumnRenamed("part", "cpart")
                   .withColumn("qpart", F.explode(F.sequence(F.lit(0), F.lit(qparts - 1)))))
     asked = (same.where(queries(F.col("id")))
-             .withColumn("qpart", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(qparts)).cast("int"))
-             .mapInArrow(_deal_queries(dim),
-                         "t int, cell int, qpart int, id long, v array<double>, fine array<long>")
+             .select(F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(qparts)).cast("int").alias("part"), "id", "v")
+             .mapInArrow(_with_keys(dim, query_keys), kept)
+             .withColumnRenamed("part", "qpart")
              .withColumn("cpart", F.explode(F.sequence(F.lit(0), F.lit(cparts - 1)))))
-    grid = ["t", "cell", "cpart", "qpart"]
+    grid = ["cpart", "qpart"]
     found = stored(candidates.groupBy(*grid).cogroup(asked.groupBy(*grid)).applyInArrow(
         _rerank(dim, k), "query_id long, vec_id long, score double"))
     # one row for each pair, then at most k rows of each block: bounded lists per query
