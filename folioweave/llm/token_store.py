@@ -17,6 +17,7 @@ an empty table gives empty files and no rows. Further columns of the input are n
 from __future__ import annotations
 
 from array import array
+from itertools import chain
 import re
 import zlib
 
@@ -29,13 +30,13 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from folioweave.llm.common import parts, table, work_folder
 
-TOKENIZER, END_ID, REMEMBERED = "byte_bpe_50k.json", 2, 800_000
+TOKENIZER, END_ID, REMEMBERED = "byte_bpe_50k.json", 2, 400_000
 ORC_OPTIONS = {"compression": "zstd", "orc.create.index": "true", "orc.row.index.stride": "5000",
                "orc.stripe.size": str(32 << 20), "orc.bloom.filter.columns": "doc_id",
                "orc.bloom.filter.fpp": "0.01"}
 
 _OTHER_SPACE = re.compile(r"[^\S \n]").search         # white space other than space and feed
-_POINTS = frozenset(".,;:!?")
+_POINTS, _MARKS = frozenset(".,;:!?"), ("\r", "\n")
 # Byte-level vocabularies spell the bytes that are no visible character by letters from 256 on.
 _HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
 _BYTE_LETTERS = {b: 256 + i for i, b in enumerate(_HIDDEN)}
@@ -52,36 +53,31 @@ class Encoder:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}       # words after a space, which their ids include
         self.others: dict[str, bytes] = {}      # any further tokens, as they are
+        self.sizes = 0, 0
 
     def _library(self, texts: list[str]) -> list[bytes]:
         got = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32).tobytes() for e in got]
 
-    def _letter_word(self, word: str) -> bytes:
-        """Ids of a word of letters after a space: one token of the pattern, merged by the library."""
-        spelled = "\u0120" + (word if word.isascii() else
-                              word.encode().decode("latin-1").translate(_BYTE_LETTERS))
-        return array("I", [t.id for t in self.merge(spelled)]).tobytes()
-
     def _learn(self, words: set[str]) -> None:
-        pointed, mixed = [], []
-        held, merge = self.words, self._letter_word
+        """Remember words after a space; one of letters is one token of the pattern."""
+        pointed, mixed, letters = [], [], []
         for w in words:
             if w.isalpha():
-                held[w] = merge(w)
+                letters.append(w)
             elif w and w[-1] in _POINTS and w[:-1].isalpha():
                 pointed.append(w)
             else:
                 mixed.append(w)
-        # of a mixed word, the first token begins with the space
-        pieces = {w: self.cut(" " + w) for w in mixed}
-        tokens = {t for p in pieces.values() for t in p}.union([w[-1] for w in pointed])
-        self._learn_others(tokens)
+        held, merge = self.words, self.merge
+        for w in {*letters, *[w[:-1] for w in pointed]}.difference(held):
+            spelled = w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            held[w] = array("I", [t.id for t in merge("\u0120" + spelled)]).tobytes()
+        # of a mixed word, the first token begins with the space, or with the line feed
+        pieces = {w: self.cut(" " + w if w[:1] not in _MARKS else w.lstrip("\r")) for w in mixed}
+        self._learn_others({t for p in pieces.values() for t in p}.union([w[-1] for w in pointed]))
         for w in pointed:
-            core = held.get(w[:-1])
-            if core is None:
-                core = held[w[:-1]] = merge(w[:-1])
-            held[w] = core + self.others[w[-1]]
+            held[w] = held[w[:-1]] + self.others[w[-1]]
         known = self.others.__getitem__
         for w, p in pieces.items():
             held[w] = b"".join(map(known, p))
@@ -90,30 +86,46 @@ class Encoder:
         new = list(tokens.difference(self.others))
         self.others.update(zip(new, self._library(new)))
 
-    def _plain(self, text: str) -> bool:
-        """Whether spaces stand alone, and line feeds alone or in pairs before a line."""
-        return not ("  " in text or " \n" in text or "\n " in text or "\n\n\n" in text
-                    or text.endswith("\n\n") or _OTHER_SPACE(text)
-                    or any(s in text for s in self.special))
+    def _cut(self, text: str) -> list[str] | None:
+        """The words between spaces and line feeds; None for a text with other white space,
+        neighbouring spaces or long blank stretches.
+
+        A line's first word, which no space precedes, is marked by a feed, or by a return
+        where it begins the text.
+        """
+        if ("  " in text or " \n" in text or "\n " in text or "\n\n\n" in text
+                or text.endswith("\n\n") or any(s in text for s in self.special)):
+            return None
+        lines = text.split("\n")
+        if not all(map(str.isprintable, lines)) and _OTHER_SPACE(text):
+            return None
+        out = ("\r" + lines[0]).split(" ")
+        for line in lines[1:]:
+            out += ("\n" + line).split(" ")
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cuts = [[line.split(" ") for line in t.split("\n")] if self._plain(t) else None
-                for t in texts]
-        if len(self.words) > REMEMBERED or len(self.others) > REMEMBERED:
-            self.words.clear()
-            self.others.clear()
-        lines = [line for c in cuts if c for line in c]
-        # a line's first word has no space before it
-        heads = {line[0] for line in lines}
-        self._learn_others(heads | {"\n"})
-        missing = set().union(*[line[1:] for line in lines]).difference(self.words)
-        if missing:
-            self._learn(missing)
-        known, head, feed = self.words.__getitem__, self.others, self.others["\n"]
+        cuts = list(map(self._cut, texts))
+        # once the memory is full, a call's new words are forgotten by the next
+        for memory, size in ((self.words, self.sizes[0]), (self.others, self.sizes[1])):
+            while len(memory) > max(size, REMEMBERED):
+                memory.popitem()
+        self.sizes = len(self.words), len(self.others)
+        words = list(chain.from_iterable([c for c in cuts if c]))
+        got = list(map(self.words.get, words))
+        missing = [i for i, ids in enumerate(got) if ids is None]
+        self._learn({words[i] for i in missing})
+        for i in missing:
+            got[i] = self.words[words[i]]
         whole = iter(self._library([t for t, c in zip(texts, cuts) if c is None]))
-        return [next(whole) if c is None else
-                feed.join([head[line[0]] + b"".join(map(known, line[1:])) for line in c])
-                for c in cuts]
+        out, at = [], 0
+        for cut in cuts:
+            if cut is None:
+                out.append(next(whole))
+            else:
+                out.append(b"".join(got[at:at + len(cut)]))
+                at += len(cut)
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
