@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = "sharding line_windows quality vector_lsh decontaminate token_store piece_lattice chosen_path".split()
+MODULES = "sharding line_windows quality vector_lsh decontaminate token_store piece_lattice chosen_path gear_chunks".split()
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
