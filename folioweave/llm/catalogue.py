@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = "sharding line_windows quality vector_lsh decontaminate token_store piece_lattice chosen_path gear_chunks".split()
+import corpus_pipeline
 
-QUERIES: dict = {}
+MODULES = ("piece_lattice gear_chunks line_windows token_store decontaminate interpolated_lm sharding "
+           "quality vector_lsh chosen_path").split()
+
+QUERIES: dict = {"pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {}
 for _name in MODULES:
     _module = importlib.import_module(f"folioweave.llm.{_name}")
