@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioweave.llm.common import parts, table
 
-MODEL, BEST, REMEMBERED = "piece_bpe_32k.model", 4, 300_000
+MODEL, BEST, REMEMBERED = "piece_bpe_32k.model", 4, 600_000
 SPACE, UNKNOWN_COST = "▁", 10.0
 _UNITS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
 _ONE = array("I").itemsize
@@ -94,22 +94,28 @@ class Pieces:
 
     def best_and_gap(self, unit: str) -> tuple[bytes, float, float]:
         """Ids of the best segmentation, its score, and how far the second is below."""
-        n, known = len(unit), self.begun.get
-        best, back = [-np.inf] * (n + 1), [None] * (n + 1)
+        n, known, low = len(unit), self.begun.get, -np.inf
+        best, back = [low] * (n + 1), [None] * (n + 1)
         best[0] = 0.0
         edges = []
         for i in range(n):
-            here = best[i]
-            for j in range(i + 1, n + 1):
+            here, j = best[i], i
+            single = False
+            while j < n:
+                j += 1
                 edge = known(unit[i:j], 0)
-                if edge:
-                    s = edge[1]
-                    edges.append((i, j, s))
-                    if here + s > best[j]:
-                        best[j], back[j] = here + s, (i, edge[0])
-                elif edge == 0:
+                if edge is None:
+                    continue
+                if edge == 0:
                     break
-            if unit[i] not in self.edges:
+                single |= j == i + 1
+                s = edge[1]
+                edges.append((i, j, s))
+                s += here
+                if s > best[j]:
+                    best[j] = s
+                    back[j] = i, edge[0]
+            if not single:
                 edges.append((i, i + 1, self.unknown))
                 if here + self.unknown > best[i + 1]:
                     best[i + 1] = here + self.unknown
@@ -121,13 +127,14 @@ class Pieces:
             path.add((i, at))
             at = i
         # the best way through every piece off the best path: the best of them is the second
-        rest, second = [-np.inf] * n + [0.0], -np.inf
+        rest, second = [low] * n + [0.0], low
         for i, j, s in reversed(edges):
-            after = s + rest[j]
-            if after > rest[i]:
-                rest[i] = after
-            if best[i] + after > second and (i, j) not in path:
-                second = best[i] + after
+            s += rest[j]
+            if s > rest[i]:
+                rest[i] = s
+            s += best[i]
+            if s > second and (i, j) not in path:
+                second = s
         return (array("I", [x for piece in reversed(ids) for x in piece]).tobytes(), best[n],
                 best[n] - second)
 
@@ -172,6 +179,18 @@ class Pieces:
     def spell(self, key: str) -> str:
         return key if key[:1] == "\n" else SPACE + key
 
+    def core(self, core: str) -> tuple[bytes, float, float]:
+        """A part of a unit; words are looked up among the units first."""
+        at = self.units.get(core[1:], self.size) if core[0] == SPACE else self.size
+        if at < self.size:
+            return self.blobs[at], self.score[at], self.gap[at]
+        held = self.cores.get(core)
+        if held is None:
+            held = self.best_and_gap(core)
+            if len(self.cores) < REMEMBERED // 2:
+                self.cores[core] = held
+        return held
+
     def learn(self, keys) -> None:
         score, gap = [], []
         for key in keys:
@@ -182,18 +201,16 @@ class Pieces:
                         cores.append(unit[begin:i])
                         begin = i
             cores.append(unit[begin:])
-            got = []
-            for core in cores:
-                held = self.cores.get(core)
-                if held is None:
-                    held = self.best_and_gap(core)
-                    if len(self.cores) < REMEMBERED:
-                        self.cores[core] = held
-                got.append(held)
             self.units[key] = len(self.blobs)
-            self.blobs.append(b"".join([g[0] for g in got]))
-            score.append(sum([g[1] for g in got]))
-            gap.append(min([g[2] for g in got]))
+            if len(cores) == 1:
+                blob, total, least = self.core(unit) if unit in self.cores else self.best_and_gap(unit)
+            else:
+                got = [self.core(core) for core in cores]
+                blob = b"".join([g[0] for g in got])
+                total, least = sum([g[1] for g in got]), min([g[2] for g in got])
+            self.blobs.append(blob)
+            score.append(total)
+            gap.append(least)
         self.score = np.concatenate([self.score, score])
         self.gap = np.concatenate([self.gap, gap])
 
