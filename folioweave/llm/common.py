@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 import numpy as np
@@ -19,11 +20,16 @@ def work_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
 
     A checkpoint folder already set on the context is used where that setting is absent.
-    Neither set is an error: a machine-local fallback would lose data on a cluster.
+    Where neither is, a session of one process makes its own; on a cluster that is an error,
+    as a machine-local folder would lose data.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="folioweave-")
+        context.setCheckpointDir(root)
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 

@@ -34,7 +34,7 @@ import zstandard
 
 from folioweave.llm.common import MIX, fold, mix64, parts, ranges_of, stored, table, text_buffer, word_hashes
 
-BUCKETS, ROUNDS, RANGE_BYTES = 24, 60, 16 << 20
+BUCKETS, ROUNDS, PRIOR, RANGE_BYTES = 24, 60, 100.0, 16 << 20
 PER_OCTAVE, OCTAVES = 4, 40
 MAIN, TUNING, HELD = 0, 1, 2
 
@@ -180,7 +180,10 @@ def _answered(answers: pa.Table, column: str) -> np.ndarray:
 
 
 def _bucket(context: np.ndarray) -> np.ndarray:
-    """0 for an unseen context, else one more than the logarithm of its count."""
+    """0 for an unseen context, else one more than the logarithm of its count.
+
+    Counts of all training text are scaled to the text that the weights were learned with.
+    """
     return np.minimum(np.where(context > 0, 1 + np.log2(np.maximum(context, 1)), 0).astype(np.int64), BUCKETS - 1)
 
 
@@ -216,24 +219,24 @@ def mixture(cells: np.ndarray, n: np.ndarray, floor: float) -> np.ndarray:
     def value(step):
         return np.where(step > 0, 2.0 ** ((step - 0.5) / PER_OCTAVE - OCTAVES), 0.0)
 
-    bucket, two, one = cells // _BINS ** 2, value(cells // _BINS % _BINS), value(cells % _BINS)
-    weights = np.tile([0.4, 0.5, 0.1], (BUCKETS, 1))
-    weights[0] = [0.0, 0.9, 0.1]
-    parts_ = np.column_stack([two, one, np.full(len(cells), floor)])
-    for b in range(BUCKETS):
-        mine = bucket == b
-        if not mine.any():
-            continue
+    def learned(mine, weights, prior, mass):
         for _ in range(ROUNDS):
-            share = parts_[mine] * weights[b]
+            share = parts_[mine] * weights
             share *= (n[mine] / share.sum(axis=1))[:, None]
-            weights[b] = share.sum(axis=0) / share.sum()
-        weights[b, 2] = max(weights[b, 2], 1e-6)
-        weights[b] /= weights[b].sum()
-    return weights
+            weights = (share.sum(axis=0) + mass * prior) / (share.sum() + mass)
+        weights = np.maximum(weights, [0, 0, 1e-6])
+        return weights / weights.sum()
+
+    bucket, two, one = cells // _BINS ** 2, value(cells // _BINS % _BINS), value(cells % _BINS)
+    parts_ = np.column_stack([two, one, np.full(len(cells), floor)])
+    start = np.array([0.4, 0.5, 0.1])
+    pooled = learned(bucket > 0, start, start, 1.0)
+    unseen = learned(bucket == 0, np.array([0.0, 0.9, 0.1]), np.array([0.0, 0.9, 0.1]), 1.0)
+    # a bucket with little text leans on the weights of all seen contexts
+    return np.vstack([unseen, *[learned(bucket == b, pooled, pooled, PRIOR) for b in range(1, BUCKETS)]])
 
 
-def _score(weights: np.ndarray, n: int, v: int):
+def _score(weights: np.ndarray, n: int, v: int, scale: float):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         schema = {"id": left["ids"].type.value_type, "fold": pa.int32(), "n_tokens": pa.int64(),
                   "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
@@ -241,7 +244,7 @@ def _score(weights: np.ndarray, n: int, v: int):
             return pa.table({k: pa.array([], t) for k, t in schema.items()})
         held = _Batch.of(left["words"][0].as_py(), left["tokens"][0].as_py())
         context, two, one, count = _frequencies(held, _answered(right, "train"), n)
-        mix = weights[_bucket(context)]
+        mix = weights[_bucket(context * scale)]
         model = np.log10(mix[:, 0] * two + mix[:, 1] * one + mix[:, 2] / (v + 1))
         base = np.log10((count + 0.1) / (n + 0.1 * (v + 1)))
         lens = np.array(left["lens"][0].as_py(), np.int64)
@@ -282,7 +285,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     weights = mixture(cells["cell"].to_numpy(np.int64), cells["n"].to_numpy(np.float64), 1 / (v_main + 1))
     scored = packed.groupBy("batch").cogroup(
         answers.where("batch <> -1").select("batch", "part", "train").groupBy("batch")).applyInArrow(
-        _score(weights, n_train, v_train),
+        _score(weights, n_train, v_train, n_main / n_train if n_train else 1.0),
         f"id {kind.simpleString()}, fold int, n_tokens long, n_known long, base_score double, score double")
     return scored.select(
         F.col("id").alias("doc_id"), (F.col("fold") == HELD).alias("held_out"), "n_tokens", "n_known",

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from folioweave.llm.common import parts, table, work_folder
 
-TOKENIZER, END_ID, REMEMBERED = "byte_bpe_50k.json", 2, 400_000
+TOKENIZER, END_ID, REMEMBERED = "byte_bpe_50k.json", 2, 600_000
 ORC_OPTIONS = {"compression": "zstd", "orc.create.index": "true", "orc.row.index.stride": "5000",
                "orc.stripe.size": str(32 << 20), "orc.bloom.filter.columns": "doc_id",
                "orc.bloom.filter.fpp": "0.01"}
@@ -150,8 +150,9 @@ def _encode_partition(path: str, end: int):
                 values = pa.array(np.frombuffer(b"".join(ids), np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, part, np.int32)), pa.array(np.arange(seq, seq + n)),
-                     batch.column("doc_id").slice(low, n), pa.ListArray.from_arrays(pa.array(ends), values)],
-                    ["part", "seq", "doc_id", "ids"])
+                     batch.column("doc_id").slice(low, n), pa.array(np.diff(ends)),
+                     pa.ListArray.from_arrays(pa.array(ends), values)],
+                    ["part", "seq", "doc_id", "n_ids", "ids"])
                 seq += n
     return run
 
@@ -168,12 +169,12 @@ def write_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     kind = docs.schema[key].dataType.simpleString()
     (rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
      .mapInArrow(_encode_partition(tokenizer, end_id),
-                 f"part int, seq long, doc_id {kind}, ids array<int>")
+                 f"part int, seq long, doc_id {kind}, n_ids int, ids array<int>")
      .write.options(**ORC_OPTIONS).orc(path))
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """part, seq (the order of all documents), doc_id and ids."""
+    """part, seq (the order of all documents), doc_id, n_ids and ids."""
     return spark.read.orc(path)
 
 
@@ -200,8 +201,8 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
     kind = stored.schema["doc_id"].dataType.simpleString()
     rows = stored.mapInArrow(
         _checks, f"part int, seq long, doc_id {kind}, n_tokens long, ids_crc32 long")
-    # one row for each written file: its total and what comes before it
-    totals = stored.groupBy("part").agg(F.sum(F.size("ids").cast("long")).alias("n"))
+    # one row for each written file: its total, read without the ids, and what comes before it
+    totals = stored.groupBy("part").agg(F.sum(F.col("n_ids").cast("long")).alias("n"))
     before = totals.select(F.col("part").alias("p"), (F.sum("n").over(
         Window.orderBy("part")) - F.col("n")).alias("before"))
     inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("seq")) - F.col("n_tokens")
