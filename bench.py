@@ -26,7 +26,7 @@ def main() -> None:
     chosen = os.environ.get("BENCH_QUERIES", "").split() or list(QUERIES)
     spark = build_session(f"local[{cpus}]", "folioweave-bench", {
         "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false",
+        "spark.ui.showConsoleProgress": "false", "folioweave.readPartitions": cpus,
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g")})
     spark.sparkContext.setLogLevel("ERROR")
 

@@ -6,6 +6,7 @@ are found by one forward pass per page. Pages are independent of each other.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 import re
 
@@ -40,27 +41,47 @@ def boundary_spans(text: str, size: int, overlap: int) -> Iterator[tuple]:
         start = end - overlap
 
 
+def _fitting(text: str, start: int, stop: int, tokenizer, budget: int, ceiling: int):
+    """The longest slice from ``start`` up to ``stop`` within both budgets, and its measure.
+
+    Longer slices have no fewer tokens, so where the first try is too long the rest is
+    halved: a slice is measured a few times, however far it has to shrink.
+    """
+    def fits(measure):
+        return measure.content <= budget and measure.complete <= ceiling
+
+    found = tokenizer.measure(text[start:stop])
+    if fits(found):
+        return stop, found
+    low, high, best = start, stop, None
+    while high - low > 1:
+        middle = (low + high) // 2
+        tried = tokenizer.measure(text[start:middle])
+        if fits(tried):
+            low, best = middle, tried
+        else:
+            high = middle
+    if best is None:
+        raise ValueError("one character is more than the token budget")
+    return low, best
+
+
 def token_spans(text: str, tokenizer, budget: int, overlap: int, ceiling: int) -> Iterator[tuple]:
-    """Spans of at most ``budget`` content tokens, re-measured after slicing."""
-    start, length = 0, len(text)
-    while True:
-        ahead = tokenizer.first_offsets(text, start, budget + 1)
-        limit = start + ahead[budget - 1][1] if len(ahead) > budget else length
-        end = last_break(text, start, limit, start + 1)
-        content, complete = tokenizer.counts(text[start:end])
-        while content > budget or complete > ceiling:
-            end -= 1
-            if end <= start:
-                raise ValueError("the token budget does not hold a single character")
-            content, complete = tokenizer.counts(text[start:end])
-        yield start, end, content, complete
-        if end >= length:
+    """Spans of at most ``budget`` tokens whose slices were measured on their own.
+
+    The page is encoded once; where a span may end is looked up among its tokens.
+    """
+    ends = [end for _, end in tokenizer.measure(text).spans]
+    start = 0
+    while start < len(text):
+        ahead = bisect_right(ends, start)
+        last = ahead + budget
+        reach = ends[last - 1] if last < len(ends) else len(text)
+        stop = last_break(text, start, max(reach, start + 1), start + 1)
+        stop, measure = _fitting(text, start, stop, tokenizer, budget, ceiling)
+        yield start, stop, measure.content, measure.complete
+        if stop == len(text):
             return
-        follow = end
-        if overlap:
-            inside = tokenizer.offsets(text[start:end])
-            if inside:
-                follow = max(start + 1, start + inside[-min(overlap, len(inside))][0])
-        if follow <= start:
-            raise ValueError("chunking cannot advance")
-        start = follow
+        kept = measure.spans[-overlap:] if overlap else []
+        # the next span repeats the last tokens, but never begins where this one began
+        start = max(start + 1, start + kept[0][0]) if kept else stop

@@ -150,8 +150,10 @@ def changed_conversations(stored: DataFrame, memory: DataFrame) -> DataFrame:
 
     def side(rows: DataFrame, own: str, other: str) -> DataFrame:
         # Positions are counted from the conversation's first message.
-        return rows.select("conversation_id", "seq", content.alias(own),
-                           F.lit(None).cast("string").alias(other))
+        first = rows.groupBy("conversation_id").agg(F.min("seq").alias("first"))
+        return rows.join(first, "conversation_id").select(
+            "conversation_id", (F.col("seq") - F.col("first")).alias("seq"), content.alias(own),
+            F.lit(None).cast("string").alias(other))
 
     both = side(memory, "new", "old").unionByName(side(stored, "old", "new"))
     paired = both.groupBy("conversation_id", "seq").agg(

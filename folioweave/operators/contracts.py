@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import types as T
 
 from folioweave import fixed_values as V
 from folioweave.functions import identity
@@ -166,10 +168,12 @@ def page_violations(pages: DataFrame, papers: DataFrame) -> DataFrame:
 def coverage_sweep(chunks: DataFrame, pages: DataFrame) -> DataFrame:
     """Chunks and pages side by side with the running state of each page's coverage.
 
-    One shuffle on (paper, page) serves the join and the windows. A group is one page,
-    so its size is bounded by a single stored value.
+    One shuffle on (paper, page) serves the join and the windows. Of a page only its length,
+    hash and blankness travel, so a page of many chunks costs each of them a few bytes.
     """
-    source = pages.select(*PAGE_KEY, F.col("text").alias("page_text"),
+    text = F.col("text")
+    source = pages.select(*PAGE_KEY, F.length(text).alias("page_length"), is_blank(text).alias("page_blank"),
+                          identity.sha256(text).alias("page_sha256"),
                           citation_hash().alias("page_citation"))
     own = chunks.withColumn("chunk_citation", citation_hash())
     joined = own.join(source, list(PAGE_KEY), "full_outer")
@@ -184,21 +188,46 @@ def coverage_sweep(chunks: DataFrame, pages: DataFrame) -> DataFrame:
         "position": F.row_number().over(order)})
 
 
+def _cut_correctly(text: pd.Series, spans: pd.Series) -> pd.Series:
+    """For each page, which of its spans hold exactly the characters they name."""
+    def checked(page, own):
+        return [page is not None and 0 <= s["start"] <= s["end"] <= len(page)
+                and page[s["start"]:s["end"]] == s["text"] for s in own]
+
+    return pd.Series([checked(p, s) for p, s in zip(text, spans)])
+
+
+_cut_correctly.__annotations__ = {"text": pd.Series, "spans": pd.Series, "return": pd.Series}
+
+
+def checked_slices(chunks: DataFrame, pages: DataFrame) -> DataFrame:
+    """``chunk_id, right``: does a chunk's page hold its text at its place?
+
+    A page meets its spans once, as one array, so its text is read once however many chunks
+    it has. A null span or text is wrong; chunks of unknown pages are not listed.
+    """
+    span = F.struct("chunk_id", F.coalesce("start_character", F.lit(-1)).alias("start"),
+                    F.coalesce("end_character", F.lit(-1)).alias("end"), "text")
+    spans = chunks.groupBy(*PAGE_KEY).agg(F.collect_list(span).alias("spans"))
+    check = F.pandas_udf(_cut_correctly, T.ArrayType(T.BooleanType()))
+    met = pages.select(*PAGE_KEY, "text").join(spans, list(PAGE_KEY))
+    both = F.arrays_zip(F.col("spans.chunk_id").alias("chunk_id"), F.col("right").alias("right"))
+    return met.withColumn("right", check("text", "spans")).select(F.inline(both))
+
+
 def chunk_violations(chunks: DataFrame, pages: DataFrame) -> DataFrame:
     """Row rules, linkage, exact slices, hashes, unique identifiers and full coverage.
 
-    Everything is judged in the one pass of ``coverage_sweep``. Identifiers are derived
-    from content, so two rows can share a valid one only on the same span of the same
-    page, where they are neighbours; anything else breaks the ``chunk_id`` row rule.
+    All but the slices are judged in the one pass of ``coverage_sweep``. Identifiers are
+    derived from content, so two rows can share a valid one only on the same span of the
+    same page, where they are neighbours; anything else breaks the ``chunk_id`` row rule.
     """
     swept = coverage_sweep(chunks, pages)
-    text, start, end = F.col("page_text"), F.col("start_character"), F.col("end_character")
-    is_chunk, usable = F.col("chunk_id").isNotNull(), ~is_blank(text)
+    start = F.col("start_character")
+    is_chunk, usable = F.col("chunk_id").isNotNull(), ~F.col("page_blank")
     linked = {
         "citation": F.col("chunk_citation") == F.col("page_citation"),
-        "slice": (end <= F.length(text))
-        & (F.substring(text, start + 1, end - start) == F.col("text")),
-        "page_hash": F.col("page_text_sha256") == identity.sha256(text),
+        "page_hash": F.col("page_text_sha256") == F.col("page_sha256"),
         "gap": start <= F.col("reached_before"),
         "repeated_span": start > F.col("previous_start"),
         "chunk_id_duplicate": ~F.col("chunk_id").eqNullSafe(F.col("previous_id"))}
@@ -206,11 +235,14 @@ def chunk_violations(chunks: DataFrame, pages: DataFrame) -> DataFrame:
     broken = F.concat(
         F.when(is_chunk, _broken(chunk_rules())).otherwise(none),
         F.when(is_chunk, _broken({"source_page": usable})).otherwise(none),
-        F.when(is_chunk & text.isNotNull(), _broken(linked)).otherwise(none),
+        F.when(is_chunk & F.col("page_length").isNotNull(), _broken(linked)).otherwise(none),
         F.when(usable & (F.col("position") == 1),
-               _broken({"page_end": F.col("reached") == F.length(text)})).otherwise(none))
+               _broken({"page_end": F.col("reached") == F.col("page_length")})).otherwise(none))
     key = F.coalesce(F.col("chunk_id"), _page_key())
-    return _exploded(swept, key, broken)
+    wrong = checked_slices(chunks.where("chunk_id IS NOT NULL"), pages).where("NOT right").select(
+        F.lit("slice").alias("rule"), F.col("chunk_id").alias("key"),
+        F.lit(None).cast("string").alias("detail"))
+    return _exploded(swept, key, broken).unionByName(wrong)
 
 
 def require_empty(violations: DataFrame, what: str) -> None:

@@ -147,62 +147,16 @@ def summary(scores: DataFrame) -> DataFrame:
         F.avg("reciprocal_rank").alias("mean_reciprocal_rank"))
 
 
-def _ranks(count: int, share: float) -> tuple[int, int, float]:
-    place = share * (count - 1)
-    low = int(place)
-    return low, min(low + 1, count - 1), place - low
-
-
-def latency(timings: DataFrame, shares: tuple[float, ...] = (0.5, 0.95),
-            bins: int = 1024) -> list[dict]:
+def latency(timings: DataFrame, shares: tuple[float, ...] = (0.5, 0.95)) -> DataFrame:
     """Exact interpolated percentiles of ``(state, seconds)`` per caching state.
 
-    Every pass counts ``bins`` intervals around each wanted rank with map-side combining
-    and narrows to the one that holds it, so no task ever gathers a state's timings. The
-    driver sees at most states * ranks * bins counts per pass.
+    The aggregate counts equal values on the map side. A null state is a state of its own;
+    null and non-finite timings are not trials.
     """
-    spark = timings.sparkSession
-    rows = timings.select("state", F.col("seconds").cast("double").alias("seconds")).where(
-        "seconds IS NOT NULL")
-    ends = rows.groupBy("state").agg(F.count("*").alias("n"), F.min("seconds").alias("low"),
-                                     F.max("seconds").alias("high")).collect()
-    open_ranks = {}
-    for row in ends:
-        for rank in {r for s in shares for r in _ranks(row["n"], s)[:2]}:
-            open_ranks[(row["state"], rank)] = (row["low"], row["high"], 0)
-    known = {}
-    while open_ranks:
-        for key, (low, high, _) in list(open_ranks.items()):
-            if low == high:
-                known[key] = low
-                del open_ranks[key]
-        if not open_ranks:
-            break
-        targets = spark.createDataFrame(
-            [(s, r, low, high) for (s, r), (low, high, _) in open_ranks.items()],
-            "state string, rank long, low double, high double")
-        inside = rows.join(F.broadcast(targets), "state").where(
-            F.col("seconds").between(F.col("low"), F.col("high")))
-        share = (F.col("seconds") - F.col("low")) / (F.col("high") - F.col("low"))
-        counts = inside.groupBy("state", "rank", F.floor(share * bins).alias("bin")).agg(
-            F.count("*").alias("n"), F.min("seconds").alias("low"),
-            F.max("seconds").alias("high")).collect()
-        by_target: dict = {}
-        for row in counts:
-            by_target.setdefault((row["state"], row["rank"]), []).append(row)
-        for key, found in by_target.items():
-            before = open_ranks[key][2]
-            for row in sorted(found, key=lambda r: r["bin"]):
-                if key[1] < before + row["n"]:
-                    open_ranks[key] = (row["low"], row["high"], before)
-                    break
-                before += row["n"]
-    result = []
-    for row in ends:
-        line = {"state": row["state"], "trials": row["n"]}
-        for share in shares:
-            low, high, part = _ranks(row["n"], share)
-            first, second = known[(row["state"], low)], known[(row["state"], high)]
-            line[f"p{round(share * 100)}"] = first + (second - first) * part
-        result.append(line)
-    return result
+    seconds = F.col("seconds").cast("double")
+    known = timings.select("state", seconds.alias("seconds")).where(
+        F.abs("seconds") < float("inf"))
+    found = known.groupBy("state").agg(
+        F.count("*").alias("trials"), F.percentile("seconds", list(shares)).alias("found"))
+    return found.select("state", "trials", *[
+        F.col("found")[i].alias(f"p{round(share * 100)}") for i, share in enumerate(shares)])

@@ -22,27 +22,36 @@ def _zero(name: str) -> Column:
 def _tagged(rows: DataFrame, **flags: Column) -> DataFrame:
     names = ("requested", "page_count", "usable_pages", "empty_pages", "characters",
              "chunk_count")
+    reason = F.col("status") if "reason" in flags else F.lit(None).cast("string")
     return rows.select("paper_id", *[
-        flags[n].cast("long").alias(n) if n in flags else _zero(n) for n in names])
+        flags[n].cast("long").alias(n) if n in flags else _zero(n) for n in names],
+        reason.alias("reason"))
 
 
-def paper_coverage(papers: DataFrame, pages: DataFrame,
-                   chunks: DataFrame | None = None) -> DataFrame:
-    """One row per requested paper: zero-filled counts and why a paper is left out."""
+def paper_coverage(papers: DataFrame, pages: DataFrame, chunks: DataFrame | None = None,
+                   failures: DataFrame | None = None) -> DataFrame:
+    """One row per requested paper: zero-filled counts and why a paper is left out.
+
+    ``failures`` (``paper_id, status``) says why a paper without usable pages has none, as
+    its reader found; without an entry the pages alone decide.
+    """
     one = F.lit(1)
     parts = [_tagged(papers, requested=one),
              _tagged(pages, page_count=one, usable_pages=~is_blank(F.col("text")),
                      empty_pages=F.length("text") == 0, characters=F.length("text"))]
     if chunks is not None:
         parts.append(_tagged(chunks, chunk_count=one))
+    if failures is not None:
+        parts.append(_tagged(failures, reason=one))
     totals = reduce(DataFrame.unionByName, parts).groupBy("paper_id").agg(
-        F.max("requested").alias("requested"),
+        F.max("requested").alias("requested"), F.max("reason").alias("reason"),
         *[F.sum(n).alias(n) for n in ("page_count", "usable_pages", "empty_pages",
                                       "characters", "chunk_count")])
     status = (F.when(F.col("usable_pages") > 0, "included")
+              .when(F.col("reason").isNotNull(), F.col("reason"))
               .when(F.col("page_count") == 0, "missing_page_papers")
               .otherwise("papers_without_usable_text"))
-    return totals.where("requested = 1").drop("requested").withColumn("status", status)
+    return totals.where("requested = 1").withColumn("status", status).drop("requested", "reason")
 
 
 def blank_pages(pages: DataFrame) -> DataFrame:
@@ -94,23 +103,19 @@ def quality_facts(papers: DataFrame, pages: DataFrame, chunks: DataFrame,
 
 def extraction_report(papers: DataFrame, pages: DataFrame,
                       failures: DataFrame | None = None) -> DataFrame:
-    """One row of extraction counters; failures are papers whose reader failed."""
-    coverage = paper_coverage(papers, pages)
-    if failures is not None:
-        coverage = coverage.join(failures.select("paper_id", F.lit(True).alias("failed")),
-                                 "paper_id", "left")
-    else:
-        coverage = coverage.withColumn("failed", F.lit(False))
-    failed = F.coalesce(F.col("failed"), F.lit(False))
+    """One row of extraction counters; ``failures`` as in ``paper_coverage``."""
+    coverage = paper_coverage(papers, pages, None, failures)
+    status, none = F.col("status"), F.col("page_count") == 0
     # "Usable" here means any non-empty cleaned page, as the extraction counters define it.
     has_text = F.col("characters") > 0
+    failed = none & (status == "parsing_failures")
+    absent = none & status.isin("missing_pdfs", "missing_page_papers")
     counted = coverage.agg(
         F.count("*").alias("papers_attempted"), F.count_if(has_text).alias("papers_succeeded"),
         F.coalesce(F.sum("page_count"), F.lit(0)).alias("pages_extracted"),
         F.coalesce(F.sum("empty_pages"), F.lit(0)).alias("empty_page_count"),
-        F.count_if((F.col("page_count") == 0) & ~failed).alias("missing_pdfs"),
-        F.count_if(failed).alias("parsing_failures"),
-        F.count_if((F.col("page_count") > 0) & ~has_text).alias("papers_without_usable_text"),
+        F.count_if(absent).alias("missing_pdfs"), F.count_if(failed).alias("parsing_failures"),
+        F.count_if(~has_text & ~failed & ~absent).alias("papers_without_usable_text"),
         F.coalesce(F.sum("characters"), F.lit(0)).alias("extracted_characters"))
     complete = F.col("papers_succeeded") == F.col("papers_attempted")
     result = (F.when(F.col("extracted_characters") == 0, V.FAILURE)

@@ -13,8 +13,6 @@ from folioweave import schemas
 from folioweave.functions.text import clean_text, extract_abstract, squeeze, strip
 
 LINES_PER_PAGE = 8
-# Documents below these lengths stand for PDFs that are missing or hold no usable text.
-MISSING_BELOW, SCANNED_BELOW = 60, 120
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,19 +46,15 @@ def _described(docs: DataFrame) -> DataFrame:
     return named.withColumn("title", title)
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Share rows of a few small files among all cores.
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as they are read; where a session asks for it, dealt out first.
 
-    A table with at least as many files as cores is read as it is: this adds no shuffle
-    to a large table.
+    ``folioweave.readPartitions`` serves small files of one row group, whose scan is one
+    task. It is unset by default, so a large table is never shuffled before its work.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if len(rows.inputFiles()) >= cores else rows.repartition(cores, key)
-
-
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return spread(rows, "doc_id")
+    wanted = spark.conf.get("folioweave.readPartitions", None)
+    return rows.repartition(int(wanted), "doc_id") if wanted else rows
 
 
 def described_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +69,7 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 NOISE = ((". ", ".\r\n\r\n\r\n "), (", ", ",\u00a0\t "), (" the ", " the\x00 "),
          (" of ", " of\x0b "))
-BLANK_PAGE, SCANNED_PAGE = " \n\t", "\x00 \r\n"
+BLANK_PAGE = " \n\t"
 
 
 def add_noise(text: Column) -> Column:
@@ -87,15 +81,13 @@ def add_noise(text: Column) -> Column:
 
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uncleaned pages: lines in groups of eight; German papers end in a blank page."""
-    docs = _described(documents(spark, sf_dir).where(F.length("text") >= MISSING_BELOW))
+    docs = _described(documents(spark, sf_dir))
     last = F.expr(f"cast((size(lines) - 1) div {LINES_PER_PAGE} as int)")
     groups = F.transform(F.sequence(F.lit(0), last), lambda g: F.array_join(
         F.slice(F.col("lines"), g * LINES_PER_PAGE + 1, F.lit(LINES_PER_PAGE)), "\n"))
     tail = F.when(F.col("lang") == "de", F.array(F.lit(BLANK_PAGE)))
     tail = tail.otherwise(F.array().cast("array<string>"))
-    readable = F.length("text") >= SCANNED_BELOW
-    body = F.when(readable, F.transform(groups, add_noise)).otherwise(
-        F.array(F.lit(SCANNED_PAGE)))
+    body = F.transform(groups, add_noise)
     citation = [name for name, _ in schemas.CITATION]
     return (docs.withColumn("lines", F.split("text", "\n"))
             .select(*citation, F.posexplode_outer(F.concat(body, tail)).alias("index", "raw_text"))
@@ -106,3 +98,29 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_pages(spark, sf_dir).withColumn("text", clean_text(F.col("raw_text"))).select(
         *schemas.PAGES.names)
+
+
+def withheld(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Papers beside the documents whose files cannot be used, one for each benchmark item.
+
+    In turn a file no reader can open, one that is absent, and one with a blank page.
+    """
+    pid = F.format_string("9999.%05dv1", F.col("item_id"))
+    return table(spark, sf_dir, "benchmark").select("item_id").distinct().select(
+        pid.alias("paper_id"), F.lit("v1").alias("paper_version"), F.lit("Withheld").alias("title"),
+        F.array(F.lit("Author withheld"), F.lit("Editor none")).alias("authors"),
+        F.concat(F.lit("data/withheld/"), pid, F.lit(".pdf")).alias("source_path"),
+        F.element_at(F.array(F.lit("parsing_failures"), F.lit("missing_pdfs"),
+                             F.lit("papers_without_usable_text")),
+                     (F.col("item_id") % 3 + 1).cast("int")).alias("status"))
+
+
+def requested_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = withheld(spark, sf_dir).drop("status")
+    return papers(spark, sf_dir).unionByName(extra, allowMissingColumns=True)
+
+
+def requested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blank = withheld(spark, sf_dir).where("status = 'papers_without_usable_text'").select(
+        "paper_id", F.lit(1).cast("long").alias("page_number"), F.lit("").alias("text"))
+    return pages(spark, sf_dir).unionByName(blank, allowMissingColumns=True)

@@ -147,7 +147,7 @@ class PaperIndex:
 
     def search(self, question: str, k: int = 5) -> DataFrame:
         papers, _ = self._parts()
-        hits = VS.nearest(papers, self._question(question), VS.check_bound("n", k))
+        hits = VS.nearest(papers, self._question(question), VS.check_count("k", k))
         return VS.with_payload(hits, papers.select("id", "title", "url"), "id", k).select(
             "id", "title", "url", F.round("similarity", 3).alias("score")).orderBy(
                 F.desc("score"), "id")
@@ -164,7 +164,7 @@ class PaperIndex:
         _, chunks = self._parts()
         inside = chunks.where(F.col("paper_id").isin(*sorted(set(paper_ids)))) if paper_ids else (
             chunks.limit(0))
-        hits = VS.nearest(inside, self._question(question), VS.check_bound("k", k))
+        hits = VS.nearest(inside, self._question(question), VS.check_count("k", k))
         return self._passages(hits, chunks, k)
 
     def search_two_stage(self, question: str, n_papers: int = 10, k: int = 5) -> DataFrame:
@@ -176,7 +176,7 @@ class PaperIndex:
         """Single-stage search in the form the agent and the interface use."""
         _, chunks = self._parts()
         vector = self._question(question)
-        rows = self._passages(VS.nearest(chunks, vector, VS.check_bound("k", k)), chunks, k, 4)
+        rows = self._passages(VS.nearest(chunks, vector, VS.check_count("k", k)), chunks, k, 4)
         return {"query": question, "embedding_model": self.model, "dimensions": len(vector),
                 "query_embedding": [round(float(x), 5) for x in vector],
                 "passages": [row.asDict() for row in rows.collect()]}

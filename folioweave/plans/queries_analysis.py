@@ -168,15 +168,14 @@ def retrieval_quality(spark, sf):
 
 @query("citation_correctness", f"""WITH RECURSIVE {S.PAGES}, {S.boundary_chunks()}
 SELECT count(*) AS chunks, count(*) FILTER (WHERE s.text = substring(p.text, start_character + 1, end_character - start_character)) AS reconstructed,
-  1.0::DOUBLE AS share FROM spans s JOIN paper_pages p USING (paper_id, page_number)""")
+  count(*) FILTER (WHERE s.text = substring(p.text, start_character + 1, end_character - start_character)) / count(*)::DOUBLE AS share FROM spans s JOIN paper_pages p USING (paper_id, page_number)""")
 def citation_correctness(spark, sf):
     """Share of passages that their cited page reproduces exactly."""
     pages = corpus.pages(spark, sf)
-    swept = contracts.coverage_sweep(chunking.chunk_pages(pages, chunking.ChunkSettings()), pages)
-    start, end = F.col("start_character"), F.col("end_character")
-    right = F.substring("page_text", start + 1, end - start) == F.col("text")
-    counted = swept.where("chunk_id IS NOT NULL").agg(
-        F.count("*").alias("chunks"), F.count_if(right).alias("reconstructed"))
+    checked = contracts.checked_slices(
+        chunking.chunk_pages(pages, chunking.ChunkSettings()), pages)
+    counted = checked.agg(F.count("*").alias("chunks"),
+                          F.count_if("right").alias("reconstructed"))
     return counted.select("*", F.try_divide("reconstructed", "chunks").alias("share"))
 
 
@@ -185,6 +184,5 @@ def citation_correctness(spark, sf):
 def latency_percentiles(spark, sf):
     timings = corpus.table(spark, sf, "events").select(
         F.col("event_type").alias("state"), F.col("value").alias("seconds"))
-    return spark.createDataFrame(evaluation.latency(timings),
-                                 "state string, trials long, p50 double, p95 double").select(
+    return evaluation.latency(timings).select(
         "state", "trials", F.round("p50", 6).alias("p50"), F.round("p95", 6).alias("p95"))

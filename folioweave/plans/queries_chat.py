@@ -46,19 +46,15 @@ def _shown(name):
 
 
 @query("conversation_listing", f"""WITH {_MESSAGES}
-SELECT row_number() OVER (ORDER BY updated_at DESC, created_at DESC, id DESC) AS position, id,
+SELECT id,
   coalesce(title, 'Untitled chat') AS title,
   strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at FROM titled
-QUALIFY row_number() OVER (ORDER BY updated_at DESC, created_at DESC, id DESC) <= 50""")
+ORDER BY titled.updated_at DESC, titled.created_at DESC, id DESC""")
 def conversation_listing(spark, sf):
-    """The first 50 sidebar entries, most recently active first."""
-    listed = chat.conversation_listing(conversations(spark, sf)).limit(50)
-    ordered = listed.agg(F.sort_array(F.collect_list(F.struct(
-        "updated_at", "created_at", "id", "title")), asc=False).alias("rows"))
-    flat = ordered.select(F.posexplode("rows").alias("at", "r"))
-    return flat.select((F.col("at") + 1).cast("long").alias("position"), "r.id",
-                       chat.display_title(F.col("r.title")).alias("title"),
-                       _shown("r.updated_at"), _shown("r.created_at"))
+    """All sidebar entries, most recently active first: one range sort."""
+    return chat.conversation_listing(conversations(spark, sf)).select(
+        "id", chat.display_title(F.col("title")).alias("title"),
+        _shown("updated_at"), _shown("created_at"))
 
 
 @query("messages_in_order", f"""WITH {_MESSAGES} SELECT conversation_id, seq, role, content, retrievals FROM messages
@@ -164,3 +160,27 @@ def created_conversations(spark, sf):
     named = made.withColumn("title", F.when(F.col("title").isNotNull() & (F.col("id") == "5"),
                                             "renamed").otherwise(F.col("title")))
     return named.select("id", "title")
+
+
+@query("passage_totals", f"""WITH {_MESSAGES}
+SELECT conversation_id, coalesce(sum(CASE WHEN role = 'agent' THEN seq % 4 END), 0)::BIGINT AS passages
+FROM messages GROUP BY conversation_id""")
+def passage_totals(spark, sf):
+    """Passages shown in each conversation; every reply of this store shows up to three."""
+    shown = F.array_join(F.array_repeat(F.lit("{}"), (F.col("seq") % 4).cast("int")), ",")
+    searches = F.concat(F.lit('[{"query":"q","passages":['), shown, F.lit("]}]"))
+    rows = messages(spark, sf).withColumn("retrievals", F.when(F.col("role") == "agent", searches))
+    return chat.passage_totals(rows)
+
+
+@query("opened_conversation", f"""WITH {_MESSAGES}
+SELECT 'store' AS side, conversation_id, seq, CASE WHEN conversation_id = '3' THEN upper(content) ELSE content END AS content FROM messages
+UNION ALL SELECT 'memory', conversation_id, seq, content FROM messages WHERE conversation_id = '5'""")
+def opened_conversation(spark, sf):
+    """Conversation 5 is opened while an edited conversation 3 is left: it is stored first."""
+    stored = messages(spark, sf)
+    memory = stored.where("conversation_id = '3'").withColumn("content", F.upper("content"))
+    store, held = chat.open_conversation(stored, memory, "5", "3")
+    sides = [rows.select(F.lit(side).alias("side"), "conversation_id", "seq", "content")
+             for side, rows in (("store", store), ("memory", held))]
+    return sides[0].unionByName(sides[1])

@@ -11,29 +11,29 @@ from folioweave.plans import corpus, sql_parts as S
 from folioweave.plans.queries_text import FIXED
 from folioweave.plans.registry import query
 
-_COVERAGE = f"""{S.PAGES}, {S.fixed_chunks()},
+_COVERAGE = f"""{S.PAGES}, {S.fixed_chunks()}, {S.REQUESTED},
 page_sums AS (SELECT paper_id, count(*) AS page_count, count(*) FILTER (WHERE NOT {S.blank('text')}) AS usable_pages,
-  count(*) FILTER (WHERE text = '') AS empty_pages, sum(length(text))::BIGINT AS characters FROM paper_pages GROUP BY 1),
+  count(*) FILTER (WHERE text = '') AS empty_pages, sum(length(text))::BIGINT AS characters FROM requested_pages GROUP BY 1),
 chunk_sums AS (SELECT paper_id, count(*) AS chunk_count FROM spans GROUP BY 1),
 coverage AS (SELECT d.paper_id, coalesce(page_count, 0) AS page_count, coalesce(usable_pages, 0) AS usable_pages,
   coalesce(empty_pages, 0) AS empty_pages, coalesce(characters, 0)::BIGINT AS characters,
   coalesce(chunk_count, 0) AS chunk_count,
   CASE WHEN coalesce(usable_pages, 0) > 0 THEN 'included' WHEN page_count IS NULL THEN 'missing_page_papers'
        ELSE 'papers_without_usable_text' END AS status
-  FROM described d LEFT JOIN page_sums USING (paper_id) LEFT JOIN chunk_sums USING (paper_id))"""
+  FROM requested d LEFT JOIN page_sums USING (paper_id) LEFT JOIN chunk_sums USING (paper_id))"""
 
 
 @query("paper_coverage", f"WITH {_COVERAGE} SELECT * FROM coverage")
 def paper_coverage(spark, sf):
-    pages = corpus.pages(spark, sf)
-    return facts.paper_coverage(corpus.papers(spark, sf), pages, chunking.cut_pages(
+    pages = corpus.requested_pages(spark, sf)
+    return facts.paper_coverage(corpus.requested_papers(spark, sf), pages, chunking.cut_pages(
         pages.select("paper_id", "text"), FIXED))
 
 
 @query("quality_facts", f"""WITH {_COVERAGE},
 c AS (SELECT count(*) AS requested_papers, count(*) FILTER (WHERE status = 'included') AS included_papers,
         count(*) FILTER (WHERE status <> 'included') AS excluded_papers FROM coverage),
-p AS (SELECT count(*) AS pages_loaded, count(*) FILTER (WHERE {S.blank('text')}) AS blank_pages FROM paper_pages),
+p AS (SELECT count(*) AS pages_loaded, count(*) FILTER (WHERE {S.blank('text')}) AS blank_pages FROM requested_pages),
 k AS (SELECT count(*) AS chunks_written, count(DISTINCT {S.chunk_id(FIXED.profile_hash())}) AS unique_chunk_ids,
         count(*) FILTER (WHERE {S.blank('text')}) AS whitespace_chunk_count,
         coalesce(max(length(text)), 0)::BIGINT AS maximum_chunk_characters FROM spans)
@@ -42,8 +42,8 @@ SELECT CASE WHEN chunks_written = 0 THEN 'failure' WHEN included_papers = reques
   CASE WHEN chunks_written > 0 THEN true END AS storage_round_trip_valid, 'not_requested' AS tokenizer_validation
 FROM c, p, k""")
 def quality_facts(spark, sf):
-    pages = corpus.pages(spark, sf)
-    return facts.quality_facts(corpus.papers(spark, sf), pages,
+    pages = corpus.requested_pages(spark, sf)
+    return facts.quality_facts(corpus.requested_papers(spark, sf), pages,
                                chunking.chunk_pages(pages, FIXED), FIXED.profile)
 
 
@@ -55,13 +55,16 @@ def blank_pages(spark, sf):
 @query("extraction_report", f"""WITH {_COVERAGE},
 r AS (SELECT count(*) AS papers_attempted, count(*) FILTER (WHERE characters > 0) AS papers_succeeded,
   sum(page_count)::BIGINT AS pages_extracted, sum(empty_pages)::BIGINT AS empty_page_count,
-  count(*) FILTER (WHERE page_count = 0) AS missing_pdfs, 0::BIGINT AS parsing_failures,
+  count(*) FILTER (WHERE page_count = 0 AND paper_id NOT IN (SELECT paper_id FROM withheld WHERE reason = 0)) AS missing_pdfs,
+  (SELECT count(*) FROM withheld WHERE reason = 0) AS parsing_failures,
   count(*) FILTER (WHERE page_count > 0 AND characters = 0) AS papers_without_usable_text,
   sum(characters)::BIGINT AS extracted_characters FROM coverage)
 SELECT CASE WHEN extracted_characters = 0 THEN 'failure' WHEN papers_succeeded = papers_attempted THEN 'success'
   ELSE 'partial_failure' END AS outcome, *, pages_extracted - empty_page_count AS usable_page_count FROM r""")
 def extraction_report(spark, sf):
-    return facts.extraction_report(corpus.papers(spark, sf), corpus.pages(spark, sf))
+    failed = corpus.withheld(spark, sf).select("paper_id", "status")
+    return facts.extraction_report(corpus.requested_papers(spark, sf),
+                                   corpus.requested_pages(spark, sf), failed)
 
 
 @query("page_contiguity", f"""WITH {S.PAGES}
@@ -90,31 +93,32 @@ def dataset_digest(spark, sf):
 
 
 def _listing(spark, sf):
-    """Files of readable length; a third of the sources hold empty files."""
+    """The files of all documents; sources that end in 3 hold empty ones."""
     rows = corpus.described_documents(spark, sf)
     size = F.when(F.endswith("source", F.lit("3")), 0).otherwise(F.length("text"))
-    return rows.where(F.length("text") >= corpus.MISSING_BELOW).select(
+    return rows.select(
         F.col("source_path").alias("path"), size.alias("length"))
 
 
 @query("catalog_report", f"""WITH {S.DESCRIBED},
-a AS (SELECT length(text) >= {corpus.MISSING_BELOW} AND NOT ends_with(source, '3') AS available FROM described),
+a AS (SELECT length(text) > 0 AND NOT ends_with(source, '3') AS available FROM described
+  UNION ALL SELECT false FROM (SELECT DISTINCT item_id FROM benchmark)),
 c AS (SELECT count(*) AS manifest_papers, count(*) FILTER (WHERE available) AS available_pdfs,
   count(*) FILTER (WHERE NOT available) AS missing_pdfs FROM a)
 SELECT CASE WHEN available_pdfs = 0 THEN 'failure' WHEN missing_pdfs = 0 THEN 'success' ELSE 'partial_failure' END
   AS outcome, * FROM c""")
 def catalog_report(spark, sf):
-    return facts.catalog_report(corpus.papers(spark, sf), _listing(spark, sf))
+    return facts.catalog_report(corpus.requested_papers(spark, sf), _listing(spark, sf))
 
 
 @query("outcome_codes", f"""WITH {_COVERAGE},
 g AS (SELECT source, count(*) AS requested, count(*) FILTER (WHERE status = 'included') AS included,
-        sum(chunk_count) AS chunks FROM coverage JOIN described USING (paper_id) GROUP BY source)
+        sum(chunk_count) AS chunks FROM coverage JOIN requested USING (paper_id) GROUP BY source)
 SELECT source, CASE WHEN chunks = 0 THEN 'failure' WHEN included = requested THEN 'success' ELSE 'partial_failure' END AS outcome,
   CASE WHEN chunks = 0 THEN 3 WHEN included = requested THEN 0 ELSE 2 END AS exit_code FROM g""")
 def outcome_codes(spark, sf):
-    pages = corpus.pages(spark, sf)
-    papers = corpus.papers(spark, sf)
+    pages = corpus.requested_pages(spark, sf)
+    papers = corpus.requested_papers(spark, sf)
     covered = facts.paper_coverage(papers, pages, chunking.cut_pages(
         pages.select("paper_id", "text"), FIXED))
     source = papers.select("paper_id", F.replace(F.get("authors", F.lit(0)), F.lit("Author "),
@@ -127,14 +131,20 @@ def outcome_codes(spark, sf):
         "exit_code", facts.exit_code(F.col("outcome")))
 
 
-@query("source_failures", f"""WITH {_COVERAGE}, f AS (SELECT status AS category, paper_id FROM coverage WHERE status <> 'included'),
+@query("source_failures", f"""WITH {_COVERAGE}, f AS (SELECT CASE reason WHEN 0 THEN 'parsing_failures' WHEN 1 THEN 'missing_pdfs'
+  WHEN 2 THEN 'papers_without_usable_text' ELSE status END AS category, paper_id
+  FROM coverage LEFT JOIN withheld USING (paper_id) WHERE status <> 'included'),
 n AS (SELECT unnest(['missing_pdfs', 'parsing_failures', 'papers_without_usable_text', 'missing_page_papers']) AS category)
 SELECT category, count(paper_id) AS papers,
-  (SELECT count(*) FROM f) = (SELECT count(*) FROM coverage WHERE status <> 'included') AS partitions_exclusions
+  (SELECT count(*) = count(DISTINCT paper_id) AND count(*) = (SELECT count(*) FROM requested WHERE paper_id NOT IN (
+     SELECT paper_id FROM requested_pages WHERE NOT {S.blank('text')}))
+   FROM f WHERE category IN (SELECT category FROM n)) AS partitions_exclusions
 FROM n LEFT JOIN f USING (category) GROUP BY category""")
 def source_failures(spark, sf):
     """Failure classes with their sizes, and whether they split the exclusions exactly."""
-    covered = facts.paper_coverage(corpus.papers(spark, sf), corpus.pages(spark, sf))
+    failures = corpus.withheld(spark, sf).select("paper_id", "status")
+    covered = facts.paper_coverage(corpus.requested_papers(spark, sf),
+                                   corpus.requested_pages(spark, sf), None, failures)
     excluded = covered.where("status <> 'included'")
     flags = [F.count_if(F.col("status") == name).alias(name) for name in V.FAILURE_CATEGORIES]
     row = excluded.agg(F.count("*").alias("excluded"),
@@ -232,8 +242,13 @@ def manifest_equality(spark, sf):
         (F.count("*") == 0).alias("equal"))
 
 
-@query("storage_round_trip", f"""WITH {S.PAGES}, {S.fixed_chunks()} SELECT count(*) AS chunks, 0::BIGINT AS differing_rows,
-  CASE WHEN count(*) > 0 THEN true END AS storage_round_trip_valid FROM spans""")
+@query("storage_round_trip", f"""WITH {S.PAGES}, {S.fixed_chunks()},
+lines AS (SELECT *, to_json({{'p': paper_id, 'n': page_number, 's': start_character, 'e': end_character, 't': text}}) AS line FROM spans),
+checked AS (SELECT json_extract_string(line, '$.t') = text AND json_extract_string(line, '$.p') = paper_id
+  AND CAST(json_extract(line, '$.n') AS BIGINT) = page_number AND CAST(json_extract(line, '$.s') AS BIGINT) = start_character
+  AND CAST(json_extract(line, '$.e') AS BIGINT) = end_character AS same FROM lines)
+SELECT count(*) AS chunks, count(*) FILTER (WHERE same IS DISTINCT FROM true) AS differing_rows,
+  CASE WHEN count(*) > 0 THEN coalesce(bool_and(same), false) END AS storage_round_trip_valid FROM checked""")
 def storage_round_trip(spark, sf):
     """Passages encoded to JSON lines and decoded again must be the same multiset."""
     chunks = chunking.chunk_pages(corpus.pages(spark, sf), FIXED)
@@ -277,3 +292,17 @@ def readable_sources(spark, sf):
     return rows.select("paper_id", F.startswith(body, F.lit(V.PDF_MAGIC)).alias("has_magic"),
                        (~X.is_blank(F.col("text"))).alias("readable"),
                        F.sha2(body, 256).alias("file_sha256"))
+
+
+@query("hash_contract", f"""WITH {S.PAGES},
+signed AS (SELECT paper_id, page_number, CASE page_number % 4 WHEN 1 THEN sha256(text) WHEN 2 THEN upper(sha256(text))
+  WHEN 3 THEN substring(sha256(text), 2) ELSE sha256(text) || '0' END AS signature FROM paper_pages)
+SELECT paper_id, page_number, signature, regexp_full_match(signature, '[0-9a-f]{{64}}') AS valid FROM signed""")
+def hash_contract(spark, sf):
+    """Page hashes, three of four spelled wrongly, against the rule for hashes."""
+    right = identity.sha256(F.col("text"))
+    number = F.col("page_number") % 4
+    spelled = (F.when(number == 1, right).when(number == 2, F.upper(right))
+               .when(number == 3, F.substring(right, 2, 64)).otherwise(F.concat(right, F.lit("0"))))
+    return corpus.pages(spark, sf).select("paper_id", "page_number", spelled.alias("signature")).withColumn(
+        "valid", identity.is_hash(F.col("signature")))

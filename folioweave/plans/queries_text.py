@@ -279,8 +279,8 @@ WITH {S.PAGES}, {S.fixed_chunks()},
 ids AS (SELECT *, {S.chunk_id(_PROFILE)} AS chunk_id FROM spans),
 changed AS (
   SELECT paper_id, page_number, chunk_id, start_character, end_character,
-    CASE WHEN page_number = 3 THEN upper(text) ELSE text END AS text,
-    page_number = 3 AND upper(text) <> text AS edited
+    CASE page_number WHEN 3 THEN translate(text, 'aeiou', 'AEIOU') WHEN 5 THEN text || 'x' ELSE text END AS text,
+    page_number = 3 AND translate(text, 'aeiou', 'AEIOU') <> text OR page_number = 5 AS edited
   FROM ids WHERE NOT (page_number = 2 AND start_character = 1600)
   UNION ALL SELECT paper_id, page_number, chunk_id, start_character, end_character, text, false FROM ids WHERE page_number = 4),
 swept AS (
@@ -289,7 +289,8 @@ swept AS (
     coalesce(lag(start_character) OVER w, -1) AS previous, lag(chunk_id) OVER w AS previous_id
   FROM changed c JOIN paper_pages p USING (paper_id, page_number)
   WINDOW w AS (PARTITION BY paper_id, page_number ORDER BY start_character, end_character, chunk_id)),
-ends AS (SELECT p.paper_id, p.page_number, length(any_value(p.text)) AS n, max(c.end_character) AS reached
+ends AS (SELECT p.paper_id, p.page_number, length(any_value(p.text)) AS n, max(c.end_character) AS reached,
+    coalesce(min_by(c.chunk_id, {{'s': c.start_character, 'e': c.end_character, 'i': c.chunk_id}}), p.paper_id || '#' || p.page_number) AS key
   FROM paper_pages p LEFT JOIN changed c USING (paper_id, page_number) WHERE NOT {S.blank('p.text')} GROUP BY 1, 2),
 rules AS (
   SELECT 'chunk_id' AS rule, chunk_id AS key FROM swept WHERE edited
@@ -297,8 +298,9 @@ rules AS (
   UNION ALL SELECT 'gap', chunk_id FROM swept WHERE start_character > before
   UNION ALL SELECT 'repeated_span', chunk_id FROM swept WHERE start_character <= previous
   UNION ALL SELECT 'chunk_id_duplicate', chunk_id FROM swept WHERE chunk_id = previous_id
-  UNION ALL SELECT 'page_end', '' FROM ends WHERE reached IS DISTINCT FROM n)
-SELECT rule, count(*) AS violations, count(DISTINCT key) AS keys FROM rules GROUP BY rule""")
+  UNION ALL SELECT 'offset_length', chunk_id FROM swept WHERE length(text) <> end_character - start_character
+  UNION ALL SELECT 'page_end', key FROM ends WHERE reached IS DISTINCT FROM n)
+SELECT rule, key FROM rules""")
 def chunk_violations(spark, sf):
     pages = corpus.pages(spark, sf)
     chunks = chunking.chunk_pages(pages, FIXED)
@@ -307,12 +309,9 @@ def chunk_violations(spark, sf):
     times = F.when(dropped, F.array().cast("array<int>")).when(
         number == 4, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     changed = chunks.withColumn("copy", F.explode(times)).drop("copy").withColumn(
-        "text", F.when(number == 3, F.upper("text")).otherwise(F.col("text")))
-    found = contracts.chunk_violations(changed, pages)
-    key = F.when(F.col("rule") == "page_end", "").otherwise(F.col("key"))
-    # Upper-casing may lengthen a text ("ß"), which also breaks the length rule.
-    return found.where("rule <> 'offset_length'").withColumn("key", key).groupBy("rule").agg(
-        F.count("*").alias("violations"), F.count_distinct("key").alias("keys"))
+        "text", F.when(number == 3, F.translate("text", "aeiou", "AEIOU"))
+        .when(number == 5, F.concat("text", F.lit("x"))).otherwise(F.col("text")))
+    return contracts.chunk_violations(changed, pages).select("rule", "key")
 
 
 def _spans_sql(chunks: str, profile: str) -> str:
@@ -354,9 +353,9 @@ def token_budgets(spark, sf):
     pages = corpus.pages(spark, sf)
     chunks = chunking.chunk_pages(pages, TOKENS, PatternTokenizer())
     swept = contracts.coverage_sweep(chunks, pages)
-    used = ~X.is_blank(F.col("page_text"))
+    used = ~F.col("page_blank")
     hole = F.col("start_character") > F.col("reached_before")
-    short = used & ~F.col("reached").eqNullSafe(F.length("page_text").cast("long"))
+    short = used & ~F.col("reached").eqNullSafe(F.col("page_length").cast("long"))
     over = F.col("chunk_id").isNotNull() & facts.breaks_token_budget(
         TOKENS.token_budget, TOKENS.max_input_tokens)
     return swept.agg(F.count_if(over).alias("breaches"),
@@ -404,8 +403,8 @@ def chunk_coverage(spark, sf):
         F.count_if(start > F.col("reached_before")).alias("gaps"),
         F.count_if(start <= F.col("previous_start")).alias("repeats"),
         F.coalesce(F.max("end_character"), F.lit(0)).alias("reached"),
-        F.max(F.length("page_text")).cast("long").alias("length"),
-        F.bool_or(X.is_blank(F.col("page_text"))).alias("blank"))
+        F.max("page_length").cast("long").alias("length"),
+        F.bool_or("page_blank").alias("blank"))
     whole = (F.col("reached") == F.col("length")) | F.col("blank")
     return per.select("paper_id", "page_number", "chunks", "gaps", "repeats", "reached",
                       whole.alias("complete"))

@@ -93,12 +93,10 @@ _LINES = corpus.LINES_PER_PAGE
 RAW_PAGES = DESCRIBED + f""",
 bodies AS (
   SELECT * EXCLUDE (text),
-         CASE WHEN length(text) >= {corpus.SCANNED_BELOW} THEN
-           list_transform(range(0, (len(string_split(text, {LF})) - 1) // {_LINES} + 1),
-             lambda g: {noise(f"array_to_string(string_split(text, {LF})[g * {_LINES} + 1:g * {_LINES} + {_LINES}], {LF})")})
-         ELSE [{sql_text(corpus.SCANNED_PAGE)}] END
+         list_transform(range(0, (len(string_split(text, {LF})) - 1) // {_LINES} + 1),
+           lambda g: {noise(f"array_to_string(string_split(text, {LF})[g * {_LINES} + 1:g * {_LINES} + {_LINES}], {LF})")})
          || CASE WHEN lang = 'de' THEN [{sql_text(corpus.BLANK_PAGE)}] ELSE [] END AS body
-  FROM described WHERE length(text) >= {corpus.MISSING_BELOW}),
+  FROM described),
 raw_pages AS (
   SELECT * EXCLUDE (body), unnest(range(1, len(body) + 1)) AS page_number,
          unnest(body) AS raw_text FROM bodies)"""
@@ -106,6 +104,12 @@ raw_pages AS (
 PAGES = RAW_PAGES + f""",
 paper_pages AS (SELECT * EXCLUDE (raw_text), {clean('raw_text')} AS text FROM raw_pages)"""
 
+REQUESTED = """
+withheld AS (SELECT DISTINCT printf('9999.%05dv1', item_id) AS paper_id, item_id % 3 AS reason FROM benchmark),
+requested AS (SELECT paper_id, source FROM described UNION ALL SELECT paper_id, 'withheld' FROM withheld),
+requested_pages AS (SELECT paper_id, text FROM paper_pages
+  UNION ALL SELECT paper_id, '' FROM withheld WHERE reason = 2)"""
+
 
 def fixed_chunks(size: int = 1800, overlap: int = 200, pages: str = "paper_pages",
                  name: str = "spans") -> str:

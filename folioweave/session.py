@@ -1,9 +1,7 @@
-"""Session settings and the shared checkpoint folder."""
+"""Session settings."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the operators are planned around. A cluster profile overrides the sizes
@@ -31,18 +29,3 @@ def build_session(master: str | None = None, app: str = "folioweave",
     for key, value in {**DEFAULTS, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def checkpoint_root(spark: SparkSession) -> str:
-    """The folder for checkpoints and work tables.
-
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests,
-    a laptop) is a temporary folder made.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="folioweave-checkpoint-")
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured

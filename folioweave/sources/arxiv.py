@@ -98,7 +98,7 @@ def download(papers: list[tuple[str, str, str]], present: set[str], write: Calla
         try:
             content = fetch(url)
             if not content.startswith(V.PDF_MAGIC):
-                raise ValueError("response did not begin with a PDF header")
+                raise ValueError("the service sent something other than a PDF")
             write(path, content)
             report["downloaded_pdfs"].append(paper_id)
         except Exception as error:

@@ -18,16 +18,25 @@ class Files:
         self._jvm = spark.sparkContext._jvm
         self._gateway = spark.sparkContext._gateway
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._systems: dict = {}
 
     def _path(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(path)
 
     def _system(self, path: str):
-        system = self._path(path).getFileSystem(self._conf)
-        # Control files carry their own hashes; no checksum side files on local disks.
-        system.setVerifyChecksum(False)
-        system.setWriteChecksum(False)
-        return system
+        """An instance of its own: Spark's shared one keeps its checksums.
+
+        Control files carry their own hashes and get no checksum files on local disks.
+        """
+        uri = self._path(path).toUri()
+        key = f"{uri.getScheme()}://{uri.getAuthority()}"
+        if key not in self._systems:
+            hadoop = self._jvm.org.apache.hadoop.fs.FileSystem
+            self._systems[key] = hadoop.newInstance(
+                self._path(path).getFileSystem(self._conf).getUri(), self._conf)
+            self._systems[key].setVerifyChecksum(False)
+            self._systems[key].setWriteChecksum(False)
+        return self._systems[key]
 
     def exists(self, path: str) -> bool:
         return self._system(path).exists(self._path(path))
@@ -93,7 +102,36 @@ class Files:
         if not self._system(source).rename(self._path(source), self._path(target)):
             raise OSError(f"cannot move {source} to {target}")
 
+    def listing_hash(self, path: str) -> str:
+        """A hash of all files below a folder: path, length and modification time."""
+        found = hashlib.sha256()
+        entries = self._system(path).listFiles(self._path(path), True)
+        lines = []
+        while entries.hasNext():
+            entry = entries.next()
+            lines.append(f"{entry.getPath()} {entry.getLen()} {entry.getModificationTime()}")
+        for line in sorted(lines):
+            found.update(line.encode() + b"\n")
+        return found.hexdigest()
+
     def sha256(self, path: str) -> str | None:
         if not self.exists(path) or self.is_directory(path):
             return None
-        return hashlib.sha256(self.read_bytes(path)).hexdigest()
+        stream = self._system(path).open(self._path(path))
+        try:
+            return self._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+        finally:
+            stream.close()
+
+    def first_character(self, path: str) -> str:
+        """The first character that is no white space or byte-order mark; empty if none."""
+        if not self.exists(path):
+            raise FileNotFoundError(path)
+        stream = self._system(path).open(self._path(path))
+        try:
+            while (byte := stream.read()) >= 0:
+                if byte not in b" \t\r\n\xef\xbb\xbf":
+                    return chr(byte)
+            return ""
+        finally:
+            stream.close()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+import hashlib
 import io
 
 import pandas as pd
@@ -12,7 +13,7 @@ from folioweave import fixed_values as V, schemas
 from folioweave.functions.text import clean_text
 
 # path, 1-based page number (null for a file without pages), text, error
-PAGE_ROWS = "path string, page_number long, raw_text string, error string"
+PAGE_ROWS = "path string, page_number long, raw_text string, error string, sha256 string"
 
 
 def pypdf_pages(content: bytes) -> list[str | None]:
@@ -23,7 +24,7 @@ def pypdf_pages(content: bytes) -> list[str | None]:
         raise RuntimeError("pypdf is needed to read PDF files") from error
     reader = PdfReader(io.BytesIO(content), strict=False)
     if reader.is_encrypted and not reader.decrypt(""):
-        raise ValueError("PDF is password-protected")
+        raise ValueError("the file asks for a password")
     return [page.extract_text() for page in reader.pages]
 
 
@@ -37,7 +38,10 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> Data
 def read_pages(spark: SparkSession, folder: str,
                reader: Callable[[bytes], list[str | None]] = pypdf_pages,
                pattern: str = "*.pdf") -> DataFrame:
-    """One row per physical page, or one error row per file that cannot be read.
+    """One row per physical page, or one row without page for a file that has none.
+
+    Such a row carries the reader's error, or no error for a file of zero pages. Every row
+    holds its file's hash, so the file is read once for pages and provenance.
 
     A file is all or nothing: a reader that fails midway keeps none of its pages.
     """
@@ -52,9 +56,11 @@ def read_pages(spark: SparkSession, folder: str,
                     texts, error = list(reader(bytes(value))), None
                 except Exception as problem:
                     texts, error = [], str(problem) or type(problem).__name__
+                digest = hashlib.sha256(bytes(value)).hexdigest()
                 numbers = list(range(1, len(texts) + 1)) or [None]
                 yield pd.DataFrame({"path": path, "page_number": pd.array(numbers, dtype="Int64"),
-                                    "raw_text": texts or [None], "error": error})
+                                    "raw_text": texts or [None], "error": error,
+                                    "sha256": digest})
 
     return content.mapInPandas(extract, PAGE_ROWS)
 
@@ -74,5 +80,16 @@ def pages_of_papers(papers: DataFrame, page_rows: DataFrame, root: str) -> DataF
     return papers.join(placed, "source_path").select(*schemas.PAGES.names)
 
 
+def paper_failures(papers: DataFrame, page_rows: DataFrame, root: str) -> DataFrame:
+    """``paper_id, status`` of every paper whose file gave no page, by the reader's finding."""
+    files = relative_paths(page_rows, root).groupBy(F.col("path").alias("source_path")).agg(
+        F.count("page_number").alias("pages"), F.max("error").alias("error"), F.lit(True).alias("found"))
+    status = (F.when(F.col("found").isNull(), "missing_pdfs")
+              .when(F.col("error").isNotNull(), "parsing_failures")
+              .otherwise("papers_without_usable_text"))
+    return papers.join(files, "source_path", "left").where("coalesce(pages, 0) = 0").select(
+        "paper_id", status.alias("status"))
+
+
 def has_pdf_header(content) -> bool:
     return bytes(content).startswith(V.PDF_MAGIC)

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from folioweave.functions import identity
 from folioweave.functions.text import is_blank
 from folioweave.operators import contracts
+from folioweave.sources.files import Files
+
 
 def parse_lines(lines: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
     """Parsed records beside the problem, if any, that each line has.
@@ -63,11 +65,15 @@ def write_lines(rows: DataFrame, path: str) -> None:
 
 
 def read_manifest(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A paper manifest: one JSON list of objects (multi-line) with its fields typed."""
-    with_list = spark.read.text(path, wholetext=True).select(
-        F.try_parse_json("value").alias("document"))
-    kind = with_list.select(F.schema_of_variant("document")).head()
-    if kind is None or not str(kind[0]).startswith("ARRAY"):
+    """A paper manifest: a folder of JSON lines, or one JSON list of objects in a file.
+
+    The folder, as ``save_manifest`` writes it, is the form for many papers: it is read in
+    parallel. A file is parsed as a stream, whatever its size.
+    """
+    files = Files(spark)
+    if files.exists(path) and files.is_directory(path):
+        return read_lines(spark, path, schema)
+    if files.first_character(path) != "[":
         raise ValueError("the paper manifest must be a JSON list")
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 

@@ -39,6 +39,8 @@ def test_dump_replaces_only_what_differs(spark):
     changed = chat.changed_conversations(stored, memory)
     assert sorted(r[0] for r in changed.collect()) == ["1", "2", "4"]
     assert chat.changed_conversations(stored, stored).count() == 0
+    later = stored.withColumn("seq", F.col("seq") + 57)
+    assert chat.changed_conversations(later, stored).count() == 0
     assert sorted(r["content"] for r in chat.dump(stored, memory).collect()) == ["edited", "hi", "x"]
     old, now = datetime.datetime(2024, 1, 1), datetime.datetime(2025, 1, 1)
     parents = spark.createDataFrame([("1", "t", old, old), ("9", None, old, old)], schemas.CONVERSATIONS)

@@ -80,7 +80,8 @@ def test_facts_and_reports(spark):
                 "partial_failure", 3, 2, 2, 2, 6, 1, 1)
     empty = facts.quality_facts(papers, pages, chunks.limit(0)).head()
     assert empty["outcome"] == "failure" and empty["storage_round_trip_valid"] is None
-    report = facts.extraction_report(papers, pages, spark.createDataFrame([(SECOND["paper_id"],)], "paper_id string")).head()
+    report = facts.extraction_report(papers, pages, spark.createDataFrame(
+        [(SECOND["paper_id"], "parsing_failures")], "paper_id string, status string")).head()
     assert (report["outcome"], report["parsing_failures"], report["missing_pdfs"], report["usable_page_count"]) == (
         "partial_failure", 1, 0, 2)
     codes = spark.createDataFrame([("success",), ("partial_failure",), ("failure",)], "o string")
@@ -97,3 +98,15 @@ def test_one_hot_paper_stays_in_small_partials(spark):
     assert rules(contracts.page_violations(rows, fixtures.papers(spark))) == []
     plan = contracts.page_facts(rows)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan and "collect_" not in plan
+
+
+def test_a_page_of_millions_of_characters_is_swept_once(spark):
+    text = "0123456789" * 500_000
+    pages = fixtures.pages(spark, text)
+    chunks = chunk_pages(pages, ChunkSettings("fixed_characters", 1800, 200))
+    assert contracts.chunk_violations(chunks, pages).count() == 0
+    wrong = chunks.withColumn("text", F.when(F.col("start_character") == 1600, F.reverse("text")).otherwise(F.col("text")))
+    found = {r["rule"] for r in contracts.chunk_violations(wrong, pages).collect()}
+    assert "slice" in found
+    plan = contracts.coverage_sweep(chunks, pages)._jdf.queryExecution().analyzed().toString()
+    assert "page_text#" not in plan

@@ -82,7 +82,7 @@ def test_guards(spark, place):
     one = index()
     one.index_papers(), one.index_chunks()
     with pytest.raises(ValueError):
-        one.search_two_stage("abc", k=21)
+        one.search_two_stage("abc", k=0)
     assert one.search_chunks("abc", [], 1).count() == 0
     paper, passages = one.paper_embeddings(PAPER["paper_id"])
     assert paper.count() == 1 and [r["start_character"] for r in passages.collect()] == [0, 4]
@@ -101,14 +101,14 @@ def test_answer_and_chat(spark, place):
     def always(messages, may_search):
         return {"searches": ["abc"]} if may_search else {"text": "done"}
 
-    reply = A.chat(spark, [{"role": "user", "content": "q"}], always, lambda q: one.search_passages(q, 1))
+    reply = A.chat([{"role": "user", "content": "q"}], always, lambda q: one.search_passages(q, 1))
     assert reply["content"] == "done" and len(reply["retrievals"]) == 3
 
     def failing(query):
         raise RuntimeError("down")
 
     told = []
-    A.chat(spark, [{"role": "user", "content": "q"}],
+    A.chat([{"role": "user", "content": "q"}],
            lambda m, s: told.append(m[-1]["content"]) or ({"searches": ["x"]} if len(told) == 1 else {"text": "t"}), failing)
     assert "could not be searched: down" in told[-1]
     memory = A.send_message([], "hello", lambda m: {"content": "hi", "retrievals": []})

@@ -31,7 +31,8 @@ def test_questions_in_blocks_agree(spark, monkeypatch):
     questions = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(pick.normal(size=(9, 4)))],
                                       "question_id long, embedding array<float>")
     one = sorted(map(tuple, VS.nearest_each(table, questions, 3).select("question_id", "id", "rank").collect()))
-    monkeypatch.setattr(VS, "QUESTIONS_PER_PASS", 4)
+    monkeypatch.setattr(VS, "QUESTIONS_PER_BLOCK", 4)
+    monkeypatch.setattr(VS, "VECTORS_PER_BLOCK", 7)
     assert one == sorted(map(tuple, VS.nearest_each(table, questions, 3).select("question_id", "id", "rank").collect()))
     assert len(one) == 27
 
@@ -88,12 +89,20 @@ def test_scores(spark):
 def test_latency_equals_numpy(spark):
     values = np.random.default_rng(6).exponential(size=999).round(3)
     rows = spark.createDataFrame([("warm", float(v)) for v in values] + [("cold", 1.0)], "state string, seconds double")
-    found = {r["state"]: r for r in evaluation.latency(rows, bins=8)}
+    found = {r["state"]: r.asDict() for r in evaluation.latency(rows).collect()}
     assert found["warm"]["p50"] == pytest.approx(np.percentile(values, 50))
     assert found["warm"]["p95"] == pytest.approx(np.percentile(values, 95))
     assert found["cold"] == {"state": "cold", "trials": 1, "p50": 1.0, "p95": 1.0}
 
 
+def test_latency_of_odd_timings(spark):
+    rows = spark.createDataFrame([(None, 1.0), (None, 3.0), ("warm", float("inf")), ("warm", float("nan")),
+                                  ("warm", None), ("warm", 2.0)], "state string, seconds double")
+    found = {r["state"]: r.asDict() for r in evaluation.latency(rows).collect()}
+    assert found[None]["p50"] == 2.0 and found[None]["trials"] == 2
+    assert found["warm"]["trials"] == 1 and found["warm"]["p95"] == 2.0
+
+
 def test_sets(spark):
     left = spark.createDataFrame([("a", 1), ("b", 2), ("b", 2)], "id string, v int")
     right = spark.createDataFrame([("b", 2), ("c", 3)], "id string, v int")

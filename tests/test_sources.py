@@ -1,5 +1,6 @@
 import json
 import pathlib
+import time
 import sys
 
 import pytest
@@ -176,6 +177,41 @@ def test_command_line(spark, tmp_path, capsys):
     assert G.load_active(spark, str(tmp_path / "runs"), str(tmp_path / "active.json")).manifest["provenance"]["input_mode"] == "pdf_pipeline"
 
 
+def test_four_papers_fall_into_their_classes(spark, tmp_path, capsys):
+    names = ("fixture", "second", "third", "fourth")
+    rows = [{**PAPER, "paper_id": f"2608.2031{6 + i}v1", "source_path": f"data/{n}.pdf",
+             "pdf_url": f"https://arxiv.org/pdf/2608.2031{6 + i}v1"} for i, n in enumerate(names)]
+    manifest = tmp_path / "papers.json"
+    manifest.write_text(json.dumps(rows))
+    (tmp_path / "data").mkdir()
+    for name, content in zip(names, ("one\ftwo", None, "broken", "empty")):
+        if content:
+            (tmp_path / "data" / f"{name}.pdf").write_text(content)
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def reader(content):
+        (calls / f"{len(list(calls.iterdir()))}-{content[:3].decode()}-{time.time_ns()}").write_text("")
+        if content == b"broken":
+            raise ValueError("broken")
+        return [] if content == b"empty" else content.decode().split("\f")
+
+    for command in (["extract", "--output", str(tmp_path / "out")],
+                    ["run", "--run-root", str(tmp_path / "runs"), "--active-pointer", str(tmp_path / "a.json")]):
+        code = main([*command, "--manifest", str(manifest), "--root", str(tmp_path), "--allow-partial"], spark, reader=reader)
+        out = json.loads(capsys.readouterr().out)
+        found = out if command[0] == "extract" else out["source_failures"]
+        assert code == 2
+        assert [found[n] for n in ("missing_pdfs", "parsing_failures", "papers_without_usable_text")] == [1, 1, 1]
+        assert len(list(calls.iterdir())) == 3
+        for call in calls.iterdir():
+            call.unlink()
+    kept = G.load_active(spark, str(tmp_path / "runs"), str(tmp_path / "a.json")).coverage
+    assert {r["paper_id"]: r["status"] for r in kept.collect()} == {
+        rows[0]["paper_id"]: "included", rows[1]["paper_id"]: "missing_pdfs", rows[2]["paper_id"]: "parsing_failures",
+        rows[3]["paper_id"]: "papers_without_usable_text"}
+
+
 def test_stage_commands(spark, tmp_path, capsys):
     manifest = tmp_path / "papers.json"
     manifest.write_text(json.dumps([PAPER, SECOND]))

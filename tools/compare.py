@@ -62,7 +62,7 @@ def compare(spark, connection, sf: str, name: str) -> tuple[bool, str]:
         lost = [r for r in b if r not in set(a)][:2] if len(b) < 5000 else []
         extra = [r for r in a if r not in set(b)][:2] if len(a) < 5000 else []
         return False, f"{note}; sql {len(b)} rows; extra {extra}; lost {lost}"
-    return True, note + (f"; types differ {odd}" if odd else "")
+    return not odd, note + (f"; types differ {odd}" if odd else "")
 
 
 def main() -> int:
