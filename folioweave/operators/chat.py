@@ -87,9 +87,10 @@ def append(messages: DataFrame, added: DataFrame) -> DataFrame:
     """Append rows after each conversation's last message.
 
     ``added`` has its own ``seq`` order per conversation. The last stored position is a
-    per-conversation maximum, one partial row per task.
+    maximum over the conversations that are added to, one partial row per task.
     """
-    last = messages.groupBy("conversation_id").agg(F.max("seq").alias("last"))
+    touched = added.select("conversation_id").distinct()
+    last = messages.join(touched, "conversation_id", "left_semi").groupBy("conversation_id").agg(F.max("seq").alias("last"))
     placed = added.join(last, "conversation_id", "left").withColumn(
         "seq", F.coalesce(F.col("last") + 1, F.lit(0)) + F.col("seq")).drop("last")
     return messages.unionByName(placed.select(*messages.columns))
