@@ -2,107 +2,111 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql import types as T
-
-from folioweave.functions.text import WS
-
-try:
-    import ahocorasick
-except ImportError:  # the anchored join needs no library
-    ahocorasick = None
-
-# Phrases up to this many characters are sent to every task; more are found by a join.
-AUTOMATON_CHARACTERS = 8_000_000
-ANCHOR_WORDS = 4
+import math
 
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
-def _by_automaton(texts: DataFrame, key: str, phrases: list[tuple[int, str]]) -> DataFrame:
-    """One linear scan of every text against all phrases at once."""
-    import pyarrow as pa
-
-    grouped: dict[str, list[int]] = {}
-    for number, phrase in phrases:
-        grouped.setdefault(phrase, []).append(number)
-
+# Phrases travel to the tasks in blocks of about so many characters.
+BLOCK_CHARACTERS = 4_000_000
+# Lengths, in bytes, of the runs that phrases are looked up by.
+RUNS = (16, 8, 4, 2, 1)
+_BASE = 0x9E3779B97F4A7C15
+_BITS = 20
+
+
+def _run_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every run of ``size`` bytes, a power of two, by doubling."""
+    found, covered = data.astype(np.uint64) + np.uint64(1), 1
+    while covered < size:
+        step = np.uint64(pow(_BASE, covered, 1 << 64))
+        found = found[:-covered] * step + found[covered:]
+        covered *= 2
+    found ^= found >> np.uint64(29)
+    return found * np.uint64(_BASE)
+
+
+class _Phrases:
+    """A block of phrases by the hash of the run at their middle, in tables by run length."""
+
+    def __init__(self, phrases: list[tuple[int, str]]):
+        owners: dict[bytes, list[int]] = {}
+        for number, phrase in phrases:
+            owners.setdefault(phrase.encode(), []).append(number)
+        self.raw, self.owners = list(owners), list(owners.values())
+        self.tables = []
+        for size in RUNS:
+            mine = [i for i, r in enumerate(self.raw)
+                    if size <= len(r) and (size == RUNS[0] or len(r) < 2 * size)]
+            if mine:
+                shift = [(len(self.raw[i]) - size) // 2 for i in mine]
+                runs = b"".join(self.raw[i][s:s + size] for i, s in zip(mine, shift))
+                hashes = _run_hashes(np.frombuffer(runs, np.uint8), size)[::size]
+                order = np.argsort(hashes, kind="stable")
+                maybe = np.zeros(1 << _BITS, bool)
+                maybe[(hashes >> np.uint64(64 - _BITS)).astype(np.int64)] = True
+                self.tables.append((size, maybe, hashes[order], np.array(mine)[order], np.array(shift)[order]))
+
+    def inside(self, data: np.ndarray, offsets: np.ndarray) -> set[tuple[int, int]]:
+        """(row, phrase) of every phrase that a row of the buffer holds."""
+        raw, found = data.tobytes(), set()
+        for size, maybe, hashes, phrase, shift in self.tables:
+            if len(data) < size:
+                continue
+            here = _run_hashes(data, size)
+            places = np.flatnonzero(maybe[(here >> np.uint64(64 - _BITS)).astype(np.int64)])
+            low = np.searchsorted(hashes, here[places])
+            many = np.searchsorted(hashes, here[places], "right") - low
+            at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+            start = np.repeat(places, many) - shift[at]
+            row = np.searchsorted(offsets, start, "right") - 1
+            for s, r, p in zip(start.tolist(), row.tolist(), phrase[at].tolist()):
+                if (r, p) not in found and s >= offsets[r]:
+                    end = s + len(self.raw[p])
+                    if end <= offsets[r + 1] and raw[s:end] == self.raw[p]:
+                        found.add((r, p))
+        return found
+
+
+def _scanned(texts: DataFrame, key: str, phrases: list[tuple[int, str]]) -> DataFrame:
     def scan(batches):
-        machine = ahocorasick.Automaton()
-        for phrase, numbers in grouped.items():
-            machine.add_word(phrase, numbers)
-        machine.make_automaton()
+        held = _Phrases(phrases)
         for batch in batches:
-            rows, found = [], []
-            for row, text in enumerate(batch.column(1)):
-                numbers = set()
-                for _, owners in machine.iter(text.as_py() or ""):
-                    numbers.update(owners)
-                rows.extend([row] * len(numbers))
-                found.extend(sorted(numbers))
-            keys = batch.column(0).take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), keys],
+            column = pa.compute.fill_null(batch.column(1), "").cast(pa.large_string())
+            offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+            if len(column) == 0 or offsets[-1] == offsets[0]:
+                continue
+            data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+            pairs = [(row, number) for row, phrase in sorted(held.inside(data, offsets - offsets[0]))
+                     for number in held.owners[phrase]]
+            keys = batch.column(0).take(pa.array([r for r, _ in pairs], pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([n for _, n in pairs], pa.int64()), keys],
                                              names=["phrase_id", key])
 
-    schema = T.StructType([T.StructField("phrase_id", T.LongType()),
-                           texts.schema[key]])
-    return texts.select(key, "text").mapInArrow(scan, schema)
-
-
-def _words(text: Column) -> Column:
-    return F.split(text, WS + "+")
-
-
-def _by_anchor(texts: DataFrame, key: str, phrases: DataFrame) -> DataFrame:
-    """Equi-join on a run of inner words, then the exact containment test.
-
-    Inner words of a phrase are whole words of any text that holds it, so a phrase's
-    first inner run is among the runs of such a text. Runs are hashed and made distinct
-    per text before the join. Phrases with too few words use their longest inner run;
-    phrases without an inner word are tested through their characters' positions.
-    """
-    split = phrases.withColumn("words", _words(F.col("phrase")))
-    inner = F.slice(F.col("words"), F.lit(2), F.greatest(F.size("words") - 2, F.lit(0)))
-    anchored = split.withColumn("run", F.slice(inner, F.lit(1), F.lit(ANCHOR_WORDS)))
-    anchors = anchored.where(F.size("run") == ANCHOR_WORDS).select(
-        "phrase_id", "phrase", F.xxhash64("run").alias("anchor"))
-    rest = anchored.where(F.size("run") < ANCHOR_WORDS).select("phrase_id", "phrase")
-    runs = texts.withColumn("words", _words(F.col("text"))).select(
-        key, F.explode(F.array_distinct(F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size("words") - ANCHOR_WORDS + 1, F.lit(1))),
-            lambda i: F.xxhash64(F.slice(F.col("words"), i, F.lit(ANCHOR_WORDS)))))
-        ).alias("anchor"))
-    pairs = runs.join(anchors, "anchor").select(key, "phrase_id", "phrase")
-    # Short phrases: join on their first three characters at every position of a text.
-    gram = F.substring("phrase", 1, 3)
-    grams = texts.select(key, F.explode(F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length("text"), F.lit(1))),
-        lambda i: F.col("text").substr(i, F.lit(3))))).alias("gram"))
-    prefixes = rest.where(F.length("phrase") >= 3).withColumn("gram", gram)
-    pairs = pairs.unionByName(grams.join(prefixes, "gram").select(key, "phrase_id", "phrase"))
-    singles = rest.where(F.length("phrase") < 3)
-    letters = texts.select(key, F.explode(F.array_distinct(F.concat(
-        F.split("text", ""), F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length("text") - 1, F.lit(1))),
-            lambda i: F.col("text").substr(i, F.lit(2)))))).alias("phrase"))
-    sure = letters.join(singles, "phrase").select("phrase_id", key)
-    checked = texts.select(key, "text").join(pairs, key).where(
-        F.contains("text", "phrase")).select("phrase_id", key)
-    return checked.unionByName(sure)
+    return texts.select(key, "text").mapInArrow(scan, T.StructType([
+        T.StructField("phrase_id", T.LongType()), texts.schema[key]]))
 
 
 def find_phrases(texts: DataFrame, phrases: DataFrame, key: str,
-                 automaton_characters: int = AUTOMATON_CHARACTERS) -> DataFrame:
-    """All ``(phrase_id, key)`` whose text contains the phrase, without a cross join.
+                 block_characters: int = BLOCK_CHARACTERS) -> DataFrame:
+    """All ``(phrase_id, key)`` whose text contains the phrase, without a join.
 
-    ``texts`` has ``key, text`` and ``phrases`` has ``phrase_id, phrase``.
+    ``texts`` has ``key, text`` and ``phrases`` has ``phrase_id, phrase``. Phrases are a query
+    set: one block at a time comes to the driver and meets all texts in one narrow pass, so
+    neither a common phrase nor a long text gathers anywhere.
     """
     phrases = phrases.where(F.length("phrase") > 0)
-    size = phrases.agg(F.coalesce(F.sum(F.length("phrase")), F.lit(0))).head()[0]
-    if ahocorasick is not None and size <= automaton_characters:
-        held = [(row[0], row[1]) for row in phrases.select("phrase_id", "phrase").collect()]
-        if not held:
-            return texts.select(F.lit(None).cast("long").alias("phrase_id"), key).limit(0)
-        return _by_automaton(texts, key, held)
-    return _by_anchor(texts, key, phrases).distinct()
+    size = phrases.agg(F.sum(F.length("phrase"))).head()[0] or 0
+    blocks = max(1, math.ceil(size / block_characters))
+    out = texts.select(F.lit(None).cast("long").alias("phrase_id"), key).limit(0)
+    for block in range(blocks):
+        mine = phrases.where(F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == block)
+        held = [(row[0], row[1]) for row in mine.select("phrase_id", "phrase").collect()]
+        if held:
+            out = out.unionByName(_scanned(texts, key, held))
+    return out
 
 
 def found_evidence(hits: DataFrame, evidence: DataFrame) -> DataFrame:
