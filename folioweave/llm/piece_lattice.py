@@ -56,6 +56,10 @@ class Pieces:
             else:
                 self.edges[piece] = ((i,), float(model.get_score(i)))
                 self.spelled.append(piece.replace(SPACE, " ").encode())
+        self.spelled_bytes = np.frombuffer(b"".join(self.spelled), np.uint8)
+        self.spelled_size = np.array([len(s) for s in self.spelled], np.int64)
+        self.spelled_at = np.cumsum(self.spelled_size) - self.spelled_size
+        self.listed: dict[tuple[str, int], list] = {}
         self.longest = max(map(len, self.edges))
         #: every beginning of a piece; None where it is no piece itself
         self.begun = {p[:i]: None for p in self.edges for i in range(1, len(p))} | self.edges
@@ -237,6 +241,15 @@ class Pieces:
             ids = b"".join(pieces)
             yield ids, self._alternatives(keys, at, pieces, ids, n)
 
+    def options(self, key: str, n: int):
+        """The ``n`` best of a unit; the units that depart in one text often do in others."""
+        found = self.listed.get((key, n))
+        if found is None:
+            found = self.n_best(self.spell(key), n)
+            if len(self.listed) < REMEMBERED // 20:
+                self.listed[key, n] = found
+        return found
+
     def _alternatives(self, keys, at, pieces, ids, n):
         total = float(self.score[at].sum()) if len(at) else 0.0
         gap = self.gap[at]
@@ -246,7 +259,7 @@ class Pieces:
         choices: list[tuple[float, tuple]] = [(0.0, ())]
         departs: dict[int, list] = {}
         for place in sorted(near.tolist()):
-            options = self.n_best(self.spell(keys[place]), n)
+            options = self.options(keys[place], n)
             grown = [(loss + options[0][0] - s, held + ((place, k),)) for loss, held in choices
                      for k, (s, _) in enumerate(options)]
             grown.sort(key=lambda g: g[0])
@@ -270,7 +283,10 @@ class Pieces:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of a sequence of ids: the space before it falls away."""
-        text = b"".join(map(self.spelled.__getitem__, ids.tolist()))
+        size = self.spelled_size[ids]
+        ends = np.cumsum(size)
+        at = np.repeat(self.spelled_at[ids] - ends + size, size) + np.arange(ends[-1] if len(ids) else 0)
+        text = self.spelled_bytes[at].tobytes()
         return (text[1:] if text[:1] == b" " else text).decode("utf-8", "replace")
 
 
