@@ -69,18 +69,25 @@ class Encoder:
                 pointed.append(w)
             else:
                 mixed.append(w)
+        # of a mixed word, the first token begins with the space, or with the line feed
+        pieces = {w: self.cut(" " + w if w[:1] not in _MARKS else w.lstrip("\r")) for w in mixed}
+        cores, others = {w[:-1] for w in pointed}.union(letters), {w[-1] for w in pointed}
+        for p in pieces.values():
+            for t in p:
+                if t[0] == " " and t[1:].isalpha():
+                    cores.add(t[1:])
+                else:
+                    others.add(t)
         held, merge = self.words, self.merge
-        for w in {*letters, *[w[:-1] for w in pointed]}.difference(held):
+        for w in cores.difference(held):
             spelled = w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_LETTERS)
             held[w] = array("I", [t.id for t in merge("\u0120" + spelled)]).tobytes()
-        # of a mixed word, the first token begins with the space, or with the line feed
-        pieces = {w: self.cut(" " + w if w[:1] not in _MARKS else w.lstrip("\r")) for w in mixed}
-        self._learn_others({t for p in pieces.values() for t in p}.union([w[-1] for w in pointed]))
+        self._learn_others(others)
+        known = self.others
         for w in pointed:
-            held[w] = held[w[:-1]] + self.others[w[-1]]
-        known = self.others.__getitem__
+            held[w] = held[w[:-1]] + known[w[-1]]
         for w, p in pieces.items():
-            held[w] = b"".join(map(known, p))
+            held[w] = b"".join([held[t[1:]] if t[0] == " " and t[1:].isalpha() else known[t] for t in p])
 
     def _learn_others(self, tokens: set[str]) -> None:
         new = list(tokens.difference(self.others))
