@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioweave.llm.common import parts, table
 
-MODEL, BEST, REMEMBERED = "piece_bpe_32k.model", 4, 600_000
+MODEL, BEST, REMEMBERED = "piece_bpe_32k.model", 4, 1_000_000
 SPACE, UNKNOWN_COST = "▁", 10.0
 _UNITS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
 _ONE = array("I").itemsize
