@@ -1,21 +1,24 @@
 """Nearest vectors by inner product: multiprobe p-stable hashing with exact reranking.
 
 Largest inner product becomes smallest Euclidean distance by one more component: zero for
-queries, sqrt(M^2 - |x|^2) for candidates, with M the largest norm. Each of ``TABLES`` hashes has
-``WIDTHS`` functions floor((a.x + b) / w), a Gaussian and hence 2-stable, w in units of M. A
-query visits ``PROBES`` buckets of each table in ascending order of the summed squared
+queries, sqrt(M^2 - |x|^2) for candidates, with M the largest norm, halved as often as it still
+bounds |x|, so a few long vectors do not press all others into one bucket. Each of ``TABLES``
+hashes has ``WIDTHS`` functions floor((a.x + b) / w), a Gaussian and hence 2-stable, w in units
+of M. A query visits ``PROBES`` buckets of each table in ascending order of the summed squared
 distances to the bucket walls it would cross, the usual estimate of success.
 
 Candidates are cut into blocks by a hash of their ids and queries likewise, so a bucket or a
 vector that holds a third of all rows is spread over all blocks and every task is bounded.
 Inside a block the candidates of all visited buckets, over all tables, are merged and scored
 by a matrix product; each query keeps its best ``k`` of the block, and the kept scores are
-taken anew in one fixed order of summation. A grouped top-k merges the blocks.
+taken anew in one fixed order of summation. A grouped top-k merges the blocks. Queries whose
+buckets hold fewer than ``ENOUGH`` times ``k`` candidates over all blocks are searched again
+over the same blocks without the hashes, so every query gets ``k`` rows where there are as many.
 
 Defined results: vectors that are null, empty, zero, or have a null or non-finite component
 take no part; vectors whose length differs from the most frequent one (ties: the smaller)
 take no part; rows with a null id take no part; rows equal in id are merged (largest score
-counts); ties go to the smaller id; with fewer than ``k`` candidates all found are returned.
+counts); ties go to the smaller id; with fewer than ``k`` candidates all are returned.
 Further columns of the input are not read.
 """
 
@@ -31,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from folioweave.llm.common import stored, table
 
 K, TABLES, WIDTHS, WIDTH, PROBES = 20, 4, 4, 1.0, 160
+ENOUGH = 4
 BLOCK, QUERY_BLOCK, SEED = 16384, 4096, 9
 _REACH = 2
 
@@ -51,8 +55,10 @@ def _vectors(column: pa.Array, dim: int) -> np.ndarray:
 def candidate_keys(x: np.ndarray, largest: float):
     """For each table, the bucket of every vector."""
     a, b = _family(x.shape[1])
-    lift = np.sqrt(np.maximum(largest ** 2 - (x ** 2).sum(1), 0))
-    y = np.hstack([x, lift[:, None]]) / largest
+    square = (x ** 2).sum(1)
+    bound = largest * 0.5 ** np.floor(np.log2(np.maximum(largest / np.sqrt(square), 1)))
+    lift = np.sqrt(np.maximum(bound ** 2 - square, 0))
+    y = np.hstack([x, lift[:, None]]) / bound[:, None]
     for t in range(TABLES):
         yield np.floor((y @ a[t] + b[t]) / WIDTH).astype(np.int32)
 
@@ -96,9 +102,10 @@ def _with_keys(dim: int, make):
     return run
 
 
-def _rerank(dim: int, k: int):
+def _rerank(dim: int, k: int, hashed: bool = True):
+    """A task that gives each query its best ``k`` ids of a block, and a row with how many it met."""
     empty = {"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
-             "score": pa.array([], pa.float64())}
+             "score": pa.array([], pa.float64()), "met": pa.array([], pa.int64())}
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -106,48 +113,68 @@ def _rerank(dim: int, k: int):
         c_id, q_id = left["id"].to_numpy(), right["id"].to_numpy()
         c = _vectors(left["v"].combine_chunks(), dim)
         q = _vectors(right["v"].combine_chunks(), dim)
-        mine = left["keys"].combine_chunks().flatten().to_numpy().reshape(-1, TABLES)
-        asked = right["keys"].combine_chunks().flatten().to_numpy().reshape(len(q), TABLES, -1)
         tables = []                     # for each table: buckets, candidates' and queries' places
-        for t in range(TABLES):
-            buckets, slot = np.unique(mine[:, t], return_inverse=True)
-            at = np.minimum(np.searchsorted(buckets, asked[:, t]), len(buckets) - 1)
-            tables.append((len(buckets), slot, at, buckets[at] == asked[:, t]))
+        if hashed:
+            mine = left["keys"].combine_chunks().flatten().to_numpy().reshape(-1, TABLES)
+            asked = right["keys"].combine_chunks().flatten().to_numpy().reshape(len(q), TABLES, -1)
+            for t in range(TABLES):
+                buckets, slot = np.unique(mine[:, t], return_inverse=True)
+                at = np.minimum(np.searchsorted(buckets, asked[:, t]), len(buckets) - 1)
+                tables.append((len(buckets), slot, at, buckets[at] == asked[:, t]))
         # equal vectors: only the k + 1 smallest ids of each can be among the results
-        order = np.argsort(c_id, kind="stable")
-        _, same = np.unique(np.ascontiguousarray(c[order]).view(
+        _, same = np.unique(np.ascontiguousarray(c).view(
             np.dtype((np.void, c.dtype.itemsize * dim))).ravel(), return_inverse=True)
-        nth = np.empty(len(order), np.int64)
-        by = np.argsort(same, kind="stable")
-        start = np.flatnonzero(np.r_[True, same[by][1:] != same[by][:-1]])
-        nth[by] = np.arange(len(by)) - np.repeat(start, np.diff(np.r_[start, len(by)]))
+        order = np.lexsort((c_id, same))
+        new = np.r_[True, same[order][1:] != same[order][:-1]]
+        fresh = new | np.r_[True, c_id[order][1:] != c_id[order][:-1]]   # once for each id
+        order, new = order[fresh], new[fresh]
+        start = np.flatnonzero(new)
+        nth = np.arange(len(order)) - np.repeat(start, np.diff(np.r_[start, len(order)]))
         keep = order[nth <= k]
+        keep = keep[np.argsort(c_id[keep], kind="stable")]
         c, c_id = c[keep], c_id[keep]
-        out = []
+        ids = np.flatnonzero(np.r_[True, c_id[1:] != c_id[:-1]])         # first vector of each id
+        out, met = [], []
         for low in range(0, len(q), 256):
             some = slice(low, min(low + 256, len(q)))
-            visited = np.zeros((some.stop - low, len(c)), bool)
-            for n, slot, at, real in tables:
-                visits = np.zeros((some.stop - low, n), bool)
-                row, probe = np.nonzero(real[some])
-                visits[row, at[some][row, probe]] = True
-                visited |= visits[:, slot[keep]]
             score = q[some] @ c.T
-            score[~visited | (q_id[some, None] == c_id[None, :])] = -np.inf
-            cut = (np.partition(score, -k, axis=1)[:, -k] if score.shape[1] > k
-                   else np.full(len(score), -np.inf))
-            scale = np.abs(q[some]).sum(1) * (np.abs(c).max() if len(c) else 0) * 1e-12
+            if hashed:
+                visited = np.zeros((some.stop - low, len(c)), bool)
+                for n, slot, at, real in tables:
+                    visits = np.zeros((some.stop - low, n), bool)
+                    row, probe = np.nonzero(real[some])
+                    visits[row, at[some][row, probe]] = True
+                    visited |= visits[:, slot[keep]]
+                score[~visited] = -np.inf
+            score[q_id[some, None] == c_id[None, :]] = -np.inf
+            best = np.maximum.reduceat(score, ids, axis=1) if len(ids) < len(c_id) else score
+            met.append(np.isfinite(best).sum(1))
+            cut = (np.partition(best, -k, axis=1)[:, -k] if best.shape[1] > k
+                   else np.full(len(best), -np.inf))
+            scale = np.abs(q[some]).sum(1) * np.abs(c).max() * 1e-12
             row, col = np.nonzero((score >= (cut - scale)[:, None]) & np.isfinite(score))
             exact = (q[low + row] * c[col]).sum(axis=1)
+            rank = np.lexsort((-exact, c_id[col], row))
+            row, col, exact = row[rank], col[rank], exact[rank]
+            once = (np.r_[True, (row[1:] != row[:-1]) | (c_id[col][1:] != c_id[col][:-1])] if len(row)
+                    else np.zeros(0, bool))
+            row, col, exact = row[once], col[once], exact[once]
             rank = np.lexsort((c_id[col], -exact, row))
             row, col, exact = row[rank], col[rank], exact[rank]
             head = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.empty(0, int)
             place = np.arange(len(row)) - np.repeat(head, np.diff(np.r_[head, len(row)]))
             best = place < k
             out.append((q_id[low + row[best]], c_id[col[best]], exact[best]))
-        return pa.table({"query_id": pa.array(np.concatenate([o[0] for o in out])),
-                         "vec_id": pa.array(np.concatenate([o[1] for o in out])),
-                         "score": pa.array(np.concatenate([o[2] for o in out]))})
+        # a query of several vectors: what the best of them met is surely met by all
+        one, at = np.unique(q_id, return_inverse=True)
+        most = np.zeros(len(one), np.int64)
+        np.maximum.at(most, at, np.concatenate(met))
+        hits, gap = sum(len(o[0]) for o in out), len(one)
+        return pa.table({
+            "query_id": pa.array(np.concatenate([*[o[0] for o in out], one])),
+            "vec_id": pa.concat_arrays([pa.array(np.concatenate([o[1] for o in out])), pa.nulls(gap, pa.int64())]),
+            "score": pa.concat_arrays([pa.array(np.concatenate([o[2] for o in out])), pa.nulls(gap, pa.float64())]),
+            "met": pa.concat_arrays([pa.nulls(hits, pa.int64()), pa.array(most)])})
     return run
 
 
@@ -173,21 +200,37 @@ def search(rows: DataFrame, queries, key: str = "vec_id", vector: str = "embeddi
     if not sizes:
         return spark.createDataFrame([], schema)
     dim, n, largest = sizes[0]["dim"], sizes[0]["n"], sizes[0]["largest"]
-    cparts, qparts = math.ceil(n / BLOCK), max(1, math.ceil(sizes[0]["asked"] / QUERY_BLOCK))
+    cparts = math.ceil(n / BLOCK)
     same = held.where(F.size("v") == dim)
     kept = "part int, id long, v array<double>, keys array<long>"
-    candidates = (same.select(F.pmod(F.xxhash64("id"), F.lit(cparts)).cast("int").alias("part"), "id", "v")
-                  .mapInArrow(_with_keys(dim, lambda x: candidate_keys(x, largest)), kept)
-                  .withColumnRenamed("part", "cpart")
-                  .withColumn("qpart", F.explode(F.sequence(F.lit(0), F.lit(qparts - 1)))))
-    asked = (same.where(queries(F.col("id")))
-             .select(F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(qparts)).cast("int").alias("part"), "id", "v")
-             .mapInArrow(_with_keys(dim, query_keys), kept)
-             .withColumnRenamed("part", "qpart")
-             .withColumn("cpart", F.explode(F.sequence(F.lit(0), F.lit(cparts - 1)))))
-    grid = ["cpart", "qpart"]
-    found = stored(candidates.groupBy(*grid).cogroup(asked.groupBy(*grid)).applyInArrow(
-        _rerank(dim, k), "query_id long, vec_id long, score double"))
+    candidates = same.select(F.pmod(F.xxhash64("id"), F.lit(cparts)).cast("int").alias("part"), "id", "v")
+
+    def asked(rows: DataFrame, n: int) -> tuple[DataFrame, int]:
+        qparts = max(1, math.ceil(n / QUERY_BLOCK))
+        return rows.select(F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(qparts)).cast("int").alias("part"), "id", "v"), qparts
+
+    def blocks(candidates: DataFrame, questions: DataFrame, qparts: int, hashed: bool) -> DataFrame:
+        grid = ["cpart", "qpart"]
+        left = candidates.withColumnRenamed("part", "cpart").withColumn(
+            "qpart", F.explode(F.sequence(F.lit(0), F.lit(qparts - 1))))
+        right = questions.withColumnRenamed("part", "qpart").withColumn(
+            "cpart", F.explode(F.sequence(F.lit(0), F.lit(cparts - 1))))
+        return stored(left.groupBy(*grid).cogroup(right.groupBy(*grid)).applyInArrow(
+            _rerank(dim, k, hashed), "query_id long, vec_id long, score double, met long"))
+
+    ours = same.where(queries(F.col("id")))
+    questions, qparts = asked(ours, sizes[0]["asked"])
+    found = blocks(candidates.mapInArrow(_with_keys(dim, lambda x: candidate_keys(x, largest)), kept),
+                   questions.mapInArrow(_with_keys(dim, query_keys), kept), qparts, True)
+    # queries that met too few candidates for the hashes to be trusted: all candidates, no hashes
+    short = stored(found.where("met IS NOT NULL").groupBy("query_id").agg(F.sum("met").alias("met"))
+                   .where(F.col("met") < ENOUGH * k).select("query_id"))
+    left_over = short.count()
+    if left_over:
+        again, qparts = asked(ours.join(short.withColumnRenamed("query_id", "id"), "id", "left_semi").select(
+            F.col("id").alias("id"), F.col("v").alias("v")), left_over)
+        found = found.unionByName(blocks(candidates, again, qparts, False))
+    found = found.where("vec_id IS NOT NULL")
     # one row for each pair, then at most k rows of each block: bounded lists per query
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

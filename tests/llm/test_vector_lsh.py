@@ -54,3 +54,39 @@ def test_few_candidates_and_none(spark):
     got = V.search(vectors(spark, rows), lambda i: i % 20 == 0).collect()
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in got] == [(0, 1, 1)]
     assert V.search(vectors(spark, []), lambda i: i % 20 == 0).count() == 0
+
+
+def compared(spark, rows):
+    """Smallest share of due rows that a query got, and the recall over all queries."""
+    want = brute(rows)
+    found = {}
+    for r in V.search(vectors(spark, rows), lambda i: i % 20 == 0).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    full = min(len(found.get(q, ())) / len(want[q]) for q in want)
+    return full, np.mean([len(set(want[q]) & found.get(q, set())) / len(want[q]) for q in want])
+
+
+def spread(n, dim=64, seed=2):
+    x = np.random.default_rng(seed).normal(size=(n, dim))
+    return (x / np.sqrt((x ** 2).sum(1))[:, None]).astype(np.float32)
+
+
+def test_small_tables_of_spread_vectors_are_whole(spark):
+    for n in (10, 15, 21, 40):
+        rows = [(20 * i, v.tolist()) for i, v in enumerate(spread(n))]
+        assert compared(spark, rows) == (1.0, 1.0)
+
+
+def test_one_very_long_vector(spark):
+    x = spread(2000)
+    x[7] *= 100
+    full, recall = compared(spark, [(i, v.tolist()) for i, v in enumerate(x)])
+    assert full == 1.0 and recall >= 0.9
+
+
+def test_an_id_of_many_rows_takes_one_place(spark):
+    same = [1.0, 0.5, 0.0]
+    rows = [(0, same), *[(1, same)] * 30, *[(2, [1.0, 0.5, i / 100]) for i in range(30)],
+            *[(i, same) for i in range(3, 40)]]
+    got = V.search(vectors(spark, rows), lambda i: i == 0).collect()
+    assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"])] == list(range(1, 21))
