@@ -27,7 +27,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near duplicates."""
+    """One document, that of the smallest id (null last), of every group of near duplicates."""
     return chosen_path.first_of_each(docs)
 
 

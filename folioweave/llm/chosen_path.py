@@ -67,9 +67,10 @@ def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sketch(batches):
-    """Set fingerprint, size and tokens of every text."""
+    """Set fingerprint, size and tokens of every text, after the other columns."""
     salts = mix64(np.arange(1, RUNS * LEVELS + 1, dtype=np.uint64) + np.uint64(SEED << 32))
     for batch in batches:
+        names = [c for c in batch.schema.names if c != "text"]
         for low, n in parts(batch.column("text")):
             value, bounds = shingles(batch.column("text").slice(low, n))
             size = np.diff(bounds)
@@ -87,9 +88,9 @@ def _sketch(batches):
                     tokens[some, k] = np.minimum.reduceat(seen, heads).view(np.int64)
             ends = np.arange(n + 1, dtype=np.int32) * len(salts)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").slice(low, n), batch.column("t").slice(low, n), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
+                [*[batch.column(c).slice(low, n) for c in names], pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
                  pa.array(size.astype(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens.ravel()))],
-                ["id", "t", "s1", "s2", "size", "tokens"])
+                [*names, "s1", "s2", "size", "tokens"])
 
 
 def _leaves(sets: DataFrame) -> DataFrame:
@@ -220,17 +221,23 @@ def _verify_tasks(batches):
             ["node", "up", "links"])
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, class_id, n_links and class_size for every document."""
+def _classes(docs: DataFrame, key: str, text: str, row: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Sketches of all documents, and for each set of shingles its class, links and ``keeper``.
+
+    The keeper is the first of the whole class by (id with null last, text hash, ``row``).
+    """
     kind = docs.schema[key].dataType.simpleString()
     content = F.coalesce(F.col(text), F.lit(""))
-    texts = docs.select(F.col(key).alias("id"), F.xxhash64(content).alias("t"), content.alias("text"))
+    numbered = [] if row is None else [F.col(row).alias("row")]
+    texts = docs.select(F.col(key).alias("id"), F.xxhash64(content).alias("t"), *numbered, content.alias("text"))
     sketches = stored(texts.mapInArrow(
-        _sketch, f"id {kind}, t long, s1 long, s2 long, size long, tokens array<long>"))
+        _sketch, f"id {kind}, t long, {'row long, ' if numbered else ''}s1 long, s2 long, size long, "
+                 "tokens array<long>"))
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "t", *["row" for _ in numbered])
     # equal sets: partially aggregated, so a text that a third of all rows share costs little
     held = sketches.where("size > 0")
     sets = stored(held.groupBy("s1", "s2", "size").agg(
-        F.min("id").alias("first"), F.min(F.struct("id", "t")).alias("chosen"), F.count("*").alias("members"),
+        F.min("id").alias("first"), F.min(order).alias("keeper"), F.count("*").alias("members"),
         F.first("tokens").alias("tokens")).withColumn("node", F.monotonically_increasing_id()))
     leaf = stored(_leaves(sets))
     per_set = leaf.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("run", "leaf"))).alias("by"))
@@ -242,35 +249,49 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         "node", "run", "task", "side", "low", "high", "leaves", "tokens")
     tasks = stored(tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_filter_tasks, columns))
     # whole texts of one document of each set that still has a pair to verify
-    wanted = tasks.select("node").distinct().join(sets.select("node", "chosen"), "node").select(
-        "node", F.col("chosen.id").alias("cid"), F.col("chosen.t").alias("ct"))
+    wanted = tasks.select("node").distinct().join(sets.select("node", "keeper"), "node").select(
+        "node", F.col("keeper.id").alias("cid"), F.col("keeper.t").alias("ct"))
     checked = texts.join(wanted, (F.col("t") == F.col("ct")) & F.col("id").eqNullSafe(F.col("cid"))).select(
         "node", "text").dropDuplicates(["node"])
     found = stored(tasks.join(checked, "node").repartition("task").sortWithinPartitions("task")
                    .mapInArrow(_verify_tasks, "node long, up long, links long"))
     links = found.groupBy("node").agg(F.sum("links").alias("n_links"))
     roots = components(found.select(F.col("node").alias("a"), F.col("up").alias("b")))
-    named = (sets.select("node", "s1", "s2", "size", "first", "members").join(links, "node", "left")
-             .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    classes = named.groupBy("root").agg(F.min("first").alias("class_id"), F.sum("members").alias("class_size"))
-    resolved = named.join(classes, "root").select("s1", "s2", "size", "class_id", "class_size",
-                                                  F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    named = (sets.select("node", "s1", "s2", "size", "first", "keeper", "members").join(links, "node", "left")
+             .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+             .withColumnRenamed("keeper", "mine"))
+    classes = named.groupBy("root").agg(F.min("first").alias("class_id"), F.min("mine").alias("keeper"),
+                                        F.sum("members").alias("class_size"))
+    return sketches, named.join(classes, "root").select(
+        "s1", "s2", "size", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"), "keeper")
+
+
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, class_id, n_links and class_size for every document."""
+    sketches, resolved = _classes(docs, key, text)
     alone = sketches.where("size = 0").select(
         F.col("id").alias("doc_id"), F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
         F.lit(1).cast("long").alias("class_size"))
-    members = held.select("id", "s1", "s2", "size").join(resolved.hint("merge"), ["s1", "s2", "size"])
+    members = sketches.where("size > 0").select("id", "s1", "s2", "size").join(
+        resolved.drop("keeper").hint("merge"), ["s1", "s2", "size"])
     return members.select(F.col("id").alias("doc_id"), "class_id", "n_links", "class_size").unionAll(alone)
 
 
 def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that name their class, with all their columns.
+    """One document of every class, with all its columns; documents without shingles stay.
 
-    Documents without shingles stay. Rows equal in id name a class together.
+    It is the row with the smallest id (null ids last), then text hash, then row number of a
+    stored table: rows are told apart also where their ids are null or repeated.
     """
-    found = join(docs, key, text)
-    gone = (found.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.col("doc_id").alias("gone_id")).distinct())
-    return docs.join(gone, F.col(key).eqNullSafe(F.col("gone_id")), "left_anti")
+    nth = "nth"
+    while nth in map(str.lower, docs.columns):
+        nth += "_"
+    rows = stored(docs.withColumn(nth, F.monotonically_increasing_id()))
+    sketches, resolved = _classes(rows, key, text, nth)
+    gone = (sketches.where("size > 0").select("row", "s1", "s2", "size").join(
+        resolved.select("s1", "s2", "size", F.col("keeper.row").alias("keeper")).hint("merge"), ["s1", "s2", "size"])
+        .where("row <> keeper").select(F.col("row").alias(nth)))
+    return rows.join(gone, nth, "left_anti").drop(nth)
 
 
 def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:

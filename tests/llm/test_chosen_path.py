@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from folioweave.llm import chosen_path as C
 from folioweave.llm.graph import components
 
@@ -91,3 +93,25 @@ def test_components_of_chains_and_stars(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(1, 61)}, **{100 + i: 100 for i in range(1, 30)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def kept(spark, texts, ids):
+    return sorted(((r["doc_id"], r["text"]) for r in C.first_of_each(
+        clashing(documents(spark, texts, ids)).withColumn("nth", F.lit(1))).collect()), key=str)
+
+
+def test_one_row_of_each_class_stays_with_null_and_repeated_ids(spark):
+    a, b, c, d = prose(21, 4, 30, 40)
+    near = a + " end"                                     # one shingle more: same class as a
+    # a null id that copies document 5 takes only itself along
+    assert kept(spark, [a, a, b, c, None], [5, None, None, None, None]) == sorted(
+        [(5, a), (None, b), (None, c), (None, None)], key=str)
+    # repeated ids of different texts: every class keeps one
+    assert kept(spark, [c, c, a, a], [1, 3, 3, 7]) == sorted([(1, c), (3, a)], key=str)
+    # copies that share an id, and copies whose ids are all null
+    assert kept(spark, [a, a, a, b, b, c], [4, 4, 4, None, None, 6]) == sorted(
+        [(4, a), (None, b), (6, c)], key=str)
+    # near copies under one id, under null ids, and wordless rows, which all stay
+    got = kept(spark, [a, near, d, d + " end", "", "", " "], [2, 2, None, None, None, 8, 8])
+    assert len(got) == 5 and sum(t in (a, near) for _, t in got) == 1
+    assert sum(t in (d, d + " end") for _, t in got) == 1
