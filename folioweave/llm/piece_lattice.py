@@ -8,6 +8,10 @@ lattice falls into units at such places; a text's N best are the best sums over
 which only the N - 1 units with the closest second choice can depart from their best. A
 worker remembers units; its memory is bounded and changes no result.
 
+``segment`` gives the ids of all N: those of the best, and for each segmentation the places where
+it departs from the best; ``alternatives`` writes them out, a row for each segmentation, and
+``decode`` turns rows of ids into texts. Checksums and the round trip are taken from these ids.
+
 As in the model's own format a space is written U+2581 and one is put before the text; a
 literal U+2581 hence reads as a space. A character outside the vocabulary costs the lowest
 regular score less ten and becomes its bytes' pieces, so decoding gives every text back.
@@ -28,6 +32,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType
 
 from folioweave.llm.common import parts, table
 
@@ -229,6 +234,14 @@ class Pieces:
 
     def encode(self, texts: list[str], n: int = BEST):
         """For each text the best ids, as bytes, and (score, pieces, crc32) of the ``n`` best."""
+        for ids, best in self.segmentations(texts, n):
+            yield ids, [(score, *checksum(ids, changes)) for score, changes in best]
+
+    def segmentations(self, texts: list[str], n: int = BEST):
+        """For each text the best ids, as bytes, and (score, changes of the best ids) of the ``n`` best.
+
+        A change is (first place, number of ids that go, ids that come), in ascending order.
+        """
         cuts = [self.cut(t) for t in texts]
         self.forget()
         missing = set().union(*cuts).difference(self.units)
@@ -239,7 +252,7 @@ class Pieces:
             at = np.fromiter(map(known, keys), np.int64, len(keys))
             pieces = [blobs[i] for i in at.tolist()]
             ids = b"".join(pieces)
-            yield ids, self._alternatives(keys, at, pieces, ids, n)
+            yield ids, self._alternatives(keys, at, pieces, n)
 
     def options(self, key: str, n: int):
         """The ``n`` best of a unit; the units that depart in one text often do in others."""
@@ -250,7 +263,7 @@ class Pieces:
                 self.listed[key, n] = found
         return found
 
-    def _alternatives(self, keys, at, pieces, ids, n):
+    def _alternatives(self, keys, at, pieces, n):
         total = float(self.score[at].sum()) if len(at) else 0.0
         gap = self.gap[at]
         near = np.flatnonzero(np.isfinite(gap))
@@ -265,21 +278,9 @@ class Pieces:
             grown.sort(key=lambda g: g[0])
             choices = grown[:n]
             departs[place] = options
-        out = []
-        starts = np.concatenate(([0], np.cumsum([len(p) for p in pieces], dtype=np.int64)))
-        view = memoryview(ids)
-        for loss, held in choices:
-            crc, done, size = 0, 0, 0
-            for place, k in held:
-                if k:
-                    crc = zlib.crc32(view[done:starts[place]], crc)
-                    other = array("I", departs[place][k][1]).tobytes()
-                    crc = zlib.crc32(other, crc)
-                    size += int(starts[place]) - done + len(other)
-                    done = int(starts[place + 1])
-            crc = zlib.crc32(view[done:], crc)
-            out.append((total - loss, (size + len(ids) - done) // _ONE, crc))
-        return out
+        starts = np.concatenate(([0], np.cumsum([len(p) for p in pieces], dtype=np.int64))) // _ONE
+        return [(total - loss, [(int(starts[place]), int(starts[place + 1] - starts[place]), departs[place][k][1])
+                                for place, k in held if k]) for loss, held in choices]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of a sequence of ids: the space before it falls away."""
@@ -290,6 +291,18 @@ class Pieces:
         return (text[1:] if text[:1] == b" " else text).decode("utf-8", "replace")
 
 
+def checksum(ids: bytes, changes) -> tuple[int, int]:
+    """Number and crc32 of the ids after the changes."""
+    crc, done, size, view = 0, 0, 0, memoryview(ids)
+    for at, gone, come in changes:
+        crc = zlib.crc32(view[done:at * _ONE], crc)
+        other = array("I", come).tobytes()
+        crc = zlib.crc32(other, crc)
+        size += at * _ONE - done + len(other)
+        done = (at + gone) * _ONE
+    return (size + len(ids) - done) // _ONE, zlib.crc32(view[done:], crc)
+
+
 _models: dict[str, Pieces] = {}
 
 
@@ -301,11 +314,17 @@ def pieces(path: str) -> Pieces:
 
 _BESTS = pa.list_(pa.struct([("score", pa.float64()), ("n_pieces", pa.int32()),
                              ("ids_crc32", pa.int64())]))
+_CHANGES = pa.list_(pa.list_(pa.struct([("at", pa.int32()), ("gone", pa.int32()),
+                                        ("come", pa.list_(pa.int32()))])))
 
 
 def segment(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = BEST,
             model: str | None = None) -> DataFrame:
-    """Best ids, the ``n`` best segmentations' scores, and whether decoding gives the text back."""
+    """Best ids, the ``n`` best segmentations, and whether decoding gives the text back.
+
+    ``best`` has scores, numbers of pieces and checksums; ``changes`` has for each of them the
+    places of ``ids`` (from 0) where it departs: ``gone`` ids go from ``at`` on, ``come`` come.
+    """
     path = model or public_tokenizers.path(MODEL)
     kind = docs.schema[key].dataType.simpleString()
 
@@ -315,21 +334,61 @@ def segment(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = B
             column = batch.column("text")
             for low, rows in parts(column, 2 << 20):
                 texts = column.slice(low, rows).to_pylist()
-                got = list(held.encode(texts, n))
+                got = list(held.segmentations(texts, n))
                 ends = np.cumsum([0] + [len(g[0]) // _ONE for g in got]).astype(np.int32)
                 flat = np.frombuffer(b"".join([g[0] for g in got]), np.int32)
                 same = [held.decode(flat[a:b]) == t.replace(SPACE, " ") for a, b, t in
                         zip(ends[:-1].tolist(), ends[1:].tolist(), texts)]
-                bests = [[{"score": s, "n_pieces": c, "ids_crc32": r} for s, c, r in g[1]] for g in got]
+                bests = [[dict(zip(("score", "n_pieces", "ids_crc32"), (s, *checksum(ids, changes))))
+                          for s, changes in best] for ids, best in got]
+                changes = [[[{"at": a, "gone": g, "come": c} for a, g, c in changes] for _, changes in best]
+                           for _, best in got]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(low, rows),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                     pa.array(bests, _BESTS), pa.array(same)],
-                    ["doc_id", "ids", "best", "round_trip"])
+                     pa.array(bests, _BESTS), pa.array(changes, _CHANGES), pa.array(same)],
+                    ["doc_id", "ids", "best", "changes", "round_trip"])
 
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, best array<struct<score: double, "
-                                "n_pieces: int, ids_crc32: long>>, round_trip boolean")
+                                "n_pieces: int, ids_crc32: long>>, changes array<array<struct<at: int, "
+                                "gone: int, come: array<int>>>>, round_trip boolean")
+
+
+def alternatives(segmented: DataFrame) -> DataFrame:
+    """(doc_id, rank, score, ids): every segmentation that ``segment`` found, with its own ids."""
+    rows = segmented.select("doc_id", F.col("ids").alias("first"), F.posexplode(F.arrays_zip("best", "changes")))
+    start = F.struct(F.lit(0).alias("done"), F.slice("first", 1, 0).alias("out"))
+    ids = F.aggregate(
+        "col.changes", start,
+        lambda s, c: F.struct((c["at"] + c["gone"]).alias("done"), F.concat(
+            s["out"], F.slice("first", s["done"] + 1, c["at"] - s["done"]), c["come"]).alias("out")),
+        lambda s: F.concat(s["out"], F.slice("first", s["done"] + 1, F.size("first") - s["done"])))
+    return rows.select("doc_id", (F.col("pos") + 1).alias("rank"), F.col("col.best.score").alias("score"),
+                       ids.alias("ids"))
+
+
+def decode(rows: DataFrame, ids: str = "ids", text: str = "text", model: str | None = None) -> DataFrame:
+    """The rows with the ``text`` that their ``ids`` spell; null ids give null, unknown ids an error.
+
+    The column replaces one of that name in the input.
+    """
+    path = model or public_tokenizers.path(MODEL)
+
+    def spell(column: pa.Array) -> pa.Array:
+        held, out = pieces(path), []
+        for some in column:
+            if not some.is_valid:
+                out.append(None)
+                continue
+            given = some.values.to_numpy(zero_copy_only=False)
+            if len(given) and not (given.min() >= 0 and given.max() < len(held.spelled)):
+                raise ValueError("an id that the model does not have")
+            out.append(held.decode(given.astype(np.int64)))
+        return pa.array(out, pa.string())
+
+    spell.__annotations__ = {"column": pa.Array, "return": pa.Array}
+    return rows.withColumn(text, F.arrow_udf(spell, StringType())(F.col(ids)))
 
 
 def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

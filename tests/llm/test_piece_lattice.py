@@ -62,3 +62,21 @@ def test_documents(spark, pieces):
     assert by_id[0]["ids"] == [] and [tuple(b) for b in by_id[0]["best"]] == [(0.0, 0, 0)]
     assert all(len(r["best"]) == 4 for r in got if r["doc_id"] in (2, 4, 5, 6))
     assert P.segment(documents(spark, [])).count() == 0
+
+
+def test_all_segmentations_leave_with_their_ids_and_decode(spark, pieces):
+    texts = [None, "", "hello", "a  b", " the thing.", "x\ny ê日", "an anand", "an anand", "q\n z", *prose(5, 3)]
+    ids = [0, None, 2, 3, 4, 5, 6, 6, *range(8, len(texts))]
+    found = P.segment(documents(spark, texts, ids))
+    rows = P.decode(P.alternatives(found).withColumnRenamed("ids", "units"), "units").collect()
+    best = {r["doc_id"]: r["best"] for r in found.collect()}
+    for i, t in zip(ids, texts):
+        mine = sorted((r for r in rows if r["doc_id"] == i), key=lambda r: r["rank"])[::texts.count(t) if t else 1]
+        assert [(r["score"], len(r["units"]), zlib.crc32(array("I", r["units"]).tobytes())) for r in mine] == [
+            tuple(b) for b in best[i]]
+        assert {r["text"] for r in mine} == {t or ""}
+        if len(t or "") < 12:
+            want = dict((u, s) for s, u in every(pieces, t or ""))
+            assert [want[tuple(r["units"])] for r in mine] == [r["score"] for r in mine]
+    other = spark.createDataFrame([(None,), ([],)], "ids array<int>")
+    assert [r["text"] for r in P.decode(other).collect()] == [None, ""]
