@@ -1,4 +1,4 @@
-"""Queries and SQL of the ten operators and the pipeline."""
+"""Queries and SQL of the thirteen operators and the pipeline."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import importlib
 import corpus_pipeline
 
 MODULES = ("piece_lattice gear_chunks line_windows token_store decontaminate interpolated_lm sharding "
-           "quality vector_lsh chosen_path").split()
+           "quality vector_lsh chosen_path divergence secret_scan block_max").split()
 
 QUERIES: dict = {"pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {}
