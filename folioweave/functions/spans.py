@@ -6,7 +6,7 @@ are found by one forward pass per page. Pages are independent of each other.
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left
 from collections.abc import Iterator
 import re
 
@@ -41,42 +41,67 @@ def boundary_spans(text: str, size: int, overlap: int) -> Iterator[tuple]:
         start = end - overlap
 
 
+# A look-ahead begins with so many characters; so many equal tokens in a row are agreement.
+_LOOK_AHEAD, _AGREEING = 96, 4
+
+
+def _agreement(own: list[tuple], page: list[tuple], starts: list[int]) -> tuple[int, int] | None:
+    """Where a row of tokens first equals one of the page's: positions in both.
+
+    The last two tokens of a look-ahead are left out, as its end may have cut them.
+    """
+    for i in range(len(own) - 2 - _AGREEING):
+        j = bisect_left(starts, own[i][0])
+        if page[j:j + _AGREEING] == own[i:i + _AGREEING]:
+            return i, j
+    return None
+
+
+def _reach(text: str, start: int, page: list[tuple], starts: list[int], tokenizer, budget: int) -> int:
+    """Where the ``budget``-th token of the text from ``start`` on ends; the text's end if none follows.
+
+    A tokenizer that starts inside a token of the page gives other tokens, but only for a while: tokens
+    of whole words, and a merged word's tokens between two common bounds, do not depend on what
+    lies beyond. So a short stretch is encoded, twice as long each time until it runs along the tokens
+    of the whole page, which then go on; a stretch that never does ends with the text.
+    """
+    ahead = _LOOK_AHEAD
+    while True:
+        stop = min(start + ahead, len(text))
+        own = [(a + start, b + start) for a, b in tokenizer.measure(text[start:stop]).spans]
+        if stop == len(text):
+            return own[budget - 1][1] if len(own) > budget else stop
+        met = _agreement(own, page, starts)
+        if met:
+            mine, theirs = met
+            if mine + len(page) - theirs <= budget:
+                return len(text)
+            return own[budget - 1][1] if budget <= mine else page[theirs + budget - mine - 1][1]
+        ahead *= 2
+
+
 def _fitting(text: str, start: int, stop: int, tokenizer, budget: int, ceiling: int):
-    """The longest slice from ``start`` up to ``stop`` within both budgets, and its measure.
+    """The first end at or before ``stop`` whose slice is within both budgets, and its measure.
 
-    Longer slices have no fewer tokens, so where the first try is too long the rest is
-    halved: a slice is measured a few times, however far it has to shrink.
+    A slice may have more tokens than a longer one, so every end is tried on the way down.
     """
-    def fits(measure):
-        return measure.content <= budget and measure.complete <= ceiling
-
-    found = tokenizer.measure(text[start:stop])
-    if fits(found):
-        return stop, found
-    low, high, best = start, stop, None
-    while high - low > 1:
-        middle = (low + high) // 2
-        tried = tokenizer.measure(text[start:middle])
-        if fits(tried):
-            low, best = middle, tried
-        else:
-            high = middle
-    if best is None:
-        raise ValueError("one character is more than the token budget")
-    return low, best
+    for end in range(stop, start, -1):
+        found = tokenizer.measure(text[start:end])
+        if found.content <= budget and found.complete <= ceiling:
+            return end, found
+    raise ValueError("one character is more than the token budget")
 
 
 def token_spans(text: str, tokenizer, budget: int, overlap: int, ceiling: int) -> Iterator[tuple]:
     """Spans of at most ``budget`` tokens whose slices were measured on their own.
 
-    The page is encoded once; where a span may end is looked up among its tokens.
+    A span reaches as far as the tokens of the text from its start on allow; the page is encoded
+    once, and each start only until its tokens meet the page's.
     """
-    ends = [end for _, end in tokenizer.measure(text).spans]
-    start = 0
+    page = tokenizer.measure(text).spans
+    starts, start = [a for a, _ in page], 0
     while start < len(text):
-        ahead = bisect_right(ends, start)
-        last = ahead + budget
-        reach = ends[last - 1] if last < len(ends) else len(text)
+        reach = _reach(text, start, page, starts, tokenizer, budget)
         stop = last_break(text, start, max(reach, start + 1), start + 1)
         stop, measure = _fitting(text, start, stop, tokenizer, budget, ceiling)
         yield start, stop, measure.content, measure.complete

@@ -9,7 +9,7 @@ from folioweave.functions import identity, text as X
 from folioweave.operators import chunking, contracts, facts
 from folioweave.plans import corpus, sql_parts as S
 from folioweave.plans.registry import query
-from folioweave.sources.tokenizer import PatternTokenizer
+from folioweave.sources.tokenizer import JsonTokenizer, PatternTokenizer
 
 FIXED = chunking.ChunkSettings(profile="fixed_characters")
 BOUNDARY = chunking.ChunkSettings()
@@ -342,6 +342,19 @@ def token_chunks(spark, sf):
     return chunks.select(*SPAN_COLUMNS, "content_token_count", "input_token_count")
 
 
+@query("subword_chunks")
+def subword_chunks(spark, sf):
+    """Passages of every page by a subword vocabulary; SQL has no such tokenizer.
+
+    ``folioweave.tokenizerFile`` names the vocabulary; a public one is taken where it is unset.
+    """
+    import public_tokenizers
+    path = spark.conf.get("folioweave.tokenizerFile", None) or public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = JsonTokenizer.from_file(path, path.rsplit("/", 1)[-1], "public")
+    chunks = chunking.chunk_pages(corpus.pages(spark, sf), TOKENS, tokenizer)
+    return chunks.select(*SPAN_COLUMNS, "content_token_count", "input_token_count")
+
+
 @query("token_budgets", f"""
 WITH RECURSIVE {S.PAGES}, {S.token_chunks()},
 per AS (SELECT paper_id, page_number, max(end_character) AS reached FROM spans GROUP BY 1, 2)

@@ -1,3 +1,4 @@
+import pathlib
 import random
 import re
 
@@ -136,3 +137,97 @@ def test_json_tokenizer_chunks(spark):
         JsonTokenizer(tokenizer.asset, " ", "r")
     with pytest.raises(ValueError):
         list(token_spans("a", tokenizer, 1, 0, 1))
+
+
+def plain_token_spans(text, tokenizer, budget, overlap, ceiling):
+    """Every span from the whole remainder's own tokens, as a check on the short look-aheads."""
+    from folioweave.functions.spans import last_break
+    out, start = [], 0
+    while start < len(text):
+        ends = [b for _, b in tokenizer.measure(text[start:]).spans]
+        reach = len(text) if len(ends) <= budget else start + ends[budget - 1]
+        stop = last_break(text, start, reach, start + 1)
+        while True:
+            spans, content, complete = tokenizer.measure(text[start:stop])
+            if content <= budget and complete <= ceiling:
+                break
+            stop -= 1
+        out.append((start, stop, content, complete))
+        if stop == len(text):
+            break
+        kept = spans[-overlap:] if overlap else []
+        start = max(start + 1, start + kept[0][0]) if kept else stop
+    return out
+
+
+def larger_word_piece(texts):
+    """A vocabulary of the texts' characters and some of their word starts and word ends."""
+    tokenizers = pytest.importorskip("tokenizers")
+    from tokenizers import models, normalizers, pre_tokenizers
+    words = sorted({w.lower() for t in texts for w in re.findall(r"\w+", t)})
+    pieces = ["[UNK]", *sorted({c for w in words for c in (w[0], *("##" + x for x in w[1:]))}),
+              *sorted({w[:3] for w in words[::2]}), *sorted({"##" + w[-3:] for w in words[::3]})]
+    built = tokenizers.Tokenizer(models.WordPiece({w: i for i, w in enumerate(dict.fromkeys(pieces))}, unk_token="[UNK]"))
+    built.normalizer, built.pre_tokenizer = normalizers.BertNormalizer(), pre_tokenizers.BertPreTokenizer()
+    return JsonTokenizer(built.to_str().encode(), "pieces", "1")
+
+
+def subword_texts(seed, count, length=400):
+    pick = random.Random(seed)
+    words = ["the", "cost", "of", "agents", "isn't", "réduit", "straße", "1984", "x_1", "e\u0301t\u00e9", "漢字", "😀",
+             "aaaaaaaaaaaa", "tokenization", "A.B.C.", "http://a.b/c?d=e", "--", "\n\n", "\t", "  ", "don't", "'s"]
+    out = []
+    for _ in range(count):
+        parts = []
+        while sum(map(len, parts)) < length:
+            parts.append(pick.choice(words) + pick.choice(["", " ", " ", " ", ". ", "\n", ", "]))
+        out.append("".join(parts))
+    return out
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json", "pieces"])
+def test_subword_spans_equal_those_of_the_whole_remainder(name):
+    texts = subword_texts(3, 40)
+    if name == "pieces":
+        tokenizer = larger_word_piece(texts)
+    else:
+        files = pytest.importorskip("public_tokenizers")
+        tokenizer = JsonTokenizer.from_file(files.path(name), name, "1")
+    for text in texts:
+        for budget, overlap, ceiling in ((20, 4, 24), (50, 10, 64), (7, 2, 7), (40, 39, 44), (9, 0, 10)):
+            assert list(token_spans(text, tokenizer, budget, overlap, ceiling)) == plain_token_spans(
+                text, tokenizer, budget, overlap, ceiling)
+
+
+def test_work_on_a_long_page_is_linear():
+    files = pytest.importorskip("public_tokenizers")
+
+    class Counting(JsonTokenizer):
+        read = 0
+
+        def measure(self, text):
+            Counting.read += len(text)
+            return super().measure(text)
+
+    tokenizer = Counting.from_file(files.path("byte_bpe_50k.json"), "m", "1")
+    for length in (100_000, 1_000_000):
+        Counting.read = 0
+        text = subword_texts(5, 1, length)[0]
+        assert sum(1 for _ in token_spans(text, tokenizer, 200, 40, 256)) > length / 1200
+        assert Counting.read < 12 * len(text)       # the whole remainder each time: over 100 times
+
+
+def test_subword_query_equals_the_plain_rule(spark):
+    files = pytest.importorskip("public_tokenizers")
+    from folioweave.plans import corpus, queries_text as Q
+    data = "/root/testdata/sf0.001"
+    if not pathlib.Path(data).exists():
+        pytest.skip("no test tables")
+    tokenizer = JsonTokenizer.from_file(files.path("byte_bpe_50k.json"), "m", "1")
+    found = {}
+    for r in Q.subword_chunks(spark, data).collect():
+        found.setdefault((r["paper_id"], r["page_number"]), []).append(
+            (r["start_character"], r["end_character"], r["content_token_count"], r["input_token_count"]))
+    wanted = {(r["paper_id"], r["page_number"]): plain_token_spans(r["text"], tokenizer, 200, 40, 256)
+              for r in corpus.pages(spark, data).collect() if r["text"].strip()}
+    assert {k: sorted(v) for k, v in found.items()} == wanted

@@ -19,8 +19,12 @@ def connection():
     return compare.duck(DATA)
 
 
+# SQL has no subword tokenizer; that query is held against the plain rule in test_chunking.
+WITHOUT_SQL = {"subword_chunks"}
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
