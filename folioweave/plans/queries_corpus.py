@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from folioweave import fixed_values as V
 from folioweave.functions import identity, text as X
-from folioweave.operators import chunking, contracts, facts, sets
+from folioweave.operators import chunking, contracts, facts, ledger, sets
 from folioweave.plans import corpus, sql_parts as S
 from folioweave.plans.queries_text import FIXED
 from folioweave.plans.registry import query
+from folioweave.sources.files import alias_violations
 
 _COVERAGE = f"""{S.PAGES}, {S.fixed_chunks()}, {S.REQUESTED},
 page_sums AS (SELECT paper_id, count(*) AS page_count, count(*) FILTER (WHERE NOT {S.blank('text')}) AS usable_pages,
@@ -161,10 +162,10 @@ def source_failures(spark, sf):
 
 @query("corpus_coverage", """SELECT doc_id, CASE WHEN d.doc_id IS NOT NULL AND l.doc_id IS NOT NULL THEN 'shared'
   WHEN d.doc_id IS NOT NULL THEN 'passages_only' ELSE 'metadata_only' END AS side
-FROM (SELECT DISTINCT doc_id FROM documents WHERE lang <> 'es') d
+FROM (SELECT DISTINCT doc_id FROM documents) d
 FULL OUTER JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)""")
 def corpus_coverage(spark, sf):
-    passages = corpus.documents(spark, sf).where("lang <> 'es'").select("doc_id")
+    passages = corpus.documents(spark, sf).select("doc_id")
     return sets.id_coverage(passages, corpus.table(spark, sf, "labels").select("doc_id"), "doc_id",
                             ("shared", "passages_only", "metadata_only"))
 
@@ -281,6 +282,57 @@ def catalog_merge(spark, sf):
     return sets.merge_rows(stored, last, "paper_id").select("paper_id", "title", "published")
 
 
+def _ledger(spark, sf):
+    """A source ledger of all requested papers; papers of a kind get one damage each."""
+    read = corpus.described_documents(spark, sf).select(
+        "paper_id", "source_path", F.lit("read").alias("status"), F.col("doc_id").alias("kind"))
+    # a file whose only page is blank was read like any other
+    opened = F.when(F.col("status") == "papers_without_usable_text", "read").otherwise(F.col("status"))
+    held = corpus.withheld(spark, sf).select("paper_id", "source_path", opened.alias("status"), F.lit(-1).alias("kind"))
+    kind = F.col("kind") % 9
+    found = F.col("status") != "missing_pdfs"
+    entries = read.unionByName(held).select(
+        "paper_id", F.when(kind == 1, F.lit("data/elsewhere.pdf")).otherwise(F.col("source_path")).alias("source_path"),
+        F.when(kind == 2, F.upper(identity.sha256(F.col("paper_id")))).when(found, identity.sha256(F.col("paper_id"))).alias("sha256"),
+        F.when(found, F.lit("pypdf")).alias("reader"),
+        F.when(kind == 3, F.lit(" ")).when(found, F.lit("6.0")).alias("reader_version"),
+        F.when(kind == 4, F.lit("missing_page_papers")).when(kind == 5, F.lit("parsing_failures"))
+        .otherwise(F.col("status")).alias("status"),
+        F.explode(F.when(kind == 6, F.array(F.lit(0), F.lit(1))).when(kind == 7, F.array().cast("array<int>"))
+                  .otherwise(F.array(F.lit(0)))).alias("copy"))
+    unknown = corpus.table(spark, sf, "labels").select(F.format_string("8888.%05dv1", F.col("doc_id")).alias("paper_id")).distinct()
+    return entries.drop("copy").unionByName(unknown.select(
+        "paper_id", F.lit("data/none.pdf").alias("source_path"), F.lit(None).cast("string").alias("sha256"),
+        F.lit(None).cast("string").alias("reader"), F.lit(None).cast("string").alias("reader_version"),
+        F.lit("missing_pdfs").alias("status")))
+
+
+@query("ledger_violations", f"""WITH {S.PAGES}, {S.REQUESTED},
+paged AS (SELECT DISTINCT paper_id FROM requested_pages),
+wrong AS (SELECT paper_id, doc_id % 9 AS kind FROM described),
+rules AS (SELECT CASE kind WHEN 1 THEN 'source_path' WHEN 2 THEN 'file_hash' WHEN 3 THEN 'reader' WHEN 4 THEN 'class_of_mode'
+    WHEN 6 THEN 'entry_repeated' WHEN 7 THEN 'entry_missing' END AS rule, paper_id AS key FROM wrong
+  UNION ALL SELECT 'pages', paper_id FROM wrong WHERE (kind = 4 OR kind = 5) AND paper_id IN (SELECT paper_id FROM paged)
+  UNION ALL SELECT 'pages', paper_id FROM wrong WHERE kind NOT IN (4, 5, 7) AND paper_id NOT IN (SELECT paper_id FROM paged)
+  UNION ALL SELECT 'entry_unknown', printf('8888.%05dv1', doc_id) FROM (SELECT DISTINCT doc_id FROM labels))
+SELECT rule, key FROM rules WHERE rule IS NOT NULL""")
+def ledger_violations(spark, sf):
+    """Every damaged entry of a source ledger by the rule that it breaks."""
+    return ledger.violations(corpus.requested_papers(spark, sf), corpus.requested_pages(spark, sf),
+                             _ledger(spark, sf), "pdf_pipeline").select("rule", "key")
+
+
+@query("file_aliases", f"""WITH {S.DESCRIBED}, f AS (SELECT paper_id, '/papers/' || source_path AS path, lang || ':' || md5(text) AS number FROM described),
+shared AS (SELECT number, count(*) AS n, min(paper_id) AS key, max(paper_id) AS detail FROM f GROUP BY number)
+SELECT 'source_path_alias' AS rule, key, detail FROM shared WHERE n > 1""")
+def file_aliases(spark, sf):
+    """Papers whose files are one file, where equal texts of a language stand for a file number."""
+    rows = corpus.described_documents(spark, sf)
+    return alias_violations(rows.select(
+        "paper_id", F.concat(F.lit("/papers/"), "source_path").alias("real_path"),
+        F.concat("lang", F.lit(":"), F.md5("text")).alias("file_key")))
+
+
 @query("readable_sources", f"""WITH {S.DESCRIBED}, b AS (SELECT paper_id, CASE WHEN lang = 'en' THEN '%PDF-1.7 ' ELSE '<html> ' END || text AS body, text FROM described)
 SELECT paper_id, starts_with(body, '%PDF-') AS has_magic,
   NOT {S.blank('text')} AS readable, sha256(body) AS file_sha256 FROM b""")

@@ -18,6 +18,8 @@ PAPERS = _struct(*CITATION, ("source_path", _S))
 SEARCH_PAPERS = _struct(*CITATION, ("source_path", _S), ("categories", T.ArrayType(_S, True)),
                         ("url", _S), ("abstract", _S))
 PAGES = _struct(*CITATION, ("page_number", _L), ("text", _S))
+SOURCES = _struct(("paper_id", _S), ("source_path", _S), ("sha256", _S), ("reader", _S),
+                  ("reader_version", _S), ("status", _S))
 CHUNKS = _struct(("schema_version", T.IntegerType()), ("chunk_id", _S), *CITATION,
                  ("page_number", _L), ("text", _S), ("start_character", _L),
                  ("end_character", _L), ("page_text_sha256", _S),

@@ -6,11 +6,15 @@ here, so the same code runs on a laptop, HDFS or an object store.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 import hashlib
 import json
+import os
+import re
 import uuid
 
-from pyspark.sql import SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 class Files:
@@ -94,6 +98,56 @@ class Files:
         options[0] = getattr(fs, "Options$Rename").OVERWRITE
         context.rename(self._path(source), self._path(target), options)
 
+    def is_local(self, path: str) -> bool:
+        return self._system(path).getUri().getScheme() == "file"
+
+    def resolved(self, path: str) -> str:
+        """The path with all links followed; other stores than local disks have none."""
+        if not self.is_local(path):
+            return self._system(path).makeQualified(self._path(path)).toString()
+        return os.path.realpath(self._path(path).toUri().getPath())
+
+    def same_file(self, one: str, other: str) -> bool:
+        """Do two paths name one file, also by a link or another spelling?"""
+        if self.resolved(one) == self.resolved(other):
+            return True
+        if not (self.is_local(one) and self.is_local(other) and self.exists(one) and self.exists(other)):
+            return False
+        return os.path.samefile(self.resolved(one), self.resolved(other))
+
+    @contextmanager
+    def held(self, path: str):
+        """Only one holder at a time, on any machine: a lock file beside ``path``.
+
+        It is made in one step that fails if it is there. A holder that died leaves it behind; it is
+        named in the error, to be removed by hand once its holder is known to be gone.
+        """
+        target = self._path(path)
+        self.make_directory(target.getParent().toString())
+        lock = f"{target.getParent().toString()}/.{target.getName()}.lock"
+        try:
+            if self.is_local(path):             # Hadoop's local create looks first, then creates
+                local = self._path(lock).toUri().getPath()
+                os.close(os.open(local, os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+            else:
+                self._system(path).create(self._path(lock), False).close()
+        except Exception as reason:
+            raise RuntimeError(f"another writer holds {lock}") from reason
+        try:
+            yield
+        finally:
+            self.remove_tree(lock)
+
+    def content(self, path: str) -> bytes | None:
+        return self.read_bytes(path) if self.exists(path) else None
+
+    def swap_json(self, path: str, value, expected: bytes | None) -> None:
+        """Replace a file only while it still holds ``expected`` (None: while it is absent)."""
+        with self.held(path):
+            if self.content(path) != expected:
+                raise ValueError("the active pointer moved during processing; nothing was published")
+            self.write_json(path, value)
+
     def write_json(self, path: str, value) -> None:
         text = json.dumps(value, ensure_ascii=False, indent=2) + "\n"
         self.write_bytes(path, text.encode("utf-8"))
@@ -135,3 +189,47 @@ class Files:
             return ""
         finally:
             stream.close()
+
+
+def file_identities(paths: DataFrame, column: str = "path") -> DataFrame:
+    """``paths`` with ``real_path`` and ``file_key``, found in parallel where the files are.
+
+    Links are followed and the device and file number are read, so a hard link, a symbolic link or
+    another spelling on a disk that ignores case gives the same key. Stores without links (and
+    disks that a task does not see) are known by the path alone; absent files have no key.
+    """
+    schema = T.StructType([*paths.schema, T.StructField("real_path", T.StringType()),
+                           T.StructField("file_key", T.StringType())])
+
+    def identify(frames):
+        for frame in frames:
+            real, keys = [], []
+            for path in frame[column]:
+                local = None if path is None else re.sub(r"\Afile:/*", "/", path)
+                if local is None or not local.startswith("/"):
+                    real.append(path)
+                    keys.append(None)
+                    continue
+                real.append(os.path.realpath(local))
+                try:
+                    state = os.stat(local)
+                    keys.append(f"{state.st_dev}:{state.st_ino}")
+                except OSError:
+                    keys.append(None)
+            yield frame.assign(real_path=pd.Series(real, index=frame.index, dtype=object),
+                               file_key=pd.Series(keys, index=frame.index, dtype=object))
+
+    return paths.mapInPandas(identify, schema)
+
+
+def alias_violations(identities: DataFrame, key: str = "paper_id") -> DataFrame:
+    """``rule, key, detail`` of every file that several keys name, by its path or its number.
+
+    Counts combine before the shuffle, so a file that very many keys name is one group of sums.
+    """
+    named = identities.select(key, F.explode(F.array(
+        F.struct(F.lit("source_path_shared").alias("rule"), F.col("real_path").alias("name")),
+        F.struct(F.lit("source_path_alias").alias("rule"), F.col("file_key").alias("name")))).alias("n"))
+    groups = named.where("n.name IS NOT NULL").groupBy("n.rule", "n.name").agg(
+        F.count("*").alias("times"), F.min(key).alias("first"), F.max(key).alias("last"))
+    return groups.where("times > 1").select("rule", F.col("first").alias("key"), F.col("last").alias("detail"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 import hashlib
+from importlib import metadata
 import io
 
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioweave import fixed_values as V, schemas
 from folioweave.functions.text import clean_text
+from folioweave.operators import ledger
 
 # path, 1-based page number (null for a file without pages), text, error
 PAGE_ROWS = "path string, page_number long, raw_text string, error string, sha256 string"
@@ -28,6 +30,34 @@ def pypdf_pages(content: bytes) -> list[str | None]:
     return [page.extract_text() for page in reader.pages]
 
 
+pypdf_pages.library = "pypdf"
+
+
+def reader_name(reader: Callable) -> str:
+    return f"{reader.__module__}.{reader.__qualname__}"
+
+
+def reader_version(reader: Callable) -> str:
+    """The version of a reader: its own, that of its library, or a hash of its compiled code."""
+    own = getattr(reader, "version", None)
+    if own:
+        return str(own)
+    try:
+        return metadata.version(getattr(reader, "library", reader.__module__.split(".")[0]))
+    except metadata.PackageNotFoundError:
+        code = getattr(reader, "__code__", None)
+        body = repr((code.co_code, code.co_names, [c for c in code.co_consts if not hasattr(c, "co_code")])
+                    if code else reader_name(reader))
+        return f"code {hashlib.sha256(body.encode()).hexdigest()[:16]}"
+
+
+def file_hashes(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
+    """``path, sha256`` of every file's content as it is now, read in parallel."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+            .option("recursiveFileLookup", True).load(folder).where("length > 0")
+            .select("path", F.sha2("content", 256).alias("sha256")))
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
     """Files of a folder with their sizes; contents are not read."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
@@ -91,5 +121,18 @@ def paper_failures(papers: DataFrame, page_rows: DataFrame, root: str) -> DataFr
         "paper_id", status.alias("status"))
 
 
+def source_ledger(papers: DataFrame, page_rows: DataFrame, root: str,
+                  reader: Callable = pypdf_pages) -> DataFrame:
+    """One entry for each paper: its file's hash, who read it, and what came of it."""
+    files = relative_paths(page_rows, root).groupBy(F.col("path").alias("source_path")).agg(
+        F.max("sha256").alias("sha256"), F.count("page_number").alias("pages"), F.max("error").alias("error"))
+    found = F.col("sha256").isNotNull()
+    status = (F.when(~found, ledger.MISSING).when(F.col("pages") > 0, ledger.READ)
+              .when(F.col("error").isNotNull(), "parsing_failures").otherwise("papers_without_usable_text"))
+    return papers.join(files, "source_path", "left").select(
+        "paper_id", "source_path", "sha256", F.when(found, F.lit(reader_name(reader))).alias("reader"),
+        F.when(found, F.lit(reader_version(reader))).alias("reader_version"), status.alias("status"))
+
+
 def has_pdf_header(content) -> bool:
     return bytes(content).startswith(V.PDF_MAGIC)

@@ -1,4 +1,6 @@
+import hashlib
 import json
+import os
 import pathlib
 import time
 import sys
@@ -10,7 +12,7 @@ from folioweave import schemas
 from folioweave.cli import main
 from folioweave.plans import generation as G
 from folioweave.sources import arxiv, atom, pdf, records
-from folioweave.sources.files import Files
+from folioweave.sources.files import Files, alias_violations, file_identities
 from folioweave.streaming.incremental import chunk_stream
 from tests import fixtures
 from tests.fixtures import PAPER, SECOND
@@ -260,3 +262,99 @@ def test_page_stream_adds_each_page_once(spark, tmp_path):
     deliver("b.json", [2, 3, 3])
     rows = spark.read.parquet(target)
     assert sorted(r["page_number"] for r in rows.collect()) == [1, 2, 3]
+
+
+def command(spark, capsys):
+    def run(*arguments, **options):
+        code = main(list(arguments), spark, **options)
+        return code, json.loads(capsys.readouterr().out)
+    return run
+
+
+@pytest.mark.parametrize("link", ["hard", "symbolic"])
+def test_one_file_cannot_be_two_papers(spark, tmp_path, capsys, link):
+    run, data = command(spark, capsys), tmp_path / "data"
+    data.mkdir()
+    (data / "fixture.pdf").write_text("one\ftwo")
+    if link == "hard":
+        os.link(data / "fixture.pdf", data / "second.pdf")
+    else:
+        (data / "second.pdf").symlink_to("fixture.pdf")
+    manifest = tmp_path / "papers.json"
+    manifest.write_text(json.dumps([PAPER, SECOND]))
+    base = ["--manifest", str(manifest), "--root", str(tmp_path)]
+    for arguments in (["ingest", *base, "--output", str(tmp_path / "catalog")],
+                      ["run", *base, "--run-root", str(tmp_path / "runs"), "--active-pointer", str(tmp_path / "a.json")]):
+        code, out = run(*arguments, reader=fake_reader)
+        assert code == 3 and "source_path" in out["error"]
+    (data / "second.pdf").unlink()
+    (data / "second.pdf").write_text("one\ftwo")              # equal bytes are no alias
+    assert run("ingest", *base, "--output", str(tmp_path / "catalog"))[0] == 0
+
+
+def test_identities_beyond_local_disks(spark):
+    rows = spark.createDataFrame([("a", "s3a://b/x.pdf"), ("b", "s3a://b/y.pdf"), ("c", None), ("d", "/no/such")],
+                                 "paper_id string, path string")
+    found = file_identities(rows)
+    assert {r["paper_id"]: r["file_key"] for r in found.collect()} == dict.fromkeys("abcd")
+    assert alias_violations(found).count() == 0
+    assert alias_violations(found.unionAll(found.where("paper_id = 'a'"))).head()["rule"] == "source_path_shared"
+
+
+def test_targets_cannot_be_inputs_by_any_spelling(spark, tmp_path, capsys):
+    run = command(spark, capsys)
+    manifest, pages, pointer = tmp_path / "papers.json", tmp_path / "pages.jsonl", tmp_path / "active.json"
+    manifest.write_text(json.dumps([PAPER]))
+    page = {k: v for k, v in PAPER.items() if k != "source_path"}
+    pages.write_text(json.dumps({**page, "page_number": 1, "text": "abc"}) + "\n")
+    (tmp_path / "runs").mkdir()
+    (tmp_path / "aside").symlink_to("runs")
+    (tmp_path / "runs" / "in.json").write_text(json.dumps([PAPER]))
+    common = ["chunk", "--pages", str(pages), "--run-root", str(tmp_path / "runs")]
+    code, out = run(*common, "--manifest", str(tmp_path / "aside" / "in.json"), "--active-pointer", str(pointer))
+    assert code == 3 and "alias" in out["error"]
+    code, out = run(*common, "--manifest", str(manifest), "--active-pointer", str(tmp_path / "aside" / "a.json"))
+    assert code == 3 and "outside" in out["error"]
+    os.link(manifest, pointer)
+    code, out = run(*common, "--manifest", str(manifest), "--active-pointer", str(pointer))
+    assert code == 3 and "alias" in out["error"] and json.loads(manifest.read_text()) == [PAPER]
+
+
+def test_a_source_that_changes_midway_publishes_nothing(spark, tmp_path, capsys, monkeypatch):
+    run, pointer = command(spark, capsys), tmp_path / "active.json"
+    manifest, pages, catalog = tmp_path / "papers.json", tmp_path / "pages.jsonl", tmp_path / "catalog.jsonl"
+    tokens, data = tmp_path / "tokens.json", tmp_path / "data"
+    data.mkdir()
+    page = {k: v for k, v in PAPER.items() if k != "source_path"}
+    tokenizers = pytest.importorskip("tokenizers")
+    built = tokenizers.Tokenizer(tokenizers.models.WordLevel({"[UNK]": 0}, unk_token="[UNK]"))
+    built.pre_tokenizer = tokenizers.pre_tokenizers.Whitespace()
+    contents = {manifest: json.dumps([PAPER]), catalog: json.dumps(PAPER) + "\n", tokens: built.to_str(),
+                pages: json.dumps({**page, "page_number": 1, "text": "abc def"}) + "\n", data / "fixture.pdf": "one\ftwo"}
+    base = ["--manifest", str(manifest), "--run-root", str(tmp_path / "runs"), "--active-pointer", str(pointer)]
+    chunk = ["chunk", *base, "--pages", str(pages), "--catalog", str(catalog), "--profile", "tokenizer",
+             "--tokenizer-file", str(tokens), "--tokenizer-model-id", "m", "--tokenizer-revision", "1"]
+    pdfs = ["run", *base, "--root", str(tmp_path)]
+    staged = G.facts.quality_facts
+    for arguments, changed in ((chunk, manifest), (chunk, pages), (chunk, catalog), (chunk, tokens),
+                               (pdfs, data / "fixture.pdf"), (pdfs, manifest)):
+        for path, content in contents.items():
+            path.write_text(content)
+
+        def touch(*given, **named):
+            changed.write_text(contents[changed] + " ")
+            return staged(*given, **named)
+
+        monkeypatch.setattr(G.facts, "quality_facts", touch)
+        code, out = run(*arguments, reader=fake_reader)
+        assert code == 3 and not out["artifacts_published"] and "changed" in out["error"], changed
+        assert not pointer.exists()
+    monkeypatch.setattr(G.facts, "quality_facts", staged)
+    for path, content in contents.items():
+        path.write_text(content)
+    assert run(*pdfs, reader=fake_reader)[0] == 0
+    found = G.load_active(spark, str(tmp_path / "runs"), str(pointer))
+    entry = found.sources.head()
+    assert entry["sha256"] == hashlib.sha256(b"one\ftwo").hexdigest() and entry["status"] == "read"
+    assert entry["reader"].endswith("fake_reader") and entry["reader_version"].startswith("code ")
+    assert found.manifest["provenance"]["dependencies"]["reader_version"] == entry["reader_version"]
