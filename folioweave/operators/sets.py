@@ -39,20 +39,21 @@ def row_differences(left: DataFrame, right: DataFrame,
     return weighted.groupBy("row").agg(F.sum("w").alias("surplus")).where("surplus <> 0")
 
 
-def reconcile(desired: DataFrame, stored: DataFrame, key: str,
+def reconcile(desired: DataFrame, stored: DataFrame, key: str | list[str],
               columns: list[str] | None = None) -> DataFrame:
-    """``(key, action)``: new, changed, unchanged or stale.
+    """``(key, action)``: new, changed, unchanged or stale; ``key`` is one column or several.
 
     Only keys and content hashes are shuffled, never documents or vectors.
     """
-    columns = columns or [n for n in desired.columns if n != key]
+    keys = [key] if isinstance(key, str) else list(key)
+    columns = columns or [n for n in desired.columns if n not in keys]
     empty = F.lit(None).cast("string")
-    sides = desired.select(key, row_hash(columns).alias("want"), empty.alias("have")).unionByName(
-        stored.select(key, empty.alias("want"), row_hash(columns).alias("have")))
-    merged = sides.groupBy(key).agg(F.max("want").alias("want"), F.max("have").alias("have"))
+    sides = desired.select(*keys, row_hash(columns).alias("want"), empty.alias("have")).unionByName(
+        stored.select(*keys, empty.alias("want"), row_hash(columns).alias("have")))
+    merged = sides.groupBy(*keys).agg(F.max("want").alias("want"), F.max("have").alias("have"))
     action = (F.when(F.col("have").isNull(), "new").when(F.col("want").isNull(), "stale")
               .when(F.col("want") == F.col("have"), "unchanged").otherwise("changed"))
-    return merged.select(key, action.alias("action"))
+    return merged.select(*keys, action.alias("action"))
 
 
 def keep_last(rows: DataFrame, key: str, order: str) -> DataFrame:

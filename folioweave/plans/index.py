@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from folioweave import fixed_values as V, schemas
 from folioweave.functions import identity
@@ -13,23 +11,29 @@ from folioweave.functions.text import is_blank
 from folioweave.operators import sets, vector_search as VS
 from folioweave.operators.listing import document_text, lookup, reading_order
 from folioweave.plans import generation as G
-from folioweave.sources.files import Files
+from folioweave.sources.buckets import BUCKETS, BucketedTable
 
 _SCHEMAS = {"papers": schemas.PAPER_VECTORS, "chunks": schemas.CHUNK_VECTORS}
 
 
+def _unstamped(schema: T.StructType) -> T.StructType:
+    return T.StructType([f for f in schema if f.name != "generation"])
+
+
 class PaperIndex:
     """Vector tables under ``root`` for the active generation.
 
-    Each collection is a set of immutable versions with a pointer file. A new version
-    reuses stored vectors of unchanged documents, so only new texts are embedded.
+    Each collection is a table in hash buckets of the paper: a change embeds new texts only and
+    writes only the buckets of papers that changed. The generation that rows belong to is noted once, in
+    the collection's pointer, so a new generation leaves unchanged papers' buckets as they are.
     """
 
     def __init__(self, spark: SparkSession, root: str, run_root: str, pointer: str,
-                 manifest: DataFrame, embedder, model: str = V.EMBEDDING_MODEL):
+                 manifest: DataFrame, embedder, model: str = V.EMBEDDING_MODEL, buckets: int = BUCKETS):
         self.spark, self.root, self.run_root, self.pointer = spark, root, run_root, pointer
         self.manifest, self.embedder, self.model = manifest, embedder, model
-        self.files = Files(spark)
+        self.tables = {name: BucketedTable(spark, f"{root}/{name}", _unstamped(schema), "paper_id", buckets)
+                       for name, schema in _SCHEMAS.items()}
         self._sound: set[tuple] = set()
         self.source()
         self.fingerprint, self.dimensions = fingerprint(embedder, model)
@@ -52,27 +56,20 @@ class PaperIndex:
         return generation
 
     # ---- stored versions ----
-    def _pointer(self, name: str) -> str:
-        return f"{self.root}/{name}.json"
-
-    def _version(self, name: str) -> str | None:
-        path = self._pointer(name)
-        return self.files.read_json(path)["version"] if self.files.exists(path) else None
-
-    def stored(self, name: str) -> DataFrame:
-        """The current collection, or an empty table before the first indexing."""
-        version = self._version(name)
-        if version is None:
-            return self.spark.createDataFrame([], _SCHEMAS[name])
-        return self.spark.read.parquet(f"{self.root}/{name}/{version}")
+    def stored(self, name: str, paper_ids: list[str] | None = None) -> DataFrame:
+        """The current collection, empty before the first indexing; of given papers' buckets alone."""
+        table = self.tables[name]
+        only = None if paper_ids is None else table.buckets_of(
+            self.spark.createDataFrame([(p,) for p in paper_ids], "paper_id string"))
+        rows = table.read(only).withColumn("generation", F.lit(table.note().get("generation")).cast("string"))
+        return rows.select(*_SCHEMAS[name].names)
 
     def count(self, name: str) -> int:
         return self.stored(name).count()
 
     # ---- desired records ----
-    def _stamped(self, rows: DataFrame, generation: str) -> DataFrame:
-        return rows.withColumns({"generation": F.lit(generation),
-                                 "embedding_model": F.lit(self.model),
+    def _stamped(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumns({"embedding_model": F.lit(self.model),
                                  "embedding_fingerprint": F.lit(self.fingerprint)})
 
     def _desired_papers(self, generation: G.Generation) -> DataFrame:
@@ -80,50 +77,57 @@ class PaperIndex:
         return self._stamped(rows.select(
             F.col("paper_id").alias("id"),
             document_text(F.col("title"), F.col("abstract")).alias("document"), "paper_id",
-            "title", "url", "published"), generation.name)
+            "title", "url", "published"))
 
     def _desired_chunks(self, generation: G.Generation) -> DataFrame:
         return self._stamped(generation.chunks.select(
             F.col("chunk_id").alias("id"), F.col("text").alias("document"), "paper_id",
             "page_number", "start_character", "end_character", "page_text_sha256",
-            "chunking_profile_sha256", "title", "pdf_url"), generation.name)
+            "chunking_profile_sha256", "title", "pdf_url"))
 
     # ---- reconciliation ----
-    def _synchronize(self, name: str, desired: DataFrame) -> int:
-        stored = self.stored(name)
-        columns = [n for n in _SCHEMAS[name].names if n not in ("id", "embedding")]
-        actions = {row["action"]: row["count"] for row in sets.reconcile(
-            desired, stored.drop("embedding"), "id", columns).groupBy("action").count().collect()}
-        changed = actions.get("new", 0) + actions.get("changed", 0)
-        if not changed and not actions.get("stale"):
+    def _synchronize(self, name: str, desired: DataFrame, generation: str) -> int:
+        """Bring a collection to the desired rows; returns how many records are new or changed.
+
+        A record's generation is part of it: under a new generation every record has changed, although
+        only the buckets of other changes are written.
+        """
+        table = self.tables[name]
+        columns = [n for n in table.schema.names if n not in ("id", "embedding")]
+        dealt = desired.withColumn("bucket", table.bucket())
+        counts = sets.reconcile(dealt, table.read().drop("embedding").withColumn("bucket", table.bucket()),
+                                ["bucket", "id"], columns).groupBy("bucket", "action").count().collect()
+        touched = sorted({r["bucket"] for r in counts if r["action"] != "unchanged"})
+        moved = table.note().get("generation") != generation
+        if not touched and not moved:
             return 0
         # A vector is reusable when the same embedder made it from the same document.
-        held = stored.where((F.col("embedding_fingerprint") == self.fingerprint)
-                            & (F.size("embedding") == self.dimensions)).select(
+        held = table.read(touched).where((F.col("embedding_fingerprint") == self.fingerprint)
+                                         & (F.size("embedding") == self.dimensions)).select(
             "id", identity.sha256(F.col("document")).alias("document_sha256"), "embedding")
-        keyed = desired.withColumn("document_sha256", identity.sha256(F.col("document")))
-        paired = keyed.join(held, ["id", "document_sha256"], "left").drop("document_sha256")
+        keyed = dealt.where(F.col("bucket").isin(touched)).withColumn(
+            "document_sha256", identity.sha256(F.col("document")))
+        paired = keyed.join(held, ["id", "document_sha256"], "left")
         reused = paired.where(F.col("embedding").isNotNull())
         fresh = paired.where(F.col("embedding").isNull()).withColumn(
             "embedding", self.embedder.vector(F.col("document")).cast(schemas.VECTOR))
-        version = uuid.uuid4().hex
-        target = f"{self.root}/{name}/{version}"
-        reused.unionByName(fresh).select(*_SCHEMAS[name].names).write.mode(
-            "errorifexists").parquet(target)
-        self.files.write_json(self._pointer(name), {"version": version})
-        return changed
+        table.replace(reused.unionByName(fresh), touched, {"generation": generation}, "id")
+        kinds = ("new", "changed", "unchanged") if moved else ("new", "changed")
+        return sum(r["count"] for r in counts if r["action"] in kinds)
 
     def index_papers(self) -> int:
-        return self._synchronize("papers", self._desired_papers(self.source()))
+        generation = self.source()
+        return self._synchronize("papers", self._desired_papers(generation), generation.name)
 
     def index_chunks(self) -> int:
-        return self._synchronize("chunks", self._desired_chunks(self.source()))
+        generation = self.source()
+        return self._synchronize("chunks", self._desired_chunks(generation), generation.name)
 
     # ---- search ----
     def _require_synchronized(self, name: str, expected: DataFrame, generation: str) -> DataFrame:
         """Stored rows of the generation; refuses ids or an embedder that do not agree."""
         rows = self.stored(name).where(F.col("generation") == generation)
-        mark = (name, generation, self._version(name), self.fingerprint)
+        mark = (name, generation, self.tables[name].files.sha256(self.tables[name].pointer), self.fingerprint)
         if mark not in self._sound:
             sides = sets.id_coverage(expected, rows.select("id"), "id").where("side <> 'shared'")
             other = rows.where(F.col("embedding_fingerprint") != self.fingerprint)
@@ -161,15 +165,20 @@ class PaperIndex:
             VS.rounded_vector(F.col("embedding")).alias("embedding")).orderBy("rank")
 
     def search_chunks(self, question: str, paper_ids: list[str], k: int = 5) -> DataFrame:
-        _, chunks = self._parts()
-        inside = chunks.where(F.col("paper_id").isin(*sorted(set(paper_ids)))) if paper_ids else (
-            chunks.limit(0))
+        self._parts()
+        wanted = sorted(set(paper_ids))
+        inside = self.stored("chunks", wanted).where(F.col("paper_id").isin(wanted))
         hits = VS.nearest(inside, self._question(question), VS.check_count("k", k))
-        return self._passages(hits, chunks, k)
+        return self._passages(hits, inside, k)
 
     def search_two_stage(self, question: str, n_papers: int = 10, k: int = 5) -> DataFrame:
-        papers, chunks = self._parts()
-        hits = VS.two_stage(papers, chunks, self._question(question), n_papers, k)
+        papers, _ = self._parts()
+        vector = self._question(question)
+        VS.check_count("k", k)
+        # the papers found are few and checked in number; only their buckets are read on
+        near = VS.nearest(papers, vector, VS.check_count("n_papers", n_papers))
+        chunks = self.stored("chunks", [r["id"] for r in near.select("id").collect()])
+        hits = VS.two_stage(papers, chunks, vector, n_papers, k)
         return self._passages(hits, chunks, k)
 
     def search_passages(self, question: str, k: int = V.AGENT_TOP_K) -> dict:
@@ -185,4 +194,4 @@ class PaperIndex:
         """A paper's own vector row and its passages in reading order."""
         paper = lookup(self.stored("papers"), "id", paper_id).withColumn(
             "embedding", VS.rounded_vector(F.col("embedding")))
-        return paper, reading_order(self.stored("chunks"), paper_id)
+        return paper, reading_order(self.stored("chunks", [paper_id]), paper_id)

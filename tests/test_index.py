@@ -117,3 +117,74 @@ def test_answer_and_chat(spark, place):
         A.send_message(memory, "x", failing)
     assert len(memory) == 2
     assert A.name_conversation(spark, "q", lambda p: ' "Short title." ') == "Short title"
+
+
+def many(count):
+    return [{**PAPER, "paper_id": f"2608.{i:05d}v1", "source_path": f"data/{i}.pdf",
+             "pdf_url": f"https://arxiv.org/pdf/2608.{i:05d}v1"} for i in range(1, count + 1)]
+
+
+def test_one_changed_paper_writes_one_bucket(spark, tmp_path):
+    papers = many(30)
+    where = (str(tmp_path / "runs"), str(tmp_path / "active.json"))
+
+    def index(texts):
+        pages = [{**p, "page_number": 1, "text": t} for p, t in zip(papers, texts)]
+        G.build(spark, fixtures.papers(spark, *papers), fixtures.table(spark, pages, fixtures.schemas.PAGES),
+                *where, ChunkSettings("fixed_characters", 6, 2))
+        return PaperIndex(spark, str(tmp_path / "vectors"), *where, fixtures.search_papers(spark, *papers),
+                          LengthEmbedder(), buckets=8)
+
+    texts = [f"abcdefghij {i}" for i in range(30)]
+    one = index(texts)
+    assert (one.index_papers(), one.index_chunks()) == (30, 90)
+    runs = lambda: {p.name for p in (tmp_path / "vectors" / "chunks").iterdir()}
+    first = one.tables["chunks"].state()["folders"]
+    assert len(set(first.values())) == 1 and 4 <= len(first) <= 8
+    texts[4] = "other text"
+    two = index(texts)
+    assert (two.index_papers(), two.index_chunks()) == (30, 89)     # a new generation is part of every record
+    second = two.tables["chunks"].state()["folders"]
+    changed = {b for b in first if first[b] != second[b]}
+    assert len(changed) == 1 and set(second) == set(first)
+    new = (set(second.values()) - set(first.values())).pop()
+    written = list((tmp_path / "vectors" / "chunks" / f"run={new}").glob("bucket=*"))
+    assert [p.name for p in written] == [f"bucket={changed.pop()}"]
+    assert two.tables["papers"].state()["folders"] == one.tables["papers"].state()["folders"]
+    assert {r[0] for r in two.stored("chunks").select("generation").distinct().collect()} == {two.source().name}
+    found = two.search_chunks("other text", [papers[4]["paper_id"]], 1)
+    assert found.head()["text"] == "other "
+    pruned = two.stored("chunks", [papers[4]["paper_id"]])
+    assert len(pruned.inputFiles()) < len(two.stored("chunks").inputFiles())
+    kept = {p.name for p in (tmp_path / "vectors" / "chunks" / f"run={first[list(first)[0]]}").glob("bucket=*")}
+    for n in (7, 9):
+        texts[4] = "x" * n
+        index(texts).index_chunks()
+    held = index(texts).tables["chunks"].state()
+    named = set(held["folders"].items()) | set(held["previous"].items())
+    there = {(d.name.split("=")[1], r.name.split("=")[1]) for r in (tmp_path / "vectors" / "chunks").iterdir()
+             for d in r.glob("bucket=*")}
+    assert there == named and len(kept) == len(first) and len(runs()) >= 3
+
+
+def test_a_writer_that_lost_the_race_changes_nothing(spark, tmp_path):
+    from folioweave.sources.buckets import BucketedTable
+    from pyspark.sql import types as T
+    schema = T._parse_datatype_string("k string, v long")
+    table = BucketedTable(spark, str(tmp_path / "t"), schema, "k", 4)
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], schema)
+    every = list(range(4))
+    table.replace(rows, every)
+    state = table.state()
+
+    class Late(BucketedTable):
+        def bucket(self, key=None):
+            if not hasattr(self, "done"):
+                self.done = True
+                table.replace(rows.limit(0), every)
+            return super().bucket(key)
+
+    late = Late(spark, str(tmp_path / "t"), schema, "k")
+    with pytest.raises(ValueError, match="moved"):
+        late.replace(rows.union(rows), every)
+    assert late.buckets == 4 and table.read().count() == 0 and table.state()["previous"] == state["folders"]
