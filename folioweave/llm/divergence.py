@@ -1,10 +1,12 @@
 """Source divergence audit: how far the sources of a language differ in their words.
 
-``document_vectors`` counts words as ``CountVectorizer`` does for each language, with ``minDF``
-and the largest integer as ``vocabSize``, and gives every document's exact sparse vector. A
-vectoriser holds its vocabulary on the driver and sends it to all tasks, so the terms are dealt
-into slices by hash, one vectoriser each, as many as keep a slice near ``SLICE_TERMS`` terms;
-a word carries its language, so one fit serves all languages. Its saved model is the vocabulary
+``document_vectors`` fits ``CountVectorizer`` for each language, with ``minDF`` and the largest
+integer as ``vocabSize``, and gives every document's exact sparse vector. A vectoriser holds its
+vocabulary on the driver and sends it to all tasks, so the words are dealt into slices by hash, one
+vectoriser each, as many as keep a slice near ``SLICE_TERMS`` distinct words, of which only those in
+enough documents are held; a word carries its language, so one fit serves all languages. Documents
+hand over their distinct words with counts, once for the fit and once for the vectors, which look
+the words up in Arrow batches: a vector's text is never repeated. The saved model is the vocabulary
 table. ``group_sums`` adds the vectors of each (language, source).
 
 ``pair_values`` evaluates all pairs of sources sparsely: rows are grouped by a range of terms
@@ -25,50 +27,78 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import IllegalArgumentException
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from folioweave.llm import terms as T
-from folioweave.llm.common import mix64, native_text, parts, stored, table, work_folder
+from folioweave.llm.common import native_text, parts, stored, table, work_folder
 
-MIN_DOCUMENTS, VOCABULARY, SLICE_TERMS = 10, 2**31 - 1, 1_000_000
-RANGE_TERMS, SOURCE_BLOCK, TOP = 4096, 256, 10
+MIN_DOCUMENTS, VOCABULARY, SLICE_TERMS = 10, 2**31 - 1, 2_000_000
+PARTS, RANGE_TERMS, SOURCE_BLOCK, TOP = 64, 4096, 256, 10
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 BILLION = 1_000_000_000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def _distinct(batches):
+def _sampled(batches):
+    """Languages and hashes of the words whose hash falls into one part of ``PARTS``."""
     for batch in batches:
-        for low, n in parts(batch.column("text"), 4 << 20):
-            codes = batch.column("lang").slice(low, n).dictionary_encode()
+        for low, n in parts(batch.column("text"), 2 << 20):
             found = T.cut(batch.column("text").slice(low, n), T.LETTERS)
-            lang = codes.indices.to_numpy()[found.rows]
             h = found.hashes()
-            _, first = np.unique(h ^ mix64(lang.astype(np.uint64) + np.uint64(1)), return_index=True)
-            yield pa.RecordBatch.from_arrays(
-                [codes.dictionary.take(pa.array(lang[first])), pa.array(h[first].view(np.int64))], ["lang", "h"])
+            own = np.flatnonzero(h % np.uint64(PARTS) == 0)
+            yield pa.RecordBatch.from_arrays([batch.column("lang").slice(low, n).take(pa.array(found.rows[own])),
+                                              pa.array(h[own].view(np.int64))], ["lang", "h"])
 
 
 def _words(n_slices: int):
-    """Rows (documents' own columns, slice, words): a document's words of each slice."""
+    """Rows (documents' own columns, slice, words, counts): a document's distinct words of each slice.
+
+    A word ends where its language begins: no word holds a zero byte.
+    """
     def run(batches):
         for batch in batches:
             kept = batch.drop_columns(["text"])
-            for low, n in parts(batch.column("text"), 4 << 20):
+            for low, n in parts(batch.column("text"), 2 << 20):
                 found = T.cut(batch.column("text").slice(low, n), T.LETTERS)
-                dealt = found.rows * n_slices
+                h, dealt = found.hashes(), found.rows * n_slices
                 if n_slices > 1:
-                    dealt = dealt + (found.hashes() % np.uint64(n_slices)).astype(np.int64)
-                order = np.argsort(dealt, kind="stable")
-                cells, first = np.unique(dealt[order], return_index=True)
-                words = pa.ListArray.from_arrays(
-                    pa.array(np.append(first, len(order)).astype(np.int32)), found.strings(order))
+                    dealt = dealt + (h % np.uint64(n_slices)).astype(np.int64)
+                order = np.lexsort((h, dealt))
+                h, dealt = h[order], dealt[order]
+                heads = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (dealt[1:] != dealt[:-1])][:len(h)])
+                cells, first = np.unique(dealt[heads], return_index=True)
+                lang = batch.column("lang").slice(low, n).take(pa.array(found.rows[order[heads]]))
+                words = pc.binary_join_element_wise(found.strings(order[heads]), lang, "\0")
+                at = pa.array(np.append(first, len(heads)).astype(np.int32))
+                counts = pa.array(np.diff(np.append(heads, len(h))).astype(np.int32))
                 taken = kept.take(pa.array(cells // n_slices + low))
                 yield pa.RecordBatch.from_arrays(
-                    [*taken.columns, pa.array((cells % n_slices).astype(np.int32)), words],
-                    [*taken.schema.names, "slice", "words"])
+                    [*taken.columns, pa.array((cells % n_slices).astype(np.int32)),
+                     pa.ListArray.from_arrays(at, words), pa.ListArray.from_arrays(at, counts)],
+                    [*taken.schema.names, "slice", "words", "counts"])
+    return run
+
+
+def _vectors(vocabulary):
+    """Rows (documents' own columns, slice, indices, counts) of the words that a model knows."""
+    def run(batches):
+        known = pa.array(vocabulary.value, pa.string())
+        for batch in batches:
+            words, counts = batch.column("words"), batch.column("counts").flatten().to_numpy()
+            sizes = np.diff(words.offsets.to_numpy())
+            index = pc.index_in(words.flatten(), known).fill_null(-1).to_numpy(zero_copy_only=False)
+            rows = np.repeat(np.arange(len(sizes)), sizes)
+            met = np.flatnonzero(index >= 0)
+            met = met[np.lexsort((index[met], rows[met]))]
+            at = np.zeros(len(sizes) + 1, np.int32)
+            np.cumsum(np.bincount(rows[met], minlength=len(sizes)), out=at[1:])
+            kept = batch.drop_columns(["words", "counts"])
+            yield pa.RecordBatch.from_arrays(
+                [*kept.columns, pa.ListArray.from_arrays(pa.array(at), pa.array(index[met].astype(np.int32))),
+                 pa.ListArray.from_arrays(pa.array(at), pa.array(counts[met]))],
+                [*kept.schema.names, "indices", "counts"])
     return run
 
 
@@ -82,64 +112,76 @@ def document_vectors(docs: DataFrame, folder: str, min_documents: int = MIN_DOCU
                      slice_terms: int = SLICE_TERMS) -> tuple[DataFrame, DataFrame]:
     """(vectors, vocabulary) of ``read_groups`` rows, stored below ``folder``.
 
-    Vectors: doc_id, lang, source, slice, size, indices, values; a document has a row for each
-    slice it has words of. Vocabulary: slice, index, lang, term.
+    Vectors: doc_id, lang, source, slice, indices, counts; a document has a row for each slice it
+    has words of. Vocabulary: slice, index, lang, term.
     """
     spark = docs.sparkSession
-    n_terms = docs.select("lang", "text").mapInArrow(_distinct, "lang string, h long").agg(
+    # only the number of slices hangs on this estimate, from one hash in PARTS over all texts
+    n_terms = PARTS * docs.select("lang", "text").mapInArrow(_sampled, "lang string, h long").agg(
         F.approx_count_distinct(F.xxhash64("lang", "h"), 0.02)).head()[0]
     n_slices = max(1, math.ceil(n_terms / slice_terms))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, lang string, source string, slice int, words array<string>"
-    docs.mapInArrow(_words(n_slices), schema).write.partitionBy("slice").parquet(f"{folder}/words")
-    # a word ends where its language begins: no word holds a zero byte
-    spelled = F.transform("words", lambda w: F.concat(w, F.lit("\0"), F.col("lang"))).alias("spelled")
+    own_columns = f"doc_id {kind}, lang string, source string, slice int"
+    schema = f"{own_columns}, words array<string>, counts array<int>"
+    written = docs.mapInArrow(_words(n_slices), schema).write
+    (written.partitionBy("slice") if n_slices > 1 else written).parquet(f"{folder}/words")
     words = spark.read.schema(schema).parquet(f"{folder}/words")
+    # the distinct words of each document give the vocabulary that all its words would
     counter = CountVectorizer(minTF=1.0, minDF=float(min_documents), vocabSize=VOCABULARY,
-                              inputCol="spelled", outputCol="vector")
-    fitted = []
+                              inputCol="words", outputCol="vector")
+    vectors = spark.createDataFrame([], f"{own_columns}, indices array<int>, counts array<int>")
+    vocabulary = spark.createDataFrame([], "slice int, index int, lang string, term string")
     for i in range(n_slices):
-        own = words.where(F.col("slice") == i).select("doc_id", "lang", "source", spelled)
-        try:
-            model = counter.fit(own)
-        except IllegalArgumentException as error:
-            if "vocabulary size" not in str(error):
-                raise
-            continue                            # no word of this slice is in enough documents
-        fitted.append(i)
-        model.write().save(f"{folder}/models/slice={i}")
-        model.transform(own).drop("spelled").write.parquet(f"{folder}/vectors/slice={i}")
-    if not fitted:
-        return (spark.createDataFrame([], f"doc_id {kind}, lang string, source string, slice int, size int, "
-                                          "indices array<int>, values array<double>"),
-                spark.createDataFrame([], "slice int, index int, lang string, term string"))
-    # a sparse vector is stored as a struct of its parts, which are read here by name
-    vectors = spark.read.schema(
-        f"doc_id {kind}, lang string, source string, "
-        "vector struct<type: tinyint, size: int, indices: array<int>, values: array<double>>, slice int"
-    ).parquet(f"{folder}/vectors").select("doc_id", "lang", "source", "slice", "vector.size",
-                                          "vector.indices", "vector.values")
-    models = spark.read.schema("vocabulary array<string>").parquet(
-        *[f"{folder}/models/slice={i}/data" for i in fitted])
-    place = F.regexp_extract("_metadata.file_path", r"/models/slice=(\d+)/", 1).cast("int")
-    listed = models.select(place.alias("slice"), F.posexplode("vocabulary").alias("index", "word"))
-    parted = F.split("word", "\0", 2)
-    vocabulary = listed.select("slice", F.col("index").cast("int").alias("index"), parted[1].alias("lang"),
-                               parted[0].alias("term"))
+        own = words.where(F.col("slice") == i)
+        model = counter.fit(own.select("words"))
+        model.write().save(f"{folder}/models/{i}")
+        known = spark.sparkContext.broadcast(model.vocabulary)
+        own.mapInArrow(_vectors(known), vectors.schema).write.parquet(f"{folder}/vectors/{i}")
+        parted = F.split("word", "\0", 2)
+        listed = spark.read.parquet(f"{folder}/models/{i}/data").select(F.posexplode("vocabulary").alias("index", "word"))
+        vocabulary = vocabulary.unionByName(listed.select(
+            F.lit(i).alias("slice"), F.col("index").cast("int").alias("index"), parted[1].alias("lang"),
+            parted[0].alias("term")))
+        vectors = vectors.unionByName(spark.read.schema(vectors.schema).parquet(f"{folder}/vectors/{i}"))
     return vectors, stored(vocabulary)
 
 
+def _added(batches):
+    """Vectors of a batch added up by group; a batch of documents shares most of its words."""
+    for batch in batches:
+        group = pc.binary_join_element_wise(batch.column("lang"), batch.column("source"), "\0").dictionary_encode()
+        codes = group.indices.to_numpy().astype(np.int64)
+        _, first = np.unique(codes, return_index=True)
+        names = batch.select(["lang", "source"]).take(pa.array(first))
+        indices = batch.column("indices")
+        sizes = np.diff(indices.offsets.to_numpy())
+        slices = batch.column("slice").to_numpy().astype(np.int64)
+        # one key of group, slice and index; a batch has few groups and slices
+        own, place = np.unique(slices, return_inverse=True)
+        upper = np.repeat(codes * len(own) + place, sizes)
+        keys, where = np.unique((upper << 32) | indices.flatten().to_numpy(), return_inverse=True)
+        sums = np.zeros(len(keys), np.int64)
+        np.add.at(sums, where, batch.column("counts").flatten().to_numpy())
+        taken = names.take(pa.array((keys >> 32) // max(1, len(own))))
+        yield pa.RecordBatch.from_arrays(
+            [*taken.columns, pa.array(own[(keys >> 32) % max(1, len(own))].astype(np.int32)),
+             pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(sums)],
+            ["lang", "source", "slice", "index", "value"])
+
+
 def group_sums(vectors: DataFrame) -> DataFrame:
     """lang, source, slice, index and n: the vectors of each group added up."""
-    each = vectors.select("lang", "source", "slice", F.inline(F.arrays_zip(
-        F.col("indices").alias("index"), F.col("values").cast("array<bigint>").alias("value"))))
+    each = vectors.drop("doc_id").mapInArrow(
+        _added, "lang string, source string, slice int, index int, value long")
     return each.groupBy("lang", "source", "slice", "index").agg(F.sum("value").alias("n"))
 
 
 def share(count: str, total: str) -> Column:
-    """1 + floor(10^9 (count + 2) / (total + 2 V)), in decimals, so no product overflows."""
-    return F.expr(f"1 + (cast({count} + 2 as decimal(27,0)) * cast({BILLION} as decimal(10,0))) "
-                  f"div cast(greatest({total} + 2 * v, 1) as decimal(38,0))")
+    """1 + floor(10^9 (count + 2) / (total + 2 V)); in decimals where a product of longs would overflow."""
+    under = f"greatest({total} + 2 * v, 1)"
+    return F.expr(f"1 + if({count} < 9000000000, ({count} + 2) * {BILLION}L div {under}, "
+                  f"(cast({count} + 2 as decimal(27,0)) * cast({BILLION} as decimal(10,0))) "
+                  f"div cast({under} as decimal(38,0)))")
 
 
 def groups_of(docs: DataFrame, sums: DataFrame, vocabulary: DataFrame) -> DataFrame:
