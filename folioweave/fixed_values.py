@@ -77,17 +77,16 @@ ABSTRACT_PREVIEW = 300
 KEYWORD_LIMIT = 8
 DEFAULT_THEME = "General AI research"
 STOPWORDS = (
-    "about above across after again against also among and "
-    "any are based been being between both but can could "
-    "did does doing down during each few for from further "
-    "had has have having here how into its itself just "
-    "more most much must new nor not now off once only "
-    "other our out over own paper papers research results "
-    "same should some study such task tasks than that the "
-    "their them then there these they this those through "
-    "too under until used using very was were what when "
-    "where which while who why will with within without "
-    "work model models you your").split()
+    "about", "above", "across", "after", "again", "against", "also", "among", "and", "any",
+    "are", "based", "been", "being", "between", "both", "but", "can", "could", "did", "does",
+    "doing", "down", "during", "each", "few", "for", "from", "further", "had", "has", "have",
+    "having", "here", "how", "into", "its", "itself", "just", "more", "most", "much", "must",
+    "new", "nor", "not", "now", "off", "once", "only", "other", "our", "out", "over", "own",
+    "paper", "papers", "research", "results", "same", "should", "some", "study", "such", "task",
+    "tasks", "than", "that", "the", "their", "them", "then", "there", "these", "they", "this",
+    "those", "through", "too", "under", "until", "used", "using", "very", "was", "were", "what",
+    "when", "where", "which", "while", "who", "why", "will", "with", "within", "without", "work",
+    "model", "models", "you", "your")
 THEMES = (
     ("Inference routing & model efficiency",
      ("route", "routing", "inference", "cost", "allocation", "efficiency", "model selection")),
