@@ -268,13 +268,13 @@ def storage_round_trip(spark, sf):
 
 @query("catalog_merge", f"""WITH {S.DESCRIBED},
 added AS (SELECT paper_id, upper(title) AS title, published FROM described WHERE lang = 'fr'),
-kept AS (SELECT paper_id, title, published FROM described WHERE lang <> 'fr' AND source <> 'src2')
+kept AS (SELECT paper_id, title, published FROM described WHERE lang <> 'fr')
 SELECT * FROM kept UNION ALL SELECT * FROM added""")
 def catalog_merge(spark, sf):
-    """A manifest without one source, with re-delivered French entries replacing old ones."""
+    """Delivered French entries join a manifest: those of one source are new, the others replace old ones."""
     rows = corpus.described_documents(spark, sf).select("paper_id", "title", "published", "lang",
                                                         "source")
-    stored = rows.where("source <> 'src2'")
+    stored = rows.where("lang <> 'fr' OR source <> 'src2'")
     added = rows.where("lang = 'fr'").withColumn("title", F.upper("title"))
     doubled = added.withColumn("title", F.lower("title")).withColumn(
         "arrival", F.lit(1)).unionByName(added.withColumn("arrival", F.lit(2)))
