@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from folioweave.functions import text as X
 from folioweave.operators import chat
 from folioweave.plans import corpus, sql_parts as S
+from folioweave.plans.conversations import ConversationStore
 from folioweave.plans.registry import query
+from folioweave.sources.files import shared_folder
 
 _SEARCHES = '[{"query":"q","passages":[]}]'
 _MESSAGES = f"""messages AS (SELECT conv_id::VARCHAR AS conversation_id, turn AS seq,
@@ -184,3 +186,51 @@ def opened_conversation(spark, sf):
     sides = [rows.select(F.lit(side).alias("side"), "conversation_id", "seq", "content")
              for side, rows in (("store", store), ("memory", held))]
     return sides[0].unionByName(sides[1])
+
+
+_LATE = "2025-01-01 00:00:00"
+
+
+def _store_of_turns(spark, sf):
+    """A store to which all user turns came as one batch and the replies as a second, which was retried."""
+    store = ConversationStore(spark, shared_folder(spark))
+    rows = messages(spark, sf).withColumn("created_at", F.lit(None).cast("timestamp"))
+    first = F.lit("2024-03-01 00:00:00")
+    store.append(rows.where("role = 'user'"), "questions", first)
+    for _ in range(2):
+        store.append(rows.where("role <> 'user'"), "replies", first)
+    return store
+
+
+@query("stored_messages", f"""WITH {_MESSAGES},
+asked AS (SELECT conversation_id, max(seq) + 1 AS next FROM messages WHERE role = 'user' GROUP BY 1),
+placed AS (SELECT conversation_id, CASE WHEN role = 'user' THEN seq ELSE coalesce(next, 0) + seq END AS seq, role, content
+  FROM messages LEFT JOIN asked USING (conversation_id)),
+ended AS (SELECT conversation_id, max(seq) AS seq FROM placed WHERE conversation_id::BIGINT % 4 = 0 GROUP BY 1)
+SELECT * FROM placed ANTI JOIN ended USING (conversation_id, seq)""")
+def stored_messages(spark, sf):
+    """Read back from storage: two appended batches, then one conversation in four loses its latest message, once."""
+    store = _store_of_turns(spark, sf)
+    ended = messages(spark, sf).where(F.col("conversation_id").cast("long") % 4 == 0)
+    for _ in range(2):
+        store.remove_last(ended, "undo", F.lit(_LATE))
+    return store.messages().select("conversation_id", "seq", "role", "content")
+
+
+@query("stored_conversations", f"""WITH {_MESSAGES},
+edited AS (SELECT DISTINCT conversation_id FROM messages WHERE role = 'agent' AND length(content) > 400)
+SELECT id, title, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at, strftime(CASE WHEN id IN (FROM edited)
+  THEN greatest(updated_at, TIMESTAMP '{_LATE}') ELSE updated_at END, '%Y-%m-%d %H:%M:%S') AS updated_at FROM titled""")
+def stored_conversations(spark, sf):
+    """Parents on storage: created twice, then dumped memory moves those that it changed, once."""
+    store = ConversationStore(spark, shared_folder(spark))
+    parents = conversations(spark, sf).withColumns({n: F.col(n).cast("timestamp") for n in ("created_at", "updated_at")})
+    rows = messages(spark, sf).withColumn("created_at", F.lit(None).cast("timestamp"))
+    longer = (F.col("role") == "agent") & (F.length("content") > 400)
+    store.create(parents)
+    store.append(rows, "all", F.lit("2024-01-01 00:00:00"))
+    store.create(parents.withColumn("title", F.lit("ignored")))
+    memory = rows.withColumn("content", F.when(longer, F.concat("content", F.lit("!"))).otherwise(F.col("content")))
+    for _ in range(2):
+        store.dump(memory, "edits", F.lit(_LATE))
+    return store.conversations().select("id", "title", _shown("created_at"), _shown("updated_at"))

@@ -35,6 +35,10 @@ class BucketedTable:
         held = self.files.content(self.pointer)
         return json.loads(held) if held else None
 
+    def snapshot(self) -> bytes | None:
+        """The pointer as it is now; a change that began here passes it on as ``seen``."""
+        return self.files.content(self.pointer)
+
     def note(self) -> dict:
         return (self.state() or {}).get("note", {})
 
@@ -56,9 +60,13 @@ class BucketedTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*wanted)
 
-    def replace(self, rows: DataFrame, touched: list[int], note: dict | None = None, *order: str) -> list[int]:
-        """Make ``rows`` the whole content of the touched buckets; returns those that hold rows now."""
-        before = self.files.content(self.pointer)
+    def replace(self, rows: DataFrame, touched: list[int], note: dict | None = None, *order: str,
+                seen: bytes | None | object = ...) -> list[int]:
+        """Make ``rows`` the whole content of the touched buckets; returns those that hold rows now.
+
+        Rows derived from what was read after a ``snapshot`` name it: another writer since then makes this fail.
+        """
+        before = self.snapshot() if seen is ... else seen
         state = json.loads(before) if before else {"folders": {}}
         run, filled = uuid.uuid4().hex, []
         if touched:

@@ -11,12 +11,28 @@ import hashlib
 import json
 import os
 import re
+import tempfile
 import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
+
+    Where that is unset, the context's checkpoint folder serves; a session of one process sets its own.
+    """
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if context.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="folioweave-")
+        context.setCheckpointDir(root)
+    return f"{root.rstrip('/')}/work-{uuid.uuid4().hex}"
+
+
 class Files:
     def __init__(self, spark: SparkSession):
         self._jvm = spark.sparkContext._jvm
