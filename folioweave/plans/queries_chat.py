@@ -189,11 +189,12 @@ def opened_conversation(spark, sf):
 
 
 _LATE = "2025-01-01 00:00:00"
+_BUCKETS = 8  # units of rewriting, not of parallel work: large buckets are written by several tasks
 
 
 def _store_of_turns(spark, sf):
     """A store to which all user turns came as one batch and the replies as a second, which was retried."""
-    store = ConversationStore(spark, shared_folder(spark))
+    store = ConversationStore(spark, shared_folder(spark), _BUCKETS)
     rows = messages(spark, sf).withColumn("created_at", F.lit(None).cast("timestamp"))
     first = F.lit("2024-03-01 00:00:00")
     store.append(rows.where("role = 'user'"), "questions", first)
@@ -223,7 +224,7 @@ SELECT id, title, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at, strft
   THEN greatest(updated_at, TIMESTAMP '{_LATE}') ELSE updated_at END, '%Y-%m-%d %H:%M:%S') AS updated_at FROM titled""")
 def stored_conversations(spark, sf):
     """Parents on storage: created twice, then dumped memory moves those that it changed, once."""
-    store = ConversationStore(spark, shared_folder(spark))
+    store = ConversationStore(spark, shared_folder(spark), _BUCKETS)
     parents = conversations(spark, sf).withColumns({n: F.col(n).cast("timestamp") for n in ("created_at", "updated_at")})
     rows = messages(spark, sf).withColumn("created_at", F.lit(None).cast("timestamp"))
     longer = (F.col("role") == "agent") & (F.length("content") > 400)
