@@ -2,13 +2,16 @@
 
 Lines are the parts of a text between line feeds, taken as they are. Every window of three
 consecutive lines is hashed to 128 bits. The first occurrence of a window over the whole
-corpus, by (document, text, position), stays; all lines covered by any later occurrence
-go. Overlapping and touching windows merge because covered positions are a set.
+corpus, by (document, text, row, position), stays; all lines covered by any later occurrence
+go. Overlapping and touching windows merge.
+
+Rows equal in id and text are told apart by a row number, fixed in a stored table. Which of them is
+first is the only thing it decides: every window of the others has stood in the first, so all
+their lines go where they have three or more.
 
 Defined results: null texts are empty; texts with fewer than three lines have no window and
-stay whole; windows of blank lines count like any others; rows equal in id and text are one
-document and share their result; rows that share only the id are told apart by their
-texts; a null id sorts first. An empty table gives no rows. Further columns are kept.
+stay whole; windows of blank lines count like any others; rows that share only the id are told
+apart by their texts; a null id sorts first. An empty table gives no rows. Further columns are kept.
 """
 
 from __future__ import annotations
@@ -41,11 +44,12 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def covered_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, covered): the line positions to remove, for documents that have any.
+    """(doc, starts): where later windows begin, in order, for documents that have any.
 
-    Counting combines on the map side, so a window that a third of all documents share is
-    one row per task. Only repeated windows reach the join, as a stored table: both of its
-    sides are plain exchanges, whose hot partitions adaptive execution splits.
+    Equal rows are one document here. Counting combines on the map side, so a window that a
+    third of all documents share is one row per task. Only repeated windows reach the join, as
+    a stored table: both of its sides are plain exchanges, whose hot partitions adaptive
+    execution splits.
     """
     spots = _keyed(docs, key, text).select("doc", F.inline(_windows(F.col("lines"))))
     repeated = stored(spots.groupBy("w1", "w2").agg(
@@ -53,7 +57,25 @@ def covered_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
         .where("n > 1").select("w1", "w2", "first"))
     later = (spots.join(repeated.hint("merge"), ["w1", "w2"])
              .where(~F.struct("doc", "pos").eqNullSafe(F.col("first"))))
-    return later.groupBy("doc").agg(F.collect_set("pos").alias("starts"))
+    return later.groupBy("doc").agg(F.sort_array(F.collect_set("pos")).alias("starts"))
+
+
+def _uncovered(lines: Column, starts: Column) -> Column:
+    """The lines outside all windows at ascending ``starts``: the gaps between them, in linear time.
+
+    The arrays are bound once, as a one-element array, so a gap costs its own lines only.
+    """
+    def gaps(h: Column) -> Column:
+        n = F.size(h["starts"])
+
+        def gap(k: Column) -> Column:
+            begin = F.when(k == 0, F.lit(0)).otherwise(F.get(h["starts"], k - 1) + LINES)
+            end = F.when(k == n, F.size(h["lines"])).otherwise(F.get(h["starts"], k))
+            return F.slice(h["lines"], begin + 1, F.greatest(end - begin, F.lit(0)))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), n), gap))
+
+    return F.transform(F.array(F.struct(lines.alias("lines"), starts.alias("starts"))), gaps)[0]
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -62,23 +84,29 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     The two count columns replace columns of those names in the input.
     """
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    mine = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
+                              F.monotonically_increasing_id().alias("place")))
     content = F.coalesce(F.col(f"row.`{text}`"), F.lit(""))
-    mine = held.withColumns({"id": F.col(f"row.`{key}`"), "t1": F.xxhash64(content),
+    mine = mine.withColumns({"id": F.col(f"row.`{key}`"), "t1": F.xxhash64(content),
                              "t2": F.crc32(content.cast("binary"))})
-    cover = covered_lines(docs, key, text).select(
-        F.col("doc.id").alias("cid"), F.col("doc.t1").alias("c1"), F.col("doc.t2").alias("c2"),
-        F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + LINES - 1)))
-                         ).alias("covered"))
-    joined = mine.join(cover, (F.col("t1") == F.col("c1")) & (F.col("t2") == F.col("c2"))
+    cover = covered_lines(mine.select(F.col("id").alias(key), content.alias(text)), key, text).select(
+        "doc.id", "doc.t1", "doc.t2", "starts", F.lit(None).cast("long").alias("first"))
+    # the first of equal rows; one partial row per task for each
+    firsts = mine.groupBy("id", "t1", "t2").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1")
+    facts = cover.unionByName(firsts.drop("n").withColumn("starts", F.lit(None).cast("array<int>")))
+    facts = facts.groupBy(F.col("id").alias("cid"), F.col("t1").alias("c1"), F.col("t2").alias("c2")).agg(
+        F.first("starts", True).alias("starts"), F.max("first").alias("first"))
+    joined = mine.join(facts, (F.col("t1") == F.col("c1")) & (F.col("t2") == F.col("c2"))
                        & F.col("id").eqNullSafe(F.col("cid")), "left")
     lines = F.split(content, "\n")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("covered", i)), "\n")
-    changed = F.when(F.col("covered").isNull(), F.col(f"row.`{text}`")).otherwise(kept)
-    return joined.select(
+    again = F.coalesce((F.col("place") > F.col("first")) & (F.size(lines) >= LINES), F.lit(False))
+    kept = (F.when(again, F.array().cast("array<string>"))
+            .when(F.col("starts").isNotNull(), _uncovered(lines, F.col("starts"))))
+    told = joined.select("row", F.size(lines).alias("n_lines"), kept.alias("kept"))
+    changed = F.when(F.col("kept").isNull(), F.col(f"row.`{text}`")).otherwise(F.array_join("kept", "\n"))
+    return told.select(
         *[(changed.alias(c) if c == text else F.col(f"row.`{c}`").alias(c)) for c in names],
-        F.size(lines).alias("n_lines"),
-        F.coalesce(F.size("covered"), F.lit(0)).alias("n_removed"))
+        "n_lines", F.coalesce(F.col("n_lines") - F.size("kept"), F.lit(0)).alias("n_removed"))
 
 
 def op3_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,5 +35,5 @@ def test_line_stage_and_quality_stage_alone(spark):
 
 def test_catalogue_names_one_query_of_each_operator():
     names = [n for n in catalogue.QUERIES if n != "pipeline"]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(catalogue.ORACLES) <= set(catalogue.QUERIES)
