@@ -90,3 +90,45 @@ def test_an_id_of_many_rows_takes_one_place(spark):
             *[(i, same) for i in range(3, 40)]]
     got = V.search(vectors(spark, rows), lambda i: i == 0).collect()
     assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"])] == list(range(1, 21))
+
+
+def met_share(spark, rows):
+    """Candidates that queries met and scored, as a share of all pairs; no pair is met twice."""
+    frame = vectors(spark, rows)
+    total = V.met_candidates(frame, lambda i: i % 20 == 0).agg({"met": "sum"}).head()[0]
+    asked = sum(1 for i, _ in rows if i % 20 == 0)
+    return total / (asked * (len(rows) - 1))
+
+
+def test_clustered_vectors_meet_few_candidates(spark):
+    random = np.random.default_rng(5)
+    centres = spread(50, 32, 6) * 4
+    x = (centres[random.integers(0, 50, 3000)] + random.normal(size=(3000, 32)) * 0.2).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    full, recall = compared(spark, rows)
+    share = met_share(spark, rows)
+    assert full == 1.0 and recall >= 0.9 and share < 0.35
+
+
+def test_recall_with_norms_that_vary(spark):
+    random = np.random.default_rng(7)
+    for norms in (random.pareto(1.5, 1500) + 0.01, random.lognormal(0, 2, 1500), 10.0 ** -random.uniform(0, 9, 1500)):
+        x = (spread(1500, 24, 8) * norms[:, None]).astype(np.float32)
+        full, recall = compared(spark, [(i, v.tolist()) for i, v in enumerate(x)])
+        assert full == 1.0 and recall >= 0.9
+
+
+def test_each_pair_is_met_at_most_once(spark):
+    rows = [(i, v.tolist()) for i, v in enumerate(spread(300, 8, 9))]
+    found = V.met_candidates(vectors(spark, rows), lambda i: i % 20 == 0)
+    pairs = found.where("vec_id IS NOT NULL").select("query_id", "vec_id")
+    assert pairs.count() == pairs.distinct().count()
+    assert met_share(spark, rows) <= 1.0
+
+
+def test_small_blocks_give_the_same_rows(spark, monkeypatch):
+    rows = [(i, v.tolist()) for i, v in enumerate(spread(400, 12, 10))]
+    one = sorted(map(tuple, V.search(vectors(spark, rows), lambda i: i % 20 == 0).collect()))
+    monkeypatch.setattr(V, "BLOCK", 16)
+    monkeypatch.setattr(V, "QUERY_BLOCK", 5)
+    assert one == sorted(map(tuple, V.search(vectors(spark, rows), lambda i: i % 20 == 0).collect()))
