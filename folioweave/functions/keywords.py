@@ -1,34 +1,33 @@
-"""Top keywords per text.
-
-Counting inside the row needs no shuffle of the corpus's words; the texts are a title
-and an abstract, so one row's counter is small.
-"""
+"""Top keywords per text, counted inside the row: no shuffle of the corpus's words and no Python."""
 
 from __future__ import annotations
 
-from collections import Counter
-import re
-
-import pandas as pd
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import ArrayType, StringType
 
 from folioweave import fixed_values as V
 
-_TOKEN = re.compile(V.KEYWORD_PATTERN)
-_SKIP = frozenset(V.STOPWORDS)
 
-
-def rank_keywords(lowered: str, limit: int) -> list[str]:
-    """Most frequent first; equal counts keep the order of first appearance."""
-    seen = Counter(word for word in _TOKEN.findall(lowered)
-                   if len(word) > 3 and word not in _SKIP)
-    return [word for word, _ in seen.most_common(limit)]
+def _with(value: Column, use) -> Column:
+    """``use(value)`` with the value found once: a plain column would be found anew in every lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def top_keywords(text: Column, limit: int = V.KEYWORD_LIMIT) -> Column:
-    @F.pandas_udf(ArrayType(StringType()))
-    def ranked(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda value: rank_keywords(value or "", limit))
-
-    return ranked(F.lower(text))
+    """Most frequent words first; equal counts keep the order of first appearance. Null has none.
+
+    Words are sorted with their places, so equal ones are neighbours and the first of each run
+    holds its first place; a run's length is the distance to the next one's start.
+    """
+    found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(V.KEYWORD_PATTERN), F.lit(0))
+    words = F.filter(found, lambda w: (F.length(w) > 3) & ~w.isin(*V.STOPWORDS))
+    placed = F.array_sort(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("place"))))
+
+    def best(run):
+        starts = F.filter(F.transform(run, lambda _, i: i), lambda i: (i == 0) | (
+            F.get(run, i)["word"] != F.get(run, i - 1)["word"]))
+        counted = _with(starts, lambda s: F.transform(s, lambda i, j: F.struct(
+            (i - F.coalesce(F.get(s, j + 1), F.size(run))).alias("fewer"),
+            F.get(run, i)["place"].alias("place"), F.get(run, i)["word"].alias("word"))))
+        return F.transform(F.slice(F.array_sort(counted), 1, limit), lambda x: x["word"])
+
+    return _with(placed, best)

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-# Phrases travel to the tasks in blocks of about so many characters.
-BLOCK_CHARACTERS = 4_000_000
+from folioweave.sources.files import shared_folder
+
 # Lengths, in bytes, of the runs that phrases are looked up by.
 RUNS = (16, 8, 4, 2, 1)
+# Runs taken from a phrase, evenly spread; the one in the fewest texts is its key.
+PICKS = 8
+# The filter over the phrases' runs: bits a run, and the most bits there are (16 MB).
+BITS_PER_RUN, MOST_BITS = 16, 1 << 27
 _BASE = 0x9E3779B97F4A7C15
-_BITS = 20
+_PIECE = 1 << 22
 
 
 def _run_hashes(data: np.ndarray, size: int) -> np.ndarray:
@@ -28,85 +30,99 @@ def _run_hashes(data: np.ndarray, size: int) -> np.ndarray:
     return found * np.uint64(_BASE)
 
 
-class _Phrases:
-    """A block of phrases by the hash of the run at their middle, in tables by run length."""
-
-    def __init__(self, phrases: list[tuple[int, str]]):
-        owners: dict[bytes, list[int]] = {}
-        for number, phrase in phrases:
-            owners.setdefault(phrase.encode(), []).append(number)
-        self.raw, self.owners = list(owners), list(owners.values())
-        self.tables = []
-        for size in RUNS:
-            mine = [i for i, r in enumerate(self.raw)
-                    if size <= len(r) and (size == RUNS[0] or len(r) < 2 * size)]
-            if mine:
-                shift = [(len(self.raw[i]) - size) // 2 for i in mine]
-                runs = b"".join(self.raw[i][s:s + size] for i, s in zip(mine, shift))
-                hashes = _run_hashes(np.frombuffer(runs, np.uint8), size)[::size]
-                order = np.argsort(hashes, kind="stable")
-                maybe = np.zeros(1 << _BITS, bool)
-                maybe[(hashes >> np.uint64(64 - _BITS)).astype(np.int64)] = True
-                self.tables.append((size, maybe, hashes[order], np.array(mine)[order], np.array(shift)[order]))
-
-    def inside(self, data: np.ndarray, offsets: np.ndarray) -> set[tuple[int, int]]:
-        """(row, phrase) of every phrase that a row of the buffer holds."""
-        raw, found = data.tobytes(), set()
-        for size, maybe, hashes, phrase, shift in self.tables:
-            if len(data) < size:
-                continue
-            here = _run_hashes(data, size)
-            places = np.flatnonzero(maybe[(here >> np.uint64(64 - _BITS)).astype(np.int64)])
-            low = np.searchsorted(hashes, here[places])
-            many = np.searchsorted(hashes, here[places], "right") - low
-            at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
-            start = np.repeat(places, many) - shift[at]
-            row = np.searchsorted(offsets, start, "right") - 1
-            for s, r, p in zip(start.tolist(), row.tolist(), phrase[at].tolist()):
-                if (r, p) not in found and s >= offsets[r]:
-                    end = s + len(self.raw[p])
-                    if end <= offsets[r + 1] and raw[s:end] == self.raw[p]:
-                        found.add((r, p))
-        return found
-
-
-def _scanned(texts: DataFrame, key: str, phrases: list[tuple[int, str]]) -> DataFrame:
+def _buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a text column and the offsets of its rows."""
+    column = pa.compute.fill_null(column, "").cast(pa.large_string())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    if len(column) == 0 or offsets[-1] == offsets[0]:
+        return np.empty(0, np.uint8), np.zeros(len(column) + 1, np.int64)
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+
+def _phrase_runs(phrases: DataFrame) -> DataFrame:
+    """``phrase, size, runs``: hashes of up to ``PICKS`` runs of each phrase, of the longest size that fits."""
+    def cut(batches):
+        for batch in batches:
+            sizes, runs = [], []
+            for phrase in batch.column(0).to_pylist():
+                data = np.frombuffer(phrase.encode(), np.uint8)
+                size = next(s for s in RUNS if s <= len(data))
+                at = np.unique(np.linspace(0, len(data) - size, PICKS).astype(np.int64))
+                parts = np.concatenate([data[i:i + size] for i in at])
+                sizes.append(size)
+                runs.append(np.unique(_run_hashes(parts, size)[::size]).view(np.int64).tolist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()),
+                                              pa.array(runs, pa.list_(pa.int64()))], ["phrase", "size", "runs"])
+
+    return phrases.mapInArrow(cut, "phrase string, size int, runs array<long>")
+
+
+def _filter(runs: DataFrame, most_bits: int) -> tuple[int, np.ndarray, list[int]]:
+    """A bit for the leading bits of every run, as (bits of an index, bytes, run sizes in use)."""
+    known = {row[0]: row[1] for row in runs.groupBy("size").count().collect()}
+    wanted = min(max(sum(known.values()) * BITS_PER_RUN, 1 << 15), max(most_bits, 1 << 15))
+    bits = wanted.bit_length() - 1
+    index = F.shiftrightunsigned("run", 64 - bits) + 1
+    rows = runs.groupBy(F.bitmap_bucket_number(index).alias("n")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(index)).alias("b")).collect()  # at most MOST_BITS
+    held = np.zeros((1 << bits) // 8, np.uint8)
+    for n, part in rows:
+        held[(n - 1) * 4096:n * 4096] = np.frombuffer(bytes(part), np.uint8)
+    return bits, held, sorted(known)
+
+
+def _text_runs(texts: DataFrame, key: str, bits: int, held, sizes: list[int]) -> DataFrame:
+    """``key, size, run`` for the runs of each text that pass the filter, mostly once a text."""
     def scan(batches):
-        held = _Phrases(phrases)
+        maybe = held.value
         for batch in batches:
-            column = pa.compute.fill_null(batch.column(1), "").cast(pa.large_string())
-            offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
-            if len(column) == 0 or offsets[-1] == offsets[0]:
-                continue
-            data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
-            pairs = [(row, number) for row, phrase in sorted(held.inside(data, offsets - offsets[0]))
-                     for number in held.owners[phrase]]
-            keys = batch.column(0).take(pa.array([r for r, _ in pairs], pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array([n for _, n in pairs], pa.int64()), keys],
-                                             names=["phrase_id", key])
+            data, offsets = _buffer(batch.column(1))
+            for size in sizes:
+                for low in range(0, len(data) - size + 1, _PIECE):
+                    hashes = _run_hashes(data[low:low + _PIECE + size - 1], size)
+                    index = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+                    at = np.flatnonzero((maybe[index >> 3] >> (index & 7).astype(np.uint8)) & 1)
+                    row = np.searchsorted(offsets, low + at, "right") - 1
+                    inside = low + at + size <= offsets[row + 1]
+                    pair = np.stack([row[inside], hashes[at[inside]].view(np.int64)], axis=1)
+                    pair = np.unique(pair, axis=0)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array(pair[:, 0])), pa.array(np.full(len(pair), size, np.int32)),
+                         pa.array(pair[:, 1])], names=[key, "size", "run"])
 
     return texts.select(key, "text").mapInArrow(scan, T.StructType([
-        T.StructField("phrase_id", T.LongType()), texts.schema[key]]))
+        texts.schema[key], T.StructField("size", T.IntegerType()), T.StructField("run", T.LongType())]))
 
 
-def find_phrases(texts: DataFrame, phrases: DataFrame, key: str,
-                 block_characters: int = BLOCK_CHARACTERS) -> DataFrame:
-    """All ``(phrase_id, key)`` whose text contains the phrase, without a join.
+def find_phrases(texts: DataFrame, phrases: DataFrame, key: str, most_bits: int = MOST_BITS) -> DataFrame:
+    """All distinct ``(phrase_id, key)`` where a text of the key contains the phrase.
 
-    ``texts`` has ``key, text`` and ``phrases`` has ``phrase_id, phrase``. Phrases are a query
-    set: one block at a time comes to the driver and meets all texts in one narrow pass, so
-    neither a common phrase nor a long text gathers anywhere.
+    ``texts`` has ``key, text`` and ``phrases`` has ``phrase_id, phrase``; both stay tables of any
+    size. Phrases hand over a few runs of bytes each. One narrow pass over the texts keeps the runs
+    that pass a filter of bounded size; a phrase is keyed by that run of it which the fewest texts
+    hold, and is out if any of its runs is nowhere. Texts and phrases meet on that run, runs of many
+    texts are split as skewed joins are, and an exact comparison decides. Null texts and null or
+    empty phrases match nothing.
     """
-    phrases = phrases.where(F.length("phrase") > 0)
-    size = phrases.agg(F.sum(F.length("phrase"))).head()[0] or 0
-    blocks = max(1, math.ceil(size / block_characters))
-    out = texts.select(F.lit(None).cast("long").alias("phrase_id"), key).limit(0)
-    for block in range(blocks):
-        mine = phrases.where(F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == block)
-        held = [(row[0], row[1]) for row in mine.select("phrase_id", "phrase").collect()]
-        if held:
-            out = out.unionByName(_scanned(texts, key, held))
-    return out
+    spark = texts.sparkSession
+    phrases = phrases.where(F.length("phrase") > 0).select("phrase_id", "phrase")
+    cut = _phrase_runs(phrases.select("phrase").distinct())
+    runs = cut.select("phrase", "size", F.size("runs").alias("wanted"), F.explode("runs").alias("run"))
+    bits, held, sizes = _filter(runs.select("size", "run").distinct(), most_bits)
+    if not sizes:
+        return phrases.select("phrase_id").limit(0).join(texts.select(key).limit(0))
+    path = f"{shared_folder(spark)}/runs"
+    _text_runs(texts, key, bits, spark.sparkContext.broadcast(held), sizes).write.parquet(path)
+    hits = spark.read.parquet(path)
+    met = hits.groupBy("size", "run").agg(F.count("*").alias("texts"))
+    keyed = runs.join(met, ["size", "run"]).groupBy("phrase").agg(
+        F.max("wanted").alias("wanted"), F.count("*").alias("found"),
+        F.min(F.struct("texts", "size", "run")).alias("best")).where("found = wanted")
+    pairs = hits.join(keyed.select("phrase", "best.size", "best.run"), ["size", "run"]).select(
+        F.col(key).alias("_key"), "phrase")
+    held_by = texts.select(key, "text").join(pairs, F.col(key).eqNullSafe(F.col("_key"))).where(
+        F.contains("text", "phrase")).select(key, "phrase").distinct()
+    return held_by.join(phrases, "phrase").select("phrase_id", key)
 
 
 def found_evidence(hits: DataFrame, evidence: DataFrame) -> DataFrame:

@@ -71,6 +71,21 @@ def test_phrases_both_ways_equal_brute_force(spark):
         assert sorted(map(tuple, rows)) == truth
 
 
+def test_phrases_of_odd_rows(spark):
+    long = "x" * 5_000_000 + "needle in the very long text" + "y" * 100
+    rows = [(1, long), (2, None), (3, ""), (None, "needle"), (4, "needle"), (4, "no"), (4, "needle too")] + [
+        (i, "common run of many texts " + str(i % 2)) for i in range(10, 60)]
+    wanted = [(1, "needle"), (2, ""), (3, None), (4, "needle in the very long text"), (5, "common run of many texts 1"),
+              (6, "common run of many texts 2"), (7, "needle")]
+    frame = spark.createDataFrame(rows, "doc long, text string")
+    asked = spark.createDataFrame(wanted, "phrase_id long, phrase string")
+    got = {(p, d) for p, d in evaluation.find_phrases(frame, asked, "doc").select("phrase_id", "doc").collect()}
+    assert got == {(p, d) for p, x in wanted if x for d, t in rows if t and x in t}
+    none = evaluation.find_phrases(frame, asked.limit(0), "doc")
+    assert none.columns == ["phrase_id", "doc"] and none.count() == 0
+    assert evaluation.find_phrases(frame.limit(0), asked, "doc").count() == 0
+
+
 def test_scores(spark):
     hits = spark.createDataFrame([("q1", 1, "p", 1, "xx needle yy"), ("q1", 2, "p", 1, "needle again"),
                                   ("q2", 1, "p", 1, "nothing"), ("q3", 1, "p", 1, "x")],

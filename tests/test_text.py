@@ -1,3 +1,4 @@
+from collections import Counter
 import random
 import re
 
@@ -6,7 +7,7 @@ import pytest
 
 from folioweave import fixed_values as V
 from folioweave.functions import text as X
-from folioweave.functions.keywords import rank_keywords, top_keywords
+from folioweave.functions.keywords import top_keywords
 
 
 def evaluate(spark, function, values):
@@ -79,10 +80,22 @@ def test_themes_prefer_the_first_on_ties(spark):
 
 
 def test_keywords_keep_first_appearance_on_ties(spark):
-    assert rank_keywords("zeta beta beta alpha the model don't", 8) == ["beta", "zeta", "alpha", "don't"]
+    assert evaluate(spark, top_keywords, ["zeta beta beta alpha the model don't"]) == [["beta", "zeta", "alpha", "don't"]]
     assert evaluate(spark, top_keywords, ["Zeta BETA beta", None]) == [["beta", "zeta"], []]
 
 
+def test_keywords_equal_a_counter(spark):
+    pick = random.Random(3)
+    words = ["agent", "Agents", "cost's", "a-b", "the", "their", "x1y2zzz", "ROUTE", "éclair", "models", "-dash", "abc", "abcd"]
+    texts = [" ".join(pick.choices(words, k=n)) for n in (0, 1, 5, 40, 200, 200)]
+
+    def plain(text):
+        found = [w for w in re.findall(V.KEYWORD_PATTERN, text.lower()) if len(w) > 3 and w not in V.STOPWORDS]
+        return [w for w, _ in Counter(found).most_common(3)]
+
+    assert evaluate(spark, lambda c: top_keywords(c, 3), texts) == [plain(t) for t in texts]
+
+
 def test_conversation_title_and_shorten(spark):
     assert evaluate(spark, X.conversation_title, [' "A title.." ', "", "x" * 90]) == [
         "A title", V.UNTITLED, "x" * 80]
