@@ -72,7 +72,7 @@ def chunk_bounds(data: np.ndarray, offsets: np.ndarray):
 
 def _chunks(batches):
     for batch in batches:
-        for low, n in parts(batch.column("text")):
+        for low, n in parts(batch.column("text"), 1 << 20):  # about 20 bytes of lists for each of text
             data, offsets = text_buffer(batch.column("text").slice(low, n))
             row, start, end = chunk_bounds(data, offsets)
             # a short last chunk is digested with the one before it, and never equals a chunk of other texts' middle
