@@ -156,3 +156,32 @@ def test_without_findings_nothing_is_added(spark):
     assert S.train(documents(spark, texts)) is None
     assert {r["spans"] for r in S.scan(documents(spark, texts), None).collect()} == {""}
     assert S.train(documents(spark, [])) is None and S.scan(documents(spark, []), None).count() == 0
+
+
+def test_every_candidate_teaches_and_is_judged(spark, monkeypatch):
+    """Over 6,000 others: all of them are dealt to the shards or held out, however rows are dealt."""
+    rng = random.Random(23)
+    texts = [" ".join("".join(rng.choice(string.ascii_letters) for _ in range(14)) + "." for _ in range(40))
+             for _ in range(200)] + prose_and_secrets(29, 120)
+    data, offsets = text_buffer(pa.array(texts))
+    found, spans = S.candidates(data, offsets), S.rule_spans(data, offsets)
+    label = S.touched(found, spans)
+    every = {(bytes(data[a:b]), s - a, e - s, bool(y), bool(n)) for a, b, s, e, y, n in zip(
+        found.befores, found.afters, found.starts, found.ends, label, found.named)}
+    read = []
+    learn = S._round
+    monkeypatch.setattr(S, "SHARD", 3000)
+    monkeypatch.setattr(S, "ALONE", 40)
+    monkeypatch.setattr(S, "SHARED", 10)
+    monkeypatch.setattr(S, "_round", lambda dealt, network, least, turn: read.append(
+        dealt.dropDuplicates(["h", "start", "size"]).count()) or learn(dealt, network, least, turn))
+    docs = documents(spark, texts)
+    one, two = S.train(docs.coalesce(1)), S.train(docs.repartition(3))
+    rows = S.labelled(docs).collect()
+    assert {(bytes(r["window"]), r["start"], r["size"], r["label"], r["named"]) for r in rows} == every
+    out = [r for r in rows if (r["h"] // 7) % 5 == 0]
+    bare = [r["label"] for r in out if not r["named"]]
+    assert len(every) > 8000 and one.held_out["bare"]["others"] == len(bare) - sum(bare) > 1500
+    assert len(read) == 2 * (1 + S.ROUNDS) and read[1] == read[2] == len(every) - len(out) > read[0]
+    assert all(np.array_equal(a, b) for a, b in zip(one.network.parts(), two.network.parts()))
+    assert one.thresholds == two.thresholds and one.held_out == two.held_out
