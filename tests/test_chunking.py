@@ -200,6 +200,48 @@ def test_subword_spans_equal_those_of_the_whole_remainder(name):
                 text, tokenizer, budget, overlap, ceiling)
 
 
+def test_slices_by_words_equal_the_library_and_spare_it():
+    """Pages laid out in words: the library reads unknown words, not every slice again."""
+    files = pytest.importorskip("public_tokenizers")
+
+    class Plain(JsonTokenizer):
+        def words(self, text):
+            return None
+
+    class Counting(JsonTokenizer):
+        calls = 0
+
+        def measure(self, text):
+            Counting.calls += 1
+            return super().measure(text)
+
+    path = files.path("byte_bpe_50k.json")
+    plain, own = Plain.from_file(path, "m", "1"), Counting.from_file(path, "m", "1")
+    pick = random.Random(4)
+    parts = ["a", "the", " ", "  ", "\n", "\n\n", "\t", "'", "'s", "'re", "'l", "l", "1984", "\u00e9", "e\u0301", "\u6f22\u5b57",
+             "\U0001f600", "!", "--", ". ", ", ", "\x1c", "\x85", "\u00a0", "\x00", "x_1", "isn't", "tokenization", "\r\n",
+             "\u0663", "\u00b2", "\u00aa", "\u00d7", "\u0131", "\u180e", "\u2028"]
+    for _ in range(600):
+        text = "".join(pick.choice(parts) for _ in range(pick.randrange(1, 40)))
+        words = own.words(text)
+        for _ in range(6):
+            start, overlap, budget = pick.randrange(len(text)), pick.randrange(8), pick.randrange(1, 9)
+            end = pick.randrange(start + 1, len(text) + 1)
+            found, spans = plain.measure(text[start:end]), plain.measure(text[start:]).spans
+            kept = start + found.spans[-overlap:][0][0] if overlap else None
+            assert words.rest(start).measured(end, overlap) == (found.content, kept), (text, start, end)
+            assert words.rest(start).reach(budget) == (
+                len(text) if len(spans) <= budget else start + spans[budget - 1][1]), (text, start)
+    Counting.calls = 0
+    for text in subword_texts(9, 20):
+        assert list(token_spans(text, own, 20, 4, 24)) == list(token_spans(text, plain, 20, 4, 24))
+    assert Counting.calls == 0
+    text = "a <|endoftext|> of tokens " * 9     # a special token is found in the text before its words
+    assert own.words(text) is None
+    assert list(token_spans(text, own, 9, 2, 9)) == list(token_spans(text, plain, 9, 2, 9))
+    assert word_piece().words("a b") is None
+
+
 def test_work_on_a_long_page_is_linear():
     files = pytest.importorskip("public_tokenizers")
 
