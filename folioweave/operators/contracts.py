@@ -220,11 +220,12 @@ def chunk_violations(chunks: DataFrame, pages: DataFrame) -> DataFrame:
 
     All but the slices are judged in the one pass of ``coverage_sweep``. Identifiers are
     derived from content, so two rows can share a valid one only on the same span of the
-    same page, where they are neighbours; anything else breaks the ``chunk_id`` row rule.
+    same page, where they are neighbours; anything else breaks the ``chunk_id`` row rule. Row
+    rules are judged before the sweep's shuffle, which then carries no passage's text.
     """
-    swept = coverage_sweep(chunks, pages)
-    start = F.col("start_character")
     is_chunk, usable = F.col("chunk_id").isNotNull(), ~F.col("page_blank")
+    swept = coverage_sweep(chunks.withColumn("row_rules", F.when(is_chunk, _broken(chunk_rules()))), pages)
+    start = F.col("start_character")
     linked = {
         "citation": F.col("chunk_citation") == F.col("page_citation"),
         "page_hash": F.col("page_text_sha256") == F.col("page_sha256"),
@@ -233,7 +234,7 @@ def chunk_violations(chunks: DataFrame, pages: DataFrame) -> DataFrame:
         "chunk_id_duplicate": ~F.col("chunk_id").eqNullSafe(F.col("previous_id"))}
     none = F.array().cast("array<string>")
     broken = F.concat(
-        F.when(is_chunk, _broken(chunk_rules())).otherwise(none),
+        F.when(is_chunk, F.col("row_rules")).otherwise(none),
         F.when(is_chunk, _broken({"source_page": usable})).otherwise(none),
         F.when(is_chunk & F.col("page_length").isNotNull(), _broken(linked)).otherwise(none),
         F.when(usable & (F.col("position") == 1),

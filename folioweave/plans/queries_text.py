@@ -9,6 +9,7 @@ from folioweave.functions import identity, text as X
 from folioweave.operators import chunking, contracts, facts
 from folioweave.plans import corpus, sql_parts as S
 from folioweave.plans.registry import query
+from folioweave.sources.files import shared_folder
 from folioweave.sources.tokenizer import JsonTokenizer, PatternTokenizer
 
 FIXED = chunking.ChunkSettings(profile="fixed_characters")
@@ -271,6 +272,13 @@ def page_violations(spark, sf):
     return found.select("rule", "key")
 
 
+def _staged(rows: DataFrame) -> DataFrame:
+    """The rows written to the shared folder and read again."""
+    path = f"{shared_folder(rows.sparkSession)}/rows"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 _PROFILE = FIXED.profile_hash()
 
 
@@ -302,7 +310,8 @@ rules AS (
   UNION ALL SELECT 'page_end', key FROM ends WHERE reached IS DISTINCT FROM n)
 SELECT rule, key FROM rules""")
 def chunk_violations(spark, sf):
-    pages = corpus.pages(spark, sf)
+    # The check reads pages three times and passages twice: both are made once and staged.
+    pages = _staged(corpus.pages(spark, sf))
     chunks = chunking.chunk_pages(pages, FIXED)
     number = F.col("page_number")
     dropped = (number == 2) & (F.col("start_character") == 1600)
@@ -311,7 +320,7 @@ def chunk_violations(spark, sf):
     changed = chunks.withColumn("copy", F.explode(times)).drop("copy").withColumn(
         "text", F.when(number == 3, F.translate("text", "aeiou", "AEIOU"))
         .when(number == 5, F.concat("text", F.lit("x"))).otherwise(F.col("text")))
-    return contracts.chunk_violations(changed, pages).select("rule", "key")
+    return contracts.chunk_violations(_staged(changed), pages).select("rule", "key")
 
 
 def _spans_sql(chunks: str, profile: str) -> str:

@@ -110,3 +110,21 @@ def test_a_page_of_millions_of_characters_is_swept_once(spark):
     assert "slice" in found
     plan = contracts.coverage_sweep(chunks, pages)._jdf.queryExecution().analyzed().toString()
     assert "page_text#" not in plan
+
+
+def test_the_check_cuts_and_cleans_pages_once(spark, tmp_path):
+    """Pages and passages are staged, and the sweep's shuffle carries no passage's text."""
+    from folioweave.plans import queries_text
+    lines = "\n".join(f"Line {i} of some prose, told at length." * 12 for i in range(40))
+    spark.createDataFrame([(i, lines, "en", f"src{i}") for i in range(3)],
+                          "doc_id long, text string, lang string, source string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    found = queries_text.chunk_violations(spark, str(tmp_path))
+    assert found.inputFiles() and not any("documents.parquet" in file for file in found.inputFiles())
+    rules = {r["rule"] for r in found.collect()}
+    assert {"chunk_id", "slice", "gap", "repeated_span", "chunk_id_duplicate", "offset_length"} <= rules
+    page = fixtures.pages(spark, lines)
+    swept = contracts.chunk_violations(chunk_pages(page, ChunkSettings()), page)
+    tree = swept._jdf.queryExecution().optimizedPlan().toString()
+    windowed = tree[:tree.index("Join FullOuter")]
+    assert "row_rules" in windowed and " text#" not in windowed
