@@ -7,7 +7,9 @@ few driver-side texts (a question, the probe). Model weights are never downloade
 from collections.abc import Callable
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
@@ -29,6 +31,39 @@ class LengthEmbedder:
         return [[float(len(t)), float(t.count("a") + 1), 1.0] for t in texts]
 
 
+_COUNTED = 1 << 20      # bytes looked at together
+
+
+def _counted(texts: pa.Array) -> pa.Array:
+    """Counts of the bytes a to z in each text; a null text has 26 nulls."""
+    texts = (texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts).cast(pa.large_string())
+    absent = texts.is_null().to_numpy(zero_copy_only=False)
+    texts = texts.fill_null("")
+    n = len(texts)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + n + 1] if n else np.zeros(1, np.int64)
+    held = texts.buffers()[2] if n else None
+    data = np.frombuffer(held, np.uint8) if held is not None else np.empty(0, np.uint8)
+    out = np.zeros(26 * n, np.int64)
+    for low in range(offsets[0], offsets[-1], _COUNTED):
+        high = min(low + _COUNTED, int(offsets[-1]))
+        first = int(np.searchsorted(offsets, low, "right")) - 1
+        last = int(np.searchsorted(offsets, high, "left"))
+        sizes = np.diff(np.clip(offsets[first:last + 1], low, high))
+        letter = data[low:high] - np.uint8(ord("a"))           # bytes below a wrap around
+        place = np.repeat(np.arange(last - first) * 26, sizes) + letter
+        out[26 * first:26 * last] += np.bincount(place[letter < 26], minlength=26 * (last - first))
+    values = pa.array(out.astype(np.float32), mask=np.repeat(absent, 26))
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * 26), values)
+
+
+def _letter_counts(low: Column) -> Column:
+    @F.arrow_udf(ArrayType(FloatType()))
+    def count(texts: pa.Array) -> pa.Array:
+        return _counted(texts)
+
+    return count(low)
+
+
 class LetterEmbedder:
     """Counts of the letters a to z: an offline stand-in with some lexical signal."""
 
@@ -36,9 +71,8 @@ class LetterEmbedder:
     letters = "abcdefghijklmnopqrstuvwxyz"
 
     def vector(self, text: Column) -> Column:
-        low = F.lower(text)
-        return F.array(*[(F.length(low) - F.length(F.replace(low, F.lit(x), F.lit(""))))
-                         .cast("float") for x in self.letters])
+        # Lower-casing stays native; one pass over the bytes then counts all letters of a batch.
+        return _letter_counts(F.lower(text))
 
     def embed(self, texts: list[str]) -> list[list[float]]:
         return [[float(t.lower().count(x)) for x in self.letters] for t in texts]

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,3 +128,21 @@ def test_sets(spark):
     acts = sets.reconcile(left.distinct().unionByName(spark.createDataFrame([("c", 4)], "id string, v int")), right, "id")
     assert dict(map(tuple, acts.collect())) == {"a": "new", "b": "unchanged", "c": "changed"}
     assert dict(map(tuple, sets.reconcile(right, left.distinct(), "id").collect()))["a"] == "stale"
+
+
+def test_letters_are_counted_in_batches_as_one_by_one(spark):
+    from pyspark.sql import functions as F
+    from folioweave.functions import embedding
+    texts = [None, "", "aAzZ K\u212a \u00e9\u0130`{" * 7, "zz" * 900_000, None, "b", "q" * embedding._COUNTED]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+    low = F.lower("t")
+    plain = F.array(*[(F.length(low) - F.length(F.replace(low, F.lit(x), F.lit("")))).cast("float")
+                      for x in "abcdefghijklmnopqrstuvwxyz"])
+    vector = embedding.LetterEmbedder().vector(F.col("t"))
+    both = rows.select(plain.alias("one"), vector.alias("batch"))
+    assert both.where("NOT one <=> batch").count() == 0 and both.count() == len(texts)
+    plan = rows.select(vector.alias("batch"))._jdf.queryExecution().executedPlan().toString()
+    assert "replace(" not in plan               # 26 passes over every text before
+    assert embedding._counted(pa.array([None, "ab", "b", None])[1:3]).to_pylist() == [
+        [1.0, 1.0] + [0.0] * 24, [0.0, 1.0] + [0.0] * 24]
+    assert embedding._counted(pa.array([], pa.string())).to_pylist() == []
