@@ -6,7 +6,8 @@ heuristic for an A-star search backwards from the end: segmentations leave its q
 order of score. No piece spans two characters that no piece has side by side, so the
 lattice falls into units at such places; a text's N best are the best sums over its units, in
 which only the N - 1 units with the closest second choice can depart from their best. A
-worker remembers units; its memory is bounded and changes no result.
+worker remembers units; its memory is bounded and changes no result. New units of up to
+``SHORT`` characters are solved together, place by place over all of them.
 
 ``segment`` gives the ids of all N: those of the best, and for each segmentation the places where
 it departs from the best; ``alternatives`` writes them out, a row for each segmentation, and
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 from array import array
 import heapq
+from itertools import chain, islice
 import re
 import zlib
 
@@ -37,6 +39,7 @@ from pyspark.sql.types import StringType
 from folioweave.llm.common import parts, table
 
 MODEL, BEST, REMEMBERED = "piece_bpe_32k.model", 4, 600_000
+SHORT, CELLS = 64, 1 << 16
 SPACE, UNKNOWN_COST = "▁", 10.0
 _UNITS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
 _ONE = array("I").itemsize
@@ -71,12 +74,126 @@ class Pieces:
         regular = [s for _, s in self.edges.values() if s > -1e8]
         self.unknown = min(regular) - UNKNOWN_COST
         self.side_by_side = {p[i:i + 2] for p in self.edges for i in range(len(p) - 1)}
+        self._walk()
         self.cores: dict[str, tuple[bytes, float, float]] = {}
         self.units: dict[str, int] = {}
         self.blobs: list[bytes] = []
         self.size = 0
         self.score = np.empty(0)
         self.gap = np.empty(0)
+        self.length = np.empty(0, np.int64)
+
+    def _walk(self) -> None:
+        """The beginnings of pieces as states, and the next state by (state, class of a character)."""
+        begun = sorted(self.begun, key=len)
+        number = {"": 0} | {p: k for k, p in enumerate(begun, 1)}
+        letters = sorted(set("".join(begun)))
+        #: class of every character; 0 is in no piece
+        self.kind_of = np.zeros(0x110000, np.int32)
+        self.kind_of[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.n_kinds = len(letters) + 1
+        steps = np.array([number[p[:-1]] for p in begun], np.int64) * self.n_kinds + self.kind_of[
+            [ord(p[-1]) for p in begun]]
+        order = np.argsort(steps)
+        self.steps = np.append(steps[order], np.iinfo(np.int64).max)
+        self.stepped = np.append(order + 1, 0).astype(np.int32)
+        pieces = [self.begun[p] or ((0,), -np.inf) for p in begun]
+        self.state_id = np.array([0] + [ids[0] for ids, _ in pieces], np.int32)
+        self.state_score = np.array([-np.inf] + [s for _, s in pieces])
+
+    # many units ----------------------------------------------------------------------
+
+    def solve(self, units: list[str]) -> tuple[list[bytes], list[float], list[float]]:
+        """What ``best_and_gap`` gives of each unit; short ones are solved together."""
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        order = np.argsort(-size, kind="stable")
+        blobs, scores, gaps, at = [], [], [], 0
+        while at < len(order):
+            longest = int(size[order[at]])
+            some = order[at:at + (max(1, CELLS // max(1, longest)) if longest <= SHORT else 1)]
+            if longest <= SHORT:
+                got = self._solve([units[k] for k in some.tolist()], size[some])
+            else:
+                got = [[one] for one in self.best_and_gap(units[some[0]])]
+            for all_of, own in zip((blobs, scores, gaps), got):
+                all_of += own
+            at += len(some)
+        back = np.argsort(order).tolist()
+        return [blobs[k] for k in back], [scores[k] for k in back], [gaps[k] for k in back]
+
+    def _solve(self, units: list[str], size: np.ndarray) -> tuple[list[bytes], list[float], list[float]]:
+        """Units in descending order of their lengths; rows are places, columns are units."""
+        low, wide, n = -np.inf, int(size[0]), len(units)
+        points = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
+        begins = np.cumsum(size) - size
+        column = np.repeat(np.arange(n), size)
+        cells = (np.arange(len(points)) - begins[column]) * n + column
+        kinds = np.zeros(wide * n, np.int64)
+        kinds[cells] = self.kind_of[points]
+        # scores and states of the pieces of each length, by the place where they start
+        scores, states = [], []
+        place, state = cells, np.zeros(len(cells), np.int64)
+        for length in range(min(self.longest, wide)):
+            inside = place + length * n < wide * n
+            place, state = place[inside], state[inside]
+            steps = state * self.n_kinds + kinds[place + length * n]
+            at = np.searchsorted(self.steps, steps)
+            hit = self.steps[at] == steps
+            place, state = place[hit], self.stepped[at[hit]].astype(np.int64)
+            score, held = np.full(wide * n, low), np.full(wide * n, -1, np.int32)
+            score[place], held[place] = self.state_score[state], state
+            if not length:
+                alone = cells[score[cells] == low]
+                score[alone], held[alone] = self.unknown, -1
+            scores.append(score.reshape(wide, n))
+            states.append(held)
+        having = [int(np.searchsorted(-size, -j, "right")) for j in range(wide + 1)]    # units of j places or more
+        best, back = np.full((wide + 1, n), low), np.zeros((wide + 1, n), np.int8)
+        best[0] = 0.0
+        for j in range(1, wide + 1):
+            m = having[j]
+            most, by = best[j, :m], back[j, :m]
+            for length in range(min(j, len(scores)), 0, -1):
+                s = best[j - length, :m] + scores[length - 1][j - length, :m]
+                more = s > most
+                np.copyto(most, s, where=more)
+                by[more] = length
+        taken = np.zeros((wide, n), np.int8)
+        unit, end = np.flatnonzero(size), size[size > 0]
+        while len(unit):
+            length = back[end, unit]
+            end = end - length
+            taken[end, unit] = length
+            unit, end = unit[end > 0], end[end > 0]
+        # the best way through every piece off the best path: the best of them is the second
+        rest, second = np.full((wide + 1, n), low), np.full(n, low)
+        rest[size, np.arange(n)] = 0.0
+        for i in range(wide - 1, -1, -1):
+            m = having[i + 1]
+            for length in range(1, min(len(scores), wide - i) + 1):
+                s = scores[length - 1][i, :m] + rest[i + length, :m]
+                np.maximum(rest[i, :m], s, out=rest[i, :m])
+                s += best[i, :m]
+                s[taken[i, :m] == length] = low
+                np.maximum(second[:m], s, out=second[:m])
+        unit, start = np.nonzero(taken.T)
+        length, cell = taken[start, unit], start * n + unit
+        state = np.empty(len(cell), np.int32)
+        for k in range(len(states)):
+            own = length == k + 1
+            state[own] = states[k][cell[own]]
+        ids, sizes = self.state_id[state], np.ones(len(state), np.int64)
+        missing = np.flatnonzero(state < 0)
+        spelled = points[begins[unit[missing]] + start[missing]]
+        others = {c: [self.bytes_of[b] for b in chr(c).encode()] for c in np.unique(spelled).tolist()}
+        sizes[missing] = [len(others[c]) for c in spelled.tolist()]
+        out, ends = np.repeat(ids, sizes), np.cumsum(sizes)
+        for c, own in others.items():
+            out[ends[missing[spelled == c], None] - np.arange(len(own), 0, -1)] = own
+        blob = out.astype(np.uint32).tobytes()
+        cut = [0, *(np.cumsum(np.bincount(unit, sizes, n)).astype(np.int64) * _ONE).tolist()]
+        total = best[size, np.arange(n)]
+        return [blob[a:b] for a, b in zip(cut[:-1], cut[1:])], total.tolist(), (total - second).tolist()
 
     # one unit ------------------------------------------------------------------------
 
@@ -188,49 +305,41 @@ class Pieces:
     def spell(self, key: str) -> str:
         return key if key[:1] == "\n" else SPACE + key
 
-    def core(self, core: str) -> tuple[bytes, float, float]:
-        """A part of a unit; words are looked up among the units first."""
-        at = self.units.get(core[1:], self.size) if core[0] == SPACE else self.size
-        if at < self.size:
-            return self.blobs[at], self.score[at], self.gap[at]
-        held = self.cores.get(core)
-        if held is None:
-            held = self.best_and_gap(core)
-            if len(self.cores) < REMEMBERED // 2:
-                self.cores[core] = held
-        return held
+    def parted(self, unit: str) -> list[str]:
+        """The parts of a long unit, cut where no piece spans the two characters."""
+        if len(unit) <= SHORT:
+            return [unit]
+        at = [i for i in range(1, len(unit)) if unit[i - 1:i + 1] not in self.side_by_side]
+        return [unit[a:b] for a, b in zip([0, *at], [*at, len(unit)])]
 
     def learn(self, keys) -> None:
-        score, gap = [], []
-        for key in keys:
-            unit, cores, begin = self.spell(key), [], 0
-            if not key.isalpha():
-                for i in range(1, len(unit)):
-                    if unit[i - 1:i + 1] not in self.side_by_side:
-                        cores.append(unit[begin:i])
-                        begin = i
-            cores.append(unit[begin:])
-            self.units[key] = len(self.blobs)
-            if len(cores) == 1:
-                blob, total, least = self.core(unit) if unit in self.cores else self.best_and_gap(unit)
-            else:
-                got = [self.core(core) for core in cores]
-                blob = b"".join([g[0] for g in got])
-                total, least = sum([g[1] for g in got]), min([g[2] for g in got])
-            self.blobs.append(blob)
-            score.append(total)
-            gap.append(least)
+        spelled = {key: self.spell(key) for key in keys}
+        parts = {key: self.parted(unit) for key, unit in spelled.items() if len(unit) > SHORT}
+        short = [key for key in spelled if key not in parts]
+        new = {core for cores in parts.values() for core in cores}.difference(self.cores)
+        solved = self.solve([*map(spelled.get, short), *new])
+        whole = [one[:len(short)] for one in solved]
+        if parts:
+            cores = self.cores | dict(zip(new, zip(*[one[len(short):] for one in solved])))
+            for key, own in parts.items():
+                blobs, totals, gaps = zip(*map(cores.get, own))
+                for one, value in zip(whole, (b"".join(blobs), sum(totals), min(gaps))):
+                    one.append(value)
+            self.cores = dict(islice(cores.items(), REMEMBERED // 2))
+        blobs, score, gap = whole
+        self.units.update(zip(chain(short, parts), range(len(self.blobs), len(self.blobs) + len(blobs))))
+        self.blobs += blobs
         self.score = np.concatenate([self.score, score])
         self.gap = np.concatenate([self.gap, gap])
+        self.length = np.concatenate([self.length, np.fromiter(map(len, blobs), np.int64, len(blobs)) // _ONE])
 
     def forget(self) -> None:
         """Once the memory is full, a call's new units are forgotten by the next."""
-        size = max(self.size, REMEMBERED)
-        while len(self.units) > size:
+        self.size = min(len(self.units), max(self.size, REMEMBERED))
+        while len(self.units) > self.size:
             self.units.popitem()
-            self.blobs.pop()
-        self.size = len(self.units)
-        self.score, self.gap = self.score[:self.size], self.gap[:self.size]
+        del self.blobs[self.size:]
+        self.score, self.gap, self.length = self.score[:self.size], self.gap[:self.size], self.length[:self.size]
 
     def encode(self, texts: list[str], n: int = BEST):
         """For each text the best ids, as bytes, and (score, pieces, crc32) of the ``n`` best."""
@@ -246,13 +355,11 @@ class Pieces:
         self.forget()
         missing = set().union(*cuts).difference(self.units)
         if missing:
-            self.learn(sorted(missing))
-        known, blobs = self.units.__getitem__, self.blobs
+            self.learn(missing)
+        known, blob = self.units.__getitem__, self.blobs.__getitem__
         for keys in cuts:
-            at = np.fromiter(map(known, keys), np.int64, len(keys))
-            pieces = [blobs[i] for i in at.tolist()]
-            ids = b"".join(pieces)
-            yield ids, self._alternatives(keys, at, pieces, n)
+            at = list(map(known, keys))
+            yield b"".join(map(blob, at)), self._alternatives(keys, np.array(at, np.int64), n)
 
     def options(self, key: str, n: int):
         """The ``n`` best of a unit; the units that depart in one text often do in others."""
@@ -263,7 +370,7 @@ class Pieces:
                 self.listed[key, n] = found
         return found
 
-    def _alternatives(self, keys, at, pieces, n):
+    def _alternatives(self, keys, at, n):
         total = float(self.score[at].sum()) if len(at) else 0.0
         gap = self.gap[at]
         near = np.flatnonzero(np.isfinite(gap))
@@ -278,7 +385,7 @@ class Pieces:
             grown.sort(key=lambda g: g[0])
             choices = grown[:n]
             departs[place] = options
-        starts = np.concatenate(([0], np.cumsum([len(p) for p in pieces], dtype=np.int64))) // _ONE
+        starts = np.concatenate(([0], np.cumsum(self.length[at])))
         return [(total - loss, [(int(starts[place]), int(starts[place + 1] - starts[place]), departs[place][k][1])
                                 for place, k in held if k]) for loss, held in choices]
 

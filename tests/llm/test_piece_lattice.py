@@ -1,4 +1,5 @@
 from array import array
+import random
 import zlib
 
 import numpy as np
@@ -54,6 +55,32 @@ def test_a_full_memory_changes_nothing(pieces, monkeypatch):
     assert [list(small.encode([t])) for t in texts + texts] == want + want
 
 
+def test_short_units_are_solved_together(pieces, monkeypatch):
+    rng = random.Random(6)
+    letters = "abcdeéà日本語🙂\n.,;▁ 123'-\x00ßж"
+    units = ["", "\n", "▁the", *("".join(rng.choice(letters) for _ in range(rng.randrange(1, 70))) for _ in range(400))]
+    want = [pieces.best_and_gap(u) for u in units]
+    small = P.Pieces(public_tokenizers.path(P.MODEL))
+    one_by_one = []
+    monkeypatch.setattr(small, "best_and_gap", lambda u: one_by_one.append(u) or pieces.best_and_gap(u))
+    for cells in (1, 1000, P.CELLS):
+        monkeypatch.setattr(P, "CELLS", cells)
+        assert list(zip(*small.solve(units))) == want
+    assert {len(u) > P.SHORT for u in one_by_one} == {True}
+
+
+def test_long_units_fall_into_parts(pieces, monkeypatch):
+    texts = ["日本語🙂." * 40, "a.b;c-d" * 30 + " word " + "日本語🙂." * 40, "z" * 200]
+    for limit in (0, P.REMEMBERED):
+        monkeypatch.setattr(P, "REMEMBERED", limit)
+        small = P.Pieces(public_tokenizers.path(P.MODEL))
+        for _ in range(2):
+            for text, (ids, best) in zip(texts, small.encode(texts)):
+                whole, total, gap = pieces.best_and_gap(P.SPACE + text.replace(" ", P.SPACE))
+                assert (ids, best[0][0]) == (whole, total)
+                assert [s for s, *_ in best[1:2]] == [total - gap] * (gap < np.inf)
+
+
 def test_documents(spark, pieces):
     texts = [None, "", "two words", "two words", "▁ literal", "x" * 3000, " ".join(prose(4, 30, 50, 90))]
     got = P.segment(clashing(documents(spark, texts, [0, None, 2, 2, 4, 5, 6]))).collect()
