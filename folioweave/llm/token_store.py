@@ -5,8 +5,9 @@ partitioned and sorted by id, so every file and stripe covers a narrow range of
 its statistics and Bloom filters let readers skip; stripes are read in parallel.
 
 A worker remembers the ids of words it has met. The tokenizer's pattern parts every text at
-each space between two non-space characters, so a text is cut there, unknown words are cut
-further by the pattern, and only unknown tokens go to the library. The memory is bounded
+each space between two non-space characters, so texts are cut there, all of a call by Arrow, which
+also lists the distinct words; unknown words are cut further by the pattern, and only unknown tokens
+go to the library. The memory is bounded
 and changes no result. Texts with other white space go to the library whole.
 
 Defined results: null texts are empty and hold the end id alone; a null id sorts first; rows
@@ -17,38 +18,45 @@ an empty table gives empty files and no rows. Further columns of the input are n
 from __future__ import annotations
 
 from array import array
-from itertools import chain
 import re
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from folioweave.llm.common import parts, table, work_folder
 
-TOKENIZER, END_ID, REMEMBERED = "byte_bpe_50k.json", 2, 600_000
+TOKENIZER, END_ID, REMEMBERED, TOGETHER = "byte_bpe_50k.json", 2, 600_000, 1000
 ORC_OPTIONS = {"compression": "zstd", "orc.create.index": "true", "orc.row.index.stride": "5000",
                "orc.stripe.size": str(32 << 20), "orc.bloom.filter.columns": "doc_id",
                "orc.bloom.filter.fpp": "0.01"}
 
 _OTHER_SPACE = re.compile(r"[^\S \n]").search         # white space other than space and feed
-_POINTS, _MARKS = frozenset(".,;:!?"), ("\r", "\n")
+_POINT = r"(\pL)([.,;:!?])( |$)"                        # its mark: a token that no space precedes
 # Byte-level vocabularies spell the bytes that are no visible character by letters from 256 on.
 _HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
-_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(_HIDDEN)}
+_FEED, _BLANK = chr(256 + 10), chr(256 + 32)
+_BYTE_LETTERS = [chr(256 + _HIDDEN.index(b)) if b in _HIDDEN else chr(b) for b in range(256)]
 
 
 class Encoder:
     """One worker's tokenizer with its memory of words, as little-endian ids."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.library = Tokenizer.from_file(path)
-        self.merge = self.library.model.tokenize
+        merger = Tokenizer(self.library.model)
+        merger.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.merge = merger.encode_batch_fast
+        vocabulary = merger.get_vocab()
+        self.spaced, self.fed = np.zeros((2, max(vocabulary.values()) + 1), bool)
+        self.spaced[[i for t, i in vocabulary.items() if t[:1] == _BLANK]] = True
+        self.fed[vocabulary[_FEED]] = True
         self.cut = regex.compile(public_tokenizers.PATTERN).findall
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}       # words after a space, which their ids include
@@ -59,80 +67,83 @@ class Encoder:
         got = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32).tobytes() for e in got]
 
-    def _learn(self, words: set[str]) -> None:
-        """Remember words after a space; one of letters is one token of the pattern."""
-        pointed, mixed, letters = [], [], []
+    def _merged(self, letters: list[str], spaced: bool) -> list[bytes]:
+        """Ids of tokens of letters, after a space or not; the library takes many at once, in the
+        spelling of its vocabulary. A space begins the next token; else line feeds part them,
+        as no letter's bytes hold either.
+        """
+        before, skip, begins, out = (_BLANK, 0, self.spaced, []) if spaced else (f"{_FEED} ", 4, self.fed, [])
+        for k in range(0, len(letters), TOGETHER):
+            spelled = [before + (t if t.isascii() else "".join([_BYTE_LETTERS[b] for b in t.encode()]))
+                       for t in letters[k:k + TOGETHER]]
+            ids = array("I", self.merge([" ".join(spelled)], add_special_tokens=False)[0].ids)
+            starts = np.flatnonzero(begins[ids]).tolist()
+            held = ids.tobytes()
+            out += [held[4 * a + skip:4 * b] for a, b in zip(starts, [*starts[1:], len(ids)])]
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember unknown words; letters after a space are one token of the pattern."""
+        held, known = self.words, self.others
+        cores, mixed = [], []
         for w in words:
-            if w.isalpha():
-                letters.append(w)
-            elif w and w[-1] in _POINTS and w[:-1].isalpha():
-                pointed.append(w)
-            else:
-                mixed.append(w)
-        # of a mixed word, the first token begins with the space, or with the line feed
-        pieces = {w: self.cut(" " + w if w[:1] not in _MARKS else w.lstrip("\r")) for w in mixed}
-        cores, others = {w[:-1] for w in pointed}.union(letters), {w[-1] for w in pointed}
-        for p in pieces.values():
-            for t in p:
-                if t[0] == " " and t[1:].isalpha():
-                    cores.add(t[1:])
-                else:
-                    others.add(t)
-        held, merge = self.words, self.merge
-        for w in cores.difference(held):
-            spelled = w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            held[w] = array("I", [t.id for t in merge("\u0120" + spelled)]).tobytes()
-        self._learn_others(others)
-        known = self.others
-        for w in pointed:
-            held[w] = held[w[:-1]] + known[w[-1]]
-        for w, p in pieces.items():
+            (cores if w.isalpha() else mixed).append(w)
+        # a word that is marked by a return has no space before it, a feed none either
+        cut = [self.cut(w.lstrip("\r") if w[:1] in ("\r", "\n") else " " + w) for w in mixed]
+        inner = {t[1:] for p in cut for t in p if t[0] == " " and t[1:].isalpha()}
+        cores += inner.difference(held, cores)
+        held.update(zip(cores, self._merged(cores, True)))
+        self._learn_others({t for p in cut for t in p if not (t[0] == " " and t[1:].isalpha())})
+        for w, p in zip(mixed, cut):
             held[w] = b"".join([held[t[1:]] if t[0] == " " and t[1:].isalpha() else known[t] for t in p])
 
-    def _learn_others(self, tokens: set[str]) -> None:
-        new = list(tokens.difference(self.others))
-        self.others.update(zip(new, self._library(new)))
+    def _learn_others(self, tokens) -> None:
+        new = [t for t in tokens if t not in self.others]
+        letters = [t for t in new if t.isalpha()]
+        self.others.update(zip(letters, self._merged(letters, False)))
+        rest = [t for t in new if not t.isalpha()]
+        self.others.update(zip(rest, self._library(rest)))
 
-    def _cut(self, text: str) -> list[str] | None:
-        """The words between spaces and line feeds; None for a text with other white space,
-        neighbouring spaces or long blank stretches.
+    def _marked(self, text: str) -> str | None:
+        """The text with spaces around each line feed, to be cut at spaces; None for a text with other
+        white space, neighbouring spaces or long blank stretches.
 
-        A line's first word, which no space precedes, is marked by a feed, or by a return
-        where it begins the text.
+        A line's first word, which no space precedes, is marked by a return.
         """
         if ("  " in text or " \n" in text or "\n " in text or "\n\n\n" in text
                 or text.endswith("\n\n") or any(s in text for s in self.special)):
             return None
-        lines = text.split("\n")
-        if not all(map(str.isprintable, lines)) and _OTHER_SPACE(text):
+        if not text.replace("\n", "").isprintable() and _OTHER_SPACE(text):
             return None
-        out = ("\r" + lines[0]).split(" ")
-        for line in lines[1:]:
-            out += ("\n" + line).split(" ")
-        return out
+        return "\r" + text.replace("\n", " \n \r")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cuts = list(map(self._cut, texts))
+        marked = list(map(self._marked, texts))
         # once the memory is full, a call's new words are forgotten by the next
         for memory, size in ((self.words, self.sizes[0]), (self.others, self.sizes[1])):
             while len(memory) > max(size, REMEMBERED):
                 memory.popitem()
         self.sizes = len(self.words), len(self.others)
-        words = list(chain.from_iterable([c for c in cuts if c]))
-        got = list(map(self.words.get, words))
-        missing = [i for i, ids in enumerate(got) if ids is None]
-        self._learn({words[i] for i in missing})
-        for i in missing:
-            got[i] = self.words[words[i]]
-        whole = iter(self._library([t for t, c in zip(texts, cuts) if c is None]))
-        out, at = [], 0
-        for cut in cuts:
-            if cut is None:
-                out.append(next(whole))
-            else:
-                out.append(b"".join(got[at:at + len(cut)]))
-                at += len(cut)
-        return out
+        cut = [m for m in marked if m is not None]
+        done = iter(self._words(cut) if cut else [])
+        whole = iter(self._library([t for t, m in zip(texts, marked) if m is None]))
+        return [next(whole if m is None else done) for m in marked]
+
+    def _words(self, marked: list[str]) -> list[bytes]:
+        """Ids of texts that are cut at their spaces."""
+        parted = pc.replace_substring_regex(pa.array(marked, pa.large_string()), _POINT, "\\1 \r\\2\\3")
+        lists = pc.split_pattern(parted, " ")
+        words = lists.flatten().dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        blobs = list(map(self.words.get, distinct))
+        missing = [k for k, ids in enumerate(blobs) if ids is None]
+        self._learn([distinct[k] for k in missing])
+        for k in missing:
+            blobs[k] = self.words[distinct[k]]
+        ids = pa.array(blobs, pa.large_binary()).take(words.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[lists.offsets.to_numpy()].tolist()
+        held = memoryview(ids.buffers()[2] or b"")
+        return [held[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -151,7 +162,7 @@ def _encode_partition(path: str, end: int):
         encoder, part, seq = _encoder(path), TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = batch.column("text")
-            for low, n in parts(texts, 2 << 20):
+            for low, n in parts(texts, 4 << 20):
                 ids = [x + tail for x in encoder.encode(texts.slice(low, n).to_pylist())]
                 ends = np.cumsum([0] + [len(x) // 4 for x in ids]).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(ids), np.int32))

@@ -26,6 +26,23 @@ def test_encoder_equals_the_library_also_with_a_full_memory(monkeypatch):
             tokenizer.encode(t, add_special_tokens=False).ids for t in some]
 
 
+def test_new_words_go_to_the_library_together(monkeypatch):
+    tokenizer, encoder = library(), T.Encoder(public_tokenizers.path(T.TOKENIZER))
+    monkeypatch.setattr(T, "TOGETHER", 7)
+    calls = []
+    merge = encoder.merge
+    encoder.merge = lambda *given, **options: calls.append(1) or merge(*given, **options)
+    texts = ["Ünïcode ßtraße. naïve, été; Ж日本語! a.b. 12. x1, .. a., \"q\". it's. we'll, end.", "one\ntwo.\n\nthree, it's\nfour.",
+             ".", "\n", "a.\n", " lead. word", *prose(8, 5), " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(70))]
+    for some in (texts, texts[::-1]):
+        assert [np.frombuffer(b, np.uint32).tolist() for b in encoder.encode(some)] == [
+            tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+    assert 10 < len(calls) < 40
+    first = len(calls)
+    encoder.encode(texts)
+    assert len(calls) == first
+
+
 def test_files_hold_all_ids_in_order(spark):
     ids = [None, *range(len(TEXTS) - 1)]
     path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
