@@ -35,7 +35,7 @@ from folioweave.llm import terms as T
 from folioweave.llm.common import native_text, parts, stored, table, work_folder
 
 MIN_DOCUMENTS, VOCABULARY, SLICE_TERMS = 10, 2**31 - 1, 2_000_000
-PARTS, RANGE_TERMS, SOURCE_BLOCK, TOP = 64, 4096, 256, 10
+PARTS, RANGE_TERMS, SOURCE_BLOCK, TOP, HELD = 64, 4096, 256, 10, 2_000_000
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 BILLION = 1_000_000_000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -146,27 +146,46 @@ def document_vectors(docs: DataFrame, folder: str, min_documents: int = MIN_DOCU
     return vectors, stored(vocabulary)
 
 
+def _totals(held: list[pa.Table]) -> pa.Table:
+    found = pa.concat_tables(held).group_by("key", use_threads=False).aggregate([("value", "sum")])
+    return found.rename_columns({"value_sum": "value"})
+
+
+def _named(found: pa.Table, names: list[tuple]) -> pa.RecordBatch:
+    keys = found.column("key").to_numpy()
+    lang, source, piece = (pa.array(n, kind) for n, kind in zip(zip(*names), (pa.string(), pa.string(), pa.int32())))
+    of = pa.array(keys >> 32)
+    return pa.RecordBatch.from_arrays(
+        [lang.take(of), source.take(of), piece.take(of), pa.array((keys & 0xFFFFFFFF).astype(np.int32)),
+         found.column("value").combine_chunks()], ["lang", "source", "slice", "index", "value"])
+
+
 def _added(batches):
-    """Vectors of a batch added up by group; a batch of documents shares most of its words."""
+    """Vectors of a task added up by group, in a memory of at most some ``HELD`` sums."""
+    number: dict[tuple, int] = {}
+    held, rows = [], 0
     for batch in batches:
-        group = pc.binary_join_element_wise(batch.column("lang"), batch.column("source"), "\0").dictionary_encode()
-        codes = group.indices.to_numpy().astype(np.int64)
-        _, first = np.unique(codes, return_index=True)
-        names = batch.select(["lang", "source"]).take(pa.array(first))
+        of = [batch.column(n).dictionary_encode() for n in ("lang", "source", "slice")]
+        lang, source, piece = (c.indices.to_numpy().astype(np.int64) for c in of)
+        met, place = np.unique((lang * len(of[1].dictionary) + source) * len(of[2].dictionary) + piece,
+                               return_inverse=True)
+        upper, pieces = np.divmod(met, max(1, len(of[2].dictionary)))
+        langs, sources = np.divmod(upper, max(1, len(of[1].dictionary)))
+        names = zip(*[c.dictionary.take(pa.array(k)).to_pylist() for c, k in zip(of, (langs, sources, pieces))])
+        codes = np.array([number.setdefault(name, len(number)) for name in names], np.int64)[place]
         indices = batch.column("indices")
-        sizes = np.diff(indices.offsets.to_numpy())
-        slices = batch.column("slice").to_numpy().astype(np.int64)
-        # one key of group, slice and index; a batch has few groups and slices
-        own, place = np.unique(slices, return_inverse=True)
-        upper = np.repeat(codes * len(own) + place, sizes)
-        keys, where = np.unique((upper << 32) | indices.flatten().to_numpy(), return_inverse=True)
-        sums = np.zeros(len(keys), np.int64)
-        np.add.at(sums, where, batch.column("counts").flatten().to_numpy())
-        taken = names.take(pa.array((keys >> 32) // max(1, len(own))))
-        yield pa.RecordBatch.from_arrays(
-            [*taken.columns, pa.array(own[(keys >> 32) % max(1, len(own))].astype(np.int32)),
-             pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(sums)],
-            ["lang", "source", "slice", "index", "value"])
+        # one key of a group's slice and an index
+        keys = np.repeat(codes << 32, np.diff(indices.offsets.to_numpy())) | indices.flatten().to_numpy()
+        held.append(pa.table({"key": keys, "value": batch.column("counts").flatten().cast(pa.int64())}))
+        rows += len(keys)
+        if rows > HELD:
+            held = [_totals(held)]
+            rows = held[0].num_rows
+            if rows > HELD // 2:
+                yield _named(held[0], list(number))
+                held, rows = [], 0
+    if rows:
+        yield _named(_totals(held), list(number))
 
 
 def group_sums(vectors: DataFrame) -> DataFrame:

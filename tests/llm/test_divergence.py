@@ -2,6 +2,7 @@ from collections import Counter
 import random
 import re
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 import pytest
 
@@ -91,3 +92,29 @@ def test_document_vectors_are_exact(spark, tmp_path):
 def test_shares_do_not_overflow(spark):
     row = spark.sql("SELECT 4000000000000000 AS n, 9000000000000000 AS total, 5 AS v")
     assert row.select(D.share("n", "total")).head()[0] == 1 + 10**9 * (4 * 10**15 + 2) // (9 * 10**15 + 10)
+
+
+@pytest.mark.parametrize("held", [1, 5, 4_000_000])
+def test_a_task_adds_its_batches_up(monkeypatch, held):
+    rng = random.Random(9)
+    monkeypatch.setattr(D, "HELD", held)
+    want, batches = Counter(), []
+    for _ in range(6):
+        rows = [(rng.choice(["en", "de", ""]), rng.choice(["one", ""]), rng.randrange(2),
+                 rng.sample(range(6), rng.randrange(5))) for _ in range(rng.randrange(8))]
+        counts = [[rng.randrange(1, 9) for _ in r[3]] for r in rows]
+        for (lang, source, piece, indices), own in zip(rows, counts):
+            for i, n in zip(indices, own):
+                want[lang, source, piece, i] += n
+        kinds = {"lang": pa.string(), "source": pa.string(), "slice": pa.int32(), "indices": pa.list_(pa.int32())}
+        batches.append(pa.RecordBatch.from_arrays(
+            [*(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds.values())),
+             pa.array(counts, pa.list_(pa.int32()))], [*kinds, "counts"]))
+    got, out = Counter(), list(D._added(iter(batches)))
+    for batch in out:
+        for r in batch.to_pylist():
+            got[r["lang"], r["source"], r["slice"], r["index"]] += r["value"]
+    assert got == want
+    if held > 100:
+        assert [b.num_rows for b in out] == [len(want)]
+    assert not list(D._added(iter([])))
